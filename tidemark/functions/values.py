@@ -40,8 +40,9 @@ def fixed_decimal_text(number: Column, scale: int) -> Column:
 
 
 def plain_decimal_text(number: Column) -> Column:
-    """Decimal text without trailing zeros or a dangling point."""
-    text = number.cast("string")
+    """Decimal text without an exponent, trailing zeros or a dangling point."""
+    written = number.cast("string")
+    text = F.when(written.rlike("[eE]"), written.cast("decimal(38,18)").cast("string")).otherwise(written)
     trimmed = F.regexp_replace(F.regexp_replace(text, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
     return F.when(text.contains("."), trimmed).otherwise(text)
 
