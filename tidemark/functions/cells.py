@@ -96,7 +96,8 @@ def _integer_ok(text: Column, low: int, high: int) -> Column:
     digits = _significant_digits(text)
     signed = F.when(text.startswith("-"), F.concat(F.lit("-"), digits)).otherwise(digits)
     number = F.when(F.length(digits) <= 20, signed).try_cast("decimal(21,0)")
-    return text.rlike(INTEGER_TEXT) & number.between(F.lit(low).cast("decimal(21,0)"), F.lit(high).cast("decimal(21,0)"))
+    bounds = [F.lit(str(bound)).cast("decimal(21,0)") for bound in (low, high)]
+    return text.rlike(INTEGER_TEXT) & number.between(*bounds)
 
 
 def _decimal_ok(text: Column, precision: int, scale: int) -> Column:

@@ -30,6 +30,11 @@ def utf8_violations(files: DataFrame) -> DataFrame:
     return files.where(~F.is_valid_utf8("content")).select("path")
 
 
+def bom_violations(files: DataFrame) -> DataFrame:
+    """Files that begin with a UTF-8 byte order mark; line readers skip it silently."""
+    return files.where(F.hex(F.substring("content", 1, 3)) == "EFBBBF").select("path")
+
+
 def verify_lock(observed: DataFrame, lock: DataFrame) -> DataFrame:
     """(name, status) per file: ok, missing, unexpected, size_mismatch or digest_mismatch."""
     joined = observed.alias("o").join(lock.alias("l"), "name", "full")

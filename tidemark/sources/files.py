@@ -30,9 +30,10 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 
 def require_csv_header(spark: SparkSession, path: str, names: Sequence[str]) -> None:
-    """The file's first line is exactly the column names: no BOM, spaces, quotes or extra columns.
+    """The file's first line is exactly the column names: no spaces, quotes or extra columns.
 
-    Lines are never split inside the header, and only the first bytes of the file are read.
+    Only the first line is read. A byte order mark is skipped by Spark's line reader; a landing
+    check of the bytes finds it.
     """
     first = spark.read.text(path).limit(1).select(F.col("value"), F.octet_length("value").alias("size")).collect()
     expected = ",".join(names)
