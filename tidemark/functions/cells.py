@@ -87,44 +87,44 @@ def logical_type(data_type: T.DataType) -> str:
     return names[type(data_type)]
 
 
-def _significant_digits(text: Column) -> Column:
-    """Integer digits without sign and leading zeros; bounds the width before any numeric cast."""
-    return F.regexp_replace(F.regexp_replace(text, r"^[+-]", ""), r"^0+(?=[0-9])", "")
+def _unsigned(text: Column) -> Column:
+    """Text without its sign and leading zeros."""
+    return F.ltrim(F.ltrim(text, F.lit("+-")), F.lit("0"))
 
 
 def _integer_ok(text: Column, low: int, high: int) -> Column:
-    digits = _significant_digits(text)
-    signed = F.when(text.startswith("-"), F.concat(F.lit("-"), digits)).otherwise(digits)
-    number = F.when(F.length(digits) <= 20, signed).try_cast("decimal(21,0)")
-    bounds = [F.lit(str(bound)).cast("decimal(21,0)") for bound in (low, high)]
-    return text.rlike(INTEGER_TEXT) & number.between(*bounds)
+    if high < 1 << 63:
+        return text.rlike(INTEGER_TEXT) & text.try_cast("long").between(low, high)
+    digits = _unsigned(text)
+    number = F.when(F.length(digits) <= 20, F.concat(F.lit("0"), digits)).try_cast("decimal(21,0)")
+    small = number <= F.lit(str(high)).cast("decimal(21,0)")
+    return text.rlike(INTEGER_TEXT) & small & (~text.startswith("-") | (digits == ""))
 
 
 def _decimal_ok(text: Column, precision: int, scale: int) -> Column:
     """Digits written after the point count as scale; leading zeros do not count as precision."""
-    fraction = F.length(F.regexp_extract(text, r"\.([0-9]*)$", 1))
-    whole = F.length(F.regexp_replace(F.regexp_extract(text, r"^[+-]?([0-9]*)", 1), "^0+", ""))
+    body = _unsigned(text)
+    point = F.instr(body, ".")
+    whole = F.when(point > 0, point - 1).otherwise(F.length(body))
+    fraction = F.when(point > 0, F.length(body) - point).otherwise(F.lit(0))
     return text.rlike(DECIMAL_TEXT) & (fraction <= scale) & (whole + fraction <= precision)
 
 
 def _calendar_ok(text: Column) -> Column:
-    day = F.substring(text, 1, 10)
-    parsed = F.try_to_timestamp(day, F.lit("yyyy-MM-dd"))
-    return (F.date_format(parsed, "yyyy-MM-dd") == day) & ~day.startswith("0000")
+    """A real day, for a text that starts in the form yyyy-MM-dd."""
+    return F.substring(text, 1, 10).try_cast("date").isNotNull() & ~text.startswith("0000")
 
 
 def _clock_ok(text: Column) -> Column:
+    """Hours to 23, minutes and seconds to 59, for two-digit parts at their fixed places."""
     return (
-        (F.substring(text, 12, 2).try_cast("int") <= 23)
-        & (F.substring(text, 15, 2).try_cast("int") <= 59)
-        & (F.substring(text, 18, 2).try_cast("int") <= 59)
+        (F.substring(text, 12, 2) <= "23") & (F.substring(text, 15, 2) <= "59") & (F.substring(text, 18, 2) <= "59")
     )
 
 
 def _offset_ok(text: Column) -> Column:
-    hours = F.regexp_extract(text, r"[+-]([0-9]{2}):[0-9]{2}$", 1)
-    minutes = F.regexp_extract(text, r"[+-][0-9]{2}:([0-9]{2})$", 1)
-    return text.endswith("Z") | ((hours.try_cast("int") <= 23) & (minutes.try_cast("int") <= 59))
+    hours, minutes = F.substring(text, -5, 2), F.substring(text, -2, 2)
+    return text.endswith("Z") | ((hours <= "23") & (minutes <= "59"))
 
 
 def is_legal(text: Column, logical_type: str) -> Column:

@@ -126,11 +126,15 @@ def cell_checks(
     return count_violations(rows, violations)
 
 
-def _json_member_violation(line: Column, path: str, kind: str, nullable: bool) -> Column:
+VARIANT, TEXTS = "_variant", "_texts"
+
+
+def _json_member_violation(path: str, kind: str, nullable: bool) -> Column:
     """A declared member: absent or JSON null only when nullable, otherwise of the declared type."""
-    shape = json_text.member_shape(line, path)
+    variant = F.col(VARIANT)
+    shape = json_text.member_shape(variant, path)
     missing = shape.isNull() | (shape == "VOID")
-    text = json_text.member_text(line, path)
+    text = F.col(f"{TEXTS}.{path}")
     if kind == "string":
         legal = shape == "STRING"
     elif kind == "boolean":
@@ -144,7 +148,7 @@ def _json_member_violation(line: Column, path: str, kind: str, nullable: bool) -
         legal = (shape != "STRING") & is_legal(text, kind)
     elif kind.startswith("decimal("):
         # The parsed value: zeros written at the end of a JSON number do not count as digits.
-        value = json_text.member(line, path, "string")
+        value = json_text.member(variant, path, "string")
         legal = (shape != "STRING") & is_legal(plain_decimal_text(value.try_cast("decimal(38,18)")), kind)
     elif kind == "json":
         legal = shape.isNotNull()
@@ -177,42 +181,52 @@ def json_line_checks(
     """
     text = F.col(line)
     blank = F.length(F.trim(text)) == 0
-    records = lines.where(~blank) if blank_allowed else lines
+    records = (lines.where(~blank) if blank_allowed else lines).select(line)
+    parsed = records.withColumns(
+        {
+            VARIANT: json_text.parsed(text),
+            TEXTS: json_text.member_texts(text, [path for path, _, _ in contract]),
+        }
+    )
+    is_object = json_text.is_object(text, F.col(VARIANT))
     rules: dict[str, Column] = {
         "line_too_long": F.octet_length(text) > max_bytes,
-        "depth_exceeded": json_text.bracket_depth(text) > max_depth,
-        "not_one_object": ~json_text.is_object(text),
+        "depth_exceeded": json_text.deeper_than(text, max_depth),
+        "not_one_object": ~is_object,
     }
     if not blank_allowed:
         rules["blank_line"] = blank
     for path, kind, nullable in contract:
-        rules[f"{path}:{kind}"] = json_text.is_object(text) & _json_member_violation(text, path, kind, nullable)
+        rules[f"{path}:{kind}"] = is_object & _json_member_violation(path, kind, nullable)
     if exact:
         for parent, members in _members_by_parent([path for path, _, _ in contract]).items():
             wanted = F.array(*[F.lit(name) for name in sorted(members)])
             found = text if parent == "" else F.get_json_object(text, f"$.{parent}")
             rules[f"members_differ:{parent or 'record'}"] = ~F.array_sort(F.json_object_keys(found)).eqNullSafe(wanted)
-    return union_checks([nonempty_check(records, "no_records"), count_violations(records, rules)])
+    return union_checks([nonempty_check(records, "no_records"), count_violations(parsed, rules)])
 
 
 def landing_event_checks(lines: DataFrame, line: str = "value") -> DataFrame:
     """Strict landing form of event lines: bounds, required non-blank text, canonical time."""
-    text = F.col(line)
+    text, variant = F.col(line), F.col(VARIANT)
     paths = ["id", "type", "actor.login", "repo.name", "created_at"]
 
     def blank_member(path: str) -> Column:
-        is_text = json_text.member_shape(text, path) == "STRING"
-        return ~is_true(is_text & (F.length(F.trim(json_text.member(text, path, "string"))) > 0))
+        return ~is_true(F.length(F.trim(F.when(json_text.member_shape(variant, path) == "STRING", member(path)))) > 0)
+
+    def member(path: str) -> Column:
+        return json_text.member(variant, path, "string")
 
     rules = {
         "line_too_long": F.octet_length(text) > json_text.LANDING_MAX_LINE_BYTES,
         "blank_line": F.length(F.trim(text)) == 0,
-        "depth_exceeded": json_text.bracket_depth(text) > json_text.LANDING_MAX_DEPTH,
-        "not_one_object": ~json_text.is_object(text),
+        "depth_exceeded": json_text.deeper_than(text, json_text.LANDING_MAX_DEPTH),
+        "not_one_object": ~json_text.is_object(text, variant),
         **{f"{path}:text": blank_member(path) for path in paths},
-        "created_at:canonical": ~is_canonical_event_time(json_text.member(text, "created_at", "string")),
+        "created_at:canonical": ~is_canonical_event_time(member("created_at")),
     }
-    return union_checks([nonempty_check(lines, "no_records"), count_violations(lines, rules)])
+    parsed = lines.select(line).withColumn(VARIANT, json_text.parsed(text))
+    return union_checks([nonempty_check(lines, "no_records"), count_violations(parsed, rules)])
 
 
 def require_single_generation(parsed: DataFrame) -> tuple[str, str]:

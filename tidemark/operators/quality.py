@@ -163,7 +163,10 @@ def split_counts(frame: DataFrame, valid: Column) -> DataFrame:
 
 def ratio_status(numerator: Column, denominator: Column) -> Column:
     """pass up to and including 1 %, warn up to and including 5 %, else fail."""
-    value = ratio9(numerator, denominator)
+    return status_of_ratio(ratio9(numerator, denominator))
+
+
+def status_of_ratio(value: Column) -> Column:
     return (
         F.when(value > F.lit(FAIL_RATIO).cast("decimal(38,9)"), "fail")
         .when(value > F.lit(WARN_RATIO).cast("decimal(38,9)"), "warn")
@@ -232,16 +235,28 @@ def run_facts(observations: DataFrame) -> DataFrame:
     one = F.lit("1.000000000")
     rows, invalid = F.col("source_rows"), F.col("invalid_rows")
     clean, quarantine = F.col("clean_rows"), F.col("quarantine_rows")
-    age = snapshot_age(F.col("source_snapshot_committed_at"), F.col("data_interval_end"))
-    width = len(TRIP_SCHEMA.fields)
-    invalid_status = ratio_status(invalid, rows)
-    quarantine_status = ratio_status(quarantine, rows)
+    # Measures are projected once; the facts below refer to them by name.
+    measured = observations.withColumns(
+        {
+            "age": snapshot_age(F.col("source_snapshot_committed_at"), F.col("data_interval_end")),
+            "invalid_ratio": ratio9(invalid, rows),
+            "quarantine_ratio": ratio9(quarantine, rows),
+        }
+    ).withColumns(
+        {
+            "invalid_status": status_of_ratio(F.col("invalid_ratio")),
+            "quarantine_status": status_of_ratio(F.col("quarantine_ratio")),
+        }
+    )
+    age, width = F.col("age"), len(TRIP_SCHEMA.fields)
+    invalid_ratio, invalid_status = F.col("invalid_ratio"), F.col("invalid_status")
+    quarantine_ratio, quarantine_status = F.col("quarantine_ratio"), F.col("quarantine_status")
 
     bronze = [
         _fact("bronze.source_available.v1", rows, None, whole9(rows), "pass", "ok"),
         _fact("bronze.schema.v1", width, width, one, "pass", "ok"),
         _fact("bronze.snapshot_freshness.v1", age, FRESH_SECONDS, whole9(age), "pass", "ok"),
-        _fact("bronze.invalid_ratio.v1", invalid, rows, ratio9(invalid, rows), invalid_status, ratio_diagnostic(invalid_status)),
+        _fact("bronze.invalid_ratio.v1", invalid, rows, invalid_ratio, invalid_status, ratio_diagnostic(invalid_status)),
     ]
     silver = [
         _fact("silver.partition_conservation.v1", clean + quarantine, rows, one, "pass", "ok"),
@@ -249,7 +264,7 @@ def run_facts(observations: DataFrame) -> DataFrame:
             "silver.clean_nonempty.v1", clean, rows, whole9(clean),
             F.when(clean > 0, "pass").otherwise("fail"), F.when(clean > 0, "ok").otherwise("output_empty"),
         ),
-        _fact("silver.quarantine_ratio.v1", quarantine, rows, ratio9(quarantine, rows), quarantine_status, ratio_diagnostic(quarantine_status)),
+        _fact("silver.quarantine_ratio.v1", quarantine, rows, quarantine_ratio, quarantine_status, ratio_diagnostic(quarantine_status)),
         _fact("silver.output_readback.v1", READBACK_CHECKS, READBACK_CHECKS, one, "pass", "ok"),
     ]
     zero = F.lit("0.000000000")
@@ -268,7 +283,7 @@ def run_facts(observations: DataFrame) -> DataFrame:
         .when(clean + quarantine != rows, F.array(*broken))
         .otherwise(F.array(*bronze, *silver))
     )
-    facts = observations.select(
+    facts = measured.select(
         run_id(F.col("logical_date"), F.col("source_snapshot_id")).alias("quality_run_id"),
         *OBSERVATION_COLUMNS[:5],
         F.inline(outcome),

@@ -204,7 +204,9 @@ SESSION_CHECKS = [
 )
 def session_checks(spark, folder):
     rows, sessions = _event_sessions(spark, folder)
-    return checks.session_checks(sessions, rows, "user_id", "ts", "previous_ts", 1800)
+    path = shared_folder(spark, "sessions")
+    sessions.write.parquet(path)
+    return checks.session_checks(spark.read.parquet(path), rows, "user_id", "ts", "previous_ts", 1800)
 
 
 @query(

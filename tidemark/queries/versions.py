@@ -30,16 +30,19 @@ def versioned_orders(spark, folder):
 
 
 def order_log(spark, folder):
-    """One commit per year, each on top of the year before."""
+    """One commit per year, each on top of the year before, stored as the small table a log is."""
     years = (
         table(spark, folder, "orders")
         .groupBy(F.year("o_orderdate").cast("long").alias("commit_id"))
         .agg(F.max("o_orderdate").alias("committed_at"))
     )
     parents = years.select((F.col("commit_id") + 1).alias("commit_id"), F.col("commit_id").alias("parent_id"))
-    return years.join(parents, "commit_id", "left").select(
+    log = years.join(parents, "commit_id", "left").select(
         "commit_id", "parent_id", "committed_at", F.lit("append").alias("operation")
     )
+    path = shared_folder(spark, "log")
+    log.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def order_refs(log):
