@@ -129,10 +129,17 @@ def cell_checks(
 VARIANT, TEXTS = "_variant", "_texts"
 
 
+def _shape(path: str) -> str:
+    return f"_shape_{path.replace('.', '_')}"
+
+
+def _plain(path: str) -> str:
+    return f"_plain_{path.replace('.', '_')}"
+
+
 def _json_member_violation(path: str, kind: str, nullable: bool) -> Column:
     """A declared member: absent or JSON null only when nullable, otherwise of the declared type."""
-    variant = F.col(VARIANT)
-    shape = json_text.member_shape(variant, path)
+    shape = F.col(_shape(path))
     missing = shape.isNull() | (shape == "VOID")
     text = F.col(f"{TEXTS}.{path}")
     if kind == "string":
@@ -147,9 +154,7 @@ def _json_member_violation(path: str, kind: str, nullable: bool) -> Column:
     elif kind.startswith(("int", "uint")):
         legal = (shape != "STRING") & is_legal(text, kind)
     elif kind.startswith("decimal("):
-        # The parsed value: zeros written at the end of a JSON number do not count as digits.
-        value = json_text.member(variant, path, "string")
-        legal = (shape != "STRING") & is_legal(plain_decimal_text(value.try_cast("decimal(38,18)")), kind)
+        legal = (shape != "STRING") & is_legal(F.col(_plain(path)), kind)
     elif kind == "json":
         legal = shape.isNotNull()
     else:
@@ -188,7 +193,22 @@ def json_line_checks(
             TEXTS: json_text.member_texts(text, [path for path, _, _ in contract]),
         }
     )
-    is_object = json_text.is_object(text, F.col(VARIANT))
+    parsed = parsed.withColumns(
+        {
+            "_object": json_text.is_object(text, F.col(VARIANT)),
+            **{_shape(path): json_text.member_shape(F.col(VARIANT), path) for path, _, _ in contract},
+            # The parsed value: zeros written at the end of a JSON number do not count as digits.
+            **{
+                _plain(path): json_text.member(F.col(VARIANT), path, "decimal(38,18)").cast("string")
+                for path, kind, _ in contract
+                if kind.startswith("decimal(")
+            },
+        }
+    )
+    decimals = [path for path, kind, _ in contract if kind.startswith("decimal(")]
+    if decimals:
+        parsed = parsed.withColumns({_plain(path): plain_decimal_text(F.col(_plain(path))) for path in decimals})
+    is_object = F.col("_object")
     rules: dict[str, Column] = {
         "line_too_long": F.octet_length(text) > max_bytes,
         "depth_exceeded": json_text.deeper_than(text, max_depth),
