@@ -95,3 +95,7 @@ def test_compaction_reduces_files_and_keeps_rows(spark, tmp_path):
     counts = exports.compact(spark, f"{tmp_path}/small", f"{tmp_path}/large").first()
     assert counts["files_before"] == 20 and counts["files_after"] == 1
     assert spark.read.parquet(f"{tmp_path}/large").count() == 5000
+    total = sum(path.stat().st_size for path in (tmp_path / "small").glob("*.parquet"))
+    exports.compact(spark, f"{tmp_path}/small", f"{tmp_path}/medium", file_bytes=total // 4)
+    assert 4 <= len(list((tmp_path / "medium").glob("*.parquet"))) <= 6
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None

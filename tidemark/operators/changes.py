@@ -15,14 +15,19 @@ _SOURCE = "_source"
 
 
 def _one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows packed as (keys, _source); a key given twice fails the job when it runs."""
-    message = F.concat(F.lit("several source rows for one key: "), F.to_json(F.struct(*keys)))
-    packed = source.groupBy(*keys).agg(
+    """Source rows packed as (keys, _source); a key given twice fails the job when it runs.
+
+    Grouping by the key as one struct leaves the result without a partitioning on the key columns.
+    A shuffled join then exchanges both sides itself, the shape in which adaptive execution can
+    split a key that holds very many target rows.
+    """
+    message = F.concat(F.lit("several source rows for one key: "), F.to_json("_key"))
+    packed = source.groupBy(F.struct(*keys).alias("_key")).agg(
         F.count(F.lit(1)).alias("_rows"), F.any_value(F.struct(*source.columns)).alias("_row")
     )
     kind = packed.schema["_row"].dataType
     row = F.when(F.col("_rows") == 1, F.col("_row")).otherwise(F.raise_error(message).cast(kind))
-    return packed.select(*keys, row.alias(_SOURCE))
+    return packed.select("_key.*", row.alias(_SOURCE))
 
 
 def merge_upsert(
@@ -35,7 +40,8 @@ def merge_upsert(
 
     The target is the left side of one left join: Spark broadcasts a small change set, so the
     target is not shuffled, and splits a hot target key when it has to shuffle. Insertions come
-    from an anti join against the distinct matched keys, never against all target rows.
+    from an anti join against the distinct matched keys, never against all target rows; Spark moves
+    the semi join below the distinct when it can broadcast the changes.
     """
     names = target.columns
     updated = set(set_columns if set_columns is not None else [name for name in names if name not in keys])
@@ -52,7 +58,7 @@ def merge_upsert(
         return F.when(F.col(_SOURCE).isNotNull(), F.col(_SOURCE)[name]).otherwise(F.col(name)).alias(name)
 
     kept = target.join(changes, list(keys), "left").select([merged(name) for name in names])
-    matched = target.select(*keys).join(changes.select(*keys), list(keys), "left_semi").distinct()
+    matched = target.select(*keys).distinct().join(changes.select(*keys), list(keys), "left_semi")
     added = changes.join(matched, list(keys), "left_anti").select([F.col(_SOURCE)[name].alias(name) for name in names])
     return kept.unionByName(added).unionByName(keyless)
 

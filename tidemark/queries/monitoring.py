@@ -66,11 +66,11 @@ def alert_runs(spark, folder):
 
 
 def _digest_sql(lines: str, group: str) -> str:
-    """Two-level digest of (group, line): entries, buckets by three hex digits, group."""
+    """Two-level digest of (group, line): entries, buckets by four hex digits, group."""
     return f"""
         SELECT {group}, sha256(string_agg(bucket || ':' || digest, ',' ORDER BY bucket || ':' || digest)) AS digest FROM (
             SELECT {group}, bucket, sha256(string_agg(entry, ',' ORDER BY entry)) AS digest FROM (
-                SELECT {group}, entry, left(entry, 3) AS bucket FROM (
+                SELECT {group}, entry, left(entry, 4) AS bucket FROM (
                     SELECT {group}, sha256(line || chr(10) || count(*)) AS entry FROM ({lines}) GROUP BY {group}, line))
             GROUP BY {group}, bucket)
         GROUP BY {group}

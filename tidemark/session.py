@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +36,22 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **optio
     return builder.getOrCreate()
 
 
+@contextlib.contextmanager
+def session_settings(spark: SparkSession, settings: Mapping[str, object]) -> Iterator[None]:
+    """Runtime settings for the jobs started inside the block; the previous values come back after it."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, str(value))
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 @functools.lru_cache(maxsize=None)
 def _local_base() -> str:
     return tempfile.mkdtemp(prefix="tidemark-", dir="/tmp")

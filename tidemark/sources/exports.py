@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.checks import ContractError, provenance_differences
 from tidemark.operators.events import COPIES_PER_TASK
 from tidemark.operators.multiset import fingerprint, fingerprint_columns
+from tidemark.session import session_settings
 from tidemark.sources.files import list_files
 from tidemark.sources.tables import read_properties, replace_table
 
@@ -45,14 +45,20 @@ def export_sorted(frame: DataFrame, keys: Sequence[str], path: str, files: int)
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TARGET_FILE_BYTES) -> DataFrame:
     """Rewrite a folder of Parquet files into files of about ``file_bytes``; one row of counts.
 
-    The number of files follows from the measured bytes. Rows are dealt out evenly; the source
-    stays as it is until the caller has verified the target and switched to it.
+    Nothing is shuffled: a task reads as many small files as make up the target size and writes
+    one file. The source stays as it is until the caller has verified the target and switched to it.
     """
-    before = list_files(spark, source, "*.parquet").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first()
-    files = max(1, math.ceil((before["b"] or 0) / file_bytes))
-    spark.read.parquet(source).repartition(files).write.mode("overwrite").parquet(target)
-    after = list_files(spark, target, "*.parquet").agg(F.count(F.lit(1)).alias("files_after"))
-    return after.select(F.lit(before["n"]).alias("files_before"), "files_after")
+    packing = {
+        "spark.sql.files.maxPartitionBytes": file_bytes,
+        "spark.sql.files.openCostInBytes": 1,
+        "spark.sql.files.minPartitionNum": 1,
+    }
+    with session_settings(spark, packing):
+        spark.read.parquet(source).write.mode("overwrite").parquet(target)
+    before, after = (
+        list_files(spark, path, "*.parquet").agg(F.count(F.lit(1))).scalar() for path in (source, target)
+    )
+    return spark.range(1).select(before.alias("files_before"), after.alias("files_after"))
 
 
 def observed_fingerprint(frame: DataFrame, name: str = "written") -> tuple[DataFrame, Observation]:
