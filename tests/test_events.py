@@ -72,6 +72,8 @@ def test_expand_copies_splits_large_counts(spark, rows):
     frame = spark.createDataFrame([("a", 25), ("b", 1), ("c", 0)], "k string, n long")
     expanded = events.expand_copies(frame, "n", per_task=10)
     assert rows(expanded.groupBy("k").count()) == [("a", 25), ("b", 1)]
+    numbered = events.expand_copies(frame, "n", number="c", per_task=10)
+    assert rows(numbered.groupBy("k").agg(F.min("c"), F.max("c"), F.countDistinct("c"))) == [("a", 1, 25, 25), ("b", 1, 1, 1)]
 
 
 def test_session_checks_accept_and_reject(spark, violations):

@@ -74,9 +74,9 @@ def test_groups_shrink_before_the_shuffle(hot, name, build):
         assert "partial_" in part or "Aggregate" in part.split("\n")[1], part.split("\n")[1]
 
 
-def test_no_window_spans_a_whole_user(spark, hot):
+def test_no_window_spans_a_whole_user(hot):
     frame = hot.select(F.col("k").alias("u"), F.timestamp_seconds("v").cast("timestamp_ntz").alias("t"), F.col("v").alias("i"))
-    plan = events.sessionize(frame, "u", "t", "i")._jdf.queryExecution().executedPlan().toString()
+    plan = events._session_moments(frame, "u", "t", "i", 1800)._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.split("\n") if "Window [" in line]
     assert windows
     for line in windows:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.predicates import parse_event_time
+from tidemark.session import shared_folder
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -58,15 +59,22 @@ def type_histogram(events: DataFrame, column: str = "type") -> DataFrame:
     return events.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc(column))
 
 
-def expand_copies(frame: DataFrame, count: str, per_task: int = COPIES_PER_TASK) -> DataFrame:
-    """Repeat every row ``count`` times, spreading a huge count over many tasks."""
+def expand_copies(
+    frame: DataFrame, count: str, number: str | None = None, per_task: int = COPIES_PER_TASK
+) -> DataFrame:
+    """Repeat every row ``count`` times, spreading a huge count over many tasks.
+
+    ``number`` names a column for the copy's number, from 1.
+    """
     names = [name for name in frame.columns if name != count]
     blocks = frame.where(F.col(count) > 0).withColumn(
         "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / per_task)))
     )
     spread = blocks.repartition(*names, "_block")
-    size = F.least(F.lit(per_task).cast("long"), F.col(count) - F.col("_block") * per_task)
-    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(names)
+    first = F.col("_block") * per_task + 1
+    last = F.least(first + (per_task - 1), F.col(count))
+    copies = spread.withColumn(number or "_copy", F.explode(F.sequence(first, last)))
+    return copies.select(*names, *([number] if number else []))
 
 
 def _session_moments(events: DataFrame, user: str, time: str, order: str, gap_seconds: int) -> DataFrame:
@@ -152,38 +160,41 @@ def sessionize(
     ``gap_seconds`` whole seconds. Exact copies are kept: one of them carries the flag. ``order``
     identifies an event, so rows sharing it are copies of one another.
 
-    The moments join back on (user, time) through plain shuffles on both sides, a shape adaptive
-    execution can split when one moment holds very many events.
+    The moments, a narrow table, are computed once and written to the shared folder. They join back
+    on (user, time): by broadcast where their files are small, else through a plain shuffle of both
+    sides, a shape adaptive execution can split when one moment holds very many events.
     """
-    moments = _session_moments(events, user, time, order, gap_seconds)
+    spark = events.sparkSession
+    path = shared_folder(spark, "moments")
+    _session_moments(events, user, time, order, gap_seconds).write.parquet(path)
+    moments = spark.read.parquet(path)
+
     at_moment = [F.col(user) == F.col("_user"), F.col(time) == F.col("_time")]
     is_first = F.col(order) == F.col("first_order")
     columns = list(events.columns)
 
-    joined = events.join(moments, at_moment)
-    single = joined.where(~(is_first & (F.col("first_copies") > 1))).select(
-        *columns,
-        F.when(is_first, F.col("_previous")).otherwise(F.col(time)).alias(previous_name),
-        F.when(is_first, F.col("_starts")).otherwise(F.lit(0)).alias("new_session"),
-        "session_id",
-    )
-
-    copied = events.join(moments.where(F.col("first_copies") > 1), [*at_moment, is_first])
-    stacked = copied.groupBy(*columns, "_previous", "_starts", "session_id").agg(F.count(F.lit(1)).alias("_n"))
-    leader = stacked.select(
-        *columns, F.col("_previous").alias(previous_name), F.col("_starts").alias("new_session"), "session_id"
-    )
-    followers = expand_copies(
-        stacked.select(
+    def annotated(frame: DataFrame, leads: Column) -> DataFrame:
+        return frame.select(
             *columns,
-            F.col(time).alias(previous_name),
-            F.lit(0).alias("new_session"),
+            F.when(leads, F.col("_previous")).otherwise(F.col(time)).alias(previous_name),
+            F.when(leads, F.col("_starts")).otherwise(F.lit(0)).alias("new_session"),
             "session_id",
-            (F.col("_n") - 1).alias("_n"),
-        ),
-        "_n",
+        )
+
+    joined = events.join(moments, at_moment)
+    copied = F.col("first_copies") > 1
+    if moments.where(copied).isEmpty():
+        return annotated(joined, is_first)
+
+    # Exactly one copy of a repeated first event carries its flag.
+    stacked = (
+        events.join(moments.where(copied), [*at_moment, is_first])
+        .groupBy(*columns, "_previous", "_starts", "session_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    return single.unionByName(leader).unionByName(followers)
+    numbered = expand_copies(stacked, "_n", number="_copy")
+    single = joined.where(~(is_first & copied))
+    return annotated(single, is_first).unionByName(annotated(numbered, F.col("_copy") == 1))
 
 
 def sessions_per_user(sessions: DataFrame, user: str = "actor_login") -> DataFrame:

@@ -115,6 +115,37 @@ def table_append(spark, folder):
     return files.read_table(spark, f"{silver}.orders")
 
 
+@query(
+    "table_ctas",
+    "SELECT o_orderdate, count(*) AS orders FROM orders GROUP BY o_orderdate",
+)
+def table_ctas(spark, folder):
+    """Create a table from a query if absent; the second statement finds it and does nothing."""
+    silver, _ = _namespaces(spark)
+    days = table(spark, folder, "orders").groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("orders"))
+    tables.create_table_if_absent(days, f"{silver}.days")
+    tables.create_table_if_absent(days.limit(0), f"{silver}.days")
+    return files.read_table(spark, f"{silver}.days")
+
+
+@query(
+    "table_properties",
+    """
+    SELECT t AS source_table, k AS key, CASE k WHEN 'dataset' THEN 'tpch' ELSE cast((SELECT count(*) FROM customer) AS varchar) END AS value
+    FROM (SELECT unnest(['dim_customer', 'fct_customer']) AS t), (SELECT unnest(['dataset', 'dataset.rows']) AS k)
+    """,
+)
+def table_properties(spark, folder):
+    """Properties of two tables in one listing, tagged by table."""
+    silver, gold = _namespaces(spark)
+    customer = table(spark, folder, "customer")
+    provenance = {"dataset": "tpch", "dataset.rows": str(customer.count())}
+    names = {"dim_customer": f"{gold}.dim_customer", "fct_customer": f"{silver}.fct_customer"}
+    for name in names.values():
+        exports.replace_verified(customer, name, provenance)
+    return tables.tagged_properties(spark, names, list(provenance))
+
+
 @query(
     "table_metadata",
     """

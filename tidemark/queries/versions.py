@@ -126,6 +126,20 @@ def branch_head(spark, folder):
     return versions.branch_head(log, order_refs(log))
 
 
+@query(
+    "branch_heads",
+    f"""
+    SELECT 'audit' AS name, commit_id, committed_at FROM ({LOG_SQL}) WHERE commit_id = 1997
+    UNION ALL SELECT * FROM (SELECT 'main', commit_id, committed_at FROM ({LOG_SQL}) ORDER BY commit_id DESC LIMIT 1)
+    """,
+)
+def branch_heads(spark, folder):
+    """Heads of two branches in one listing."""
+    log = order_log(spark, folder)
+    refs = versions.move_ref(order_refs(log), "audit", 1997)
+    return versions.branch_head(log, refs, "audit").unionAll(versions.branch_head(log, refs)).orderBy("name")
+
+
 @query("stable_head", "SELECT true AS stable UNION ALL SELECT false")
 def stable_head(spark, folder):
     """The head read twice is the same; after a rollback it is not."""
