@@ -125,6 +125,12 @@ def test_reads_as_of_and_by_branch(history, rows):
     assert rows(versions.read_branch(data, log, refs)) == [("a",), ("c",)]
 
 
+def test_branch_reads_do_not_shuffle_rows(history):
+    log, refs, data = history
+    plan = versions.read_branch(data, log, refs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
+
+
 def test_rollback_then_commit_leaves_the_old_line(history, rows, spark):
     log, refs, data = history
     refs = versions.create_branch(refs, "audit")

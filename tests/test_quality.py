@@ -252,8 +252,10 @@ def test_refused_runs_store_facts_and_write_nothing(spark, tmp_path):
 
 def test_changed_source_stops_the_run(spark, tmp_path):
     heads = iter([HEAD, Head(43, "2026-08-14 09:30:00", "x")])
-    with pytest.raises(checks.ContractError, match="source changed"):
+    with pytest.raises(QualityFailure, match="readback_mismatch"):
         run_quality(spark, request(tmp_path), lambda: next(heads), lambda: trips(spark, [(10, 2)]))
+    (fact,) = read_facts(spark, f"{tmp_path}/facts").collect()
+    assert (fact["rule_id"], fact["status"], fact["metric_value"]) == ("silver.output_readback.v1", "fail", None)
 
 
 def test_canonical_text_forms(spark):

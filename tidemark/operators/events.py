@@ -158,7 +158,8 @@ def sessionize(
 
     Order is (time, order). A session starts at a user's first event and after a gap of more than
     ``gap_seconds`` whole seconds. Exact copies are kept: one of them carries the flag. ``order``
-    identifies an event, so rows sharing it are copies of one another.
+    identifies an event, so rows sharing it are copies of one another. Users and times are not null,
+    as the event contract demands.
 
     The moments, a narrow table, are computed once and written to the shared folder. They join back
     on (user, time): by broadcast where their files are small, else through a plain shuffle of both

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import shared_folder
+
 MAIN = "main"
 MAX_CHAIN = 100_000
 
@@ -84,9 +86,13 @@ def same_head(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def ancestry(log: DataFrame, heads: DataFrame, max_chain: int = MAX_CHAIN) -> DataFrame:
-    """Commit ids reachable from ``heads`` (a frame with commit_id) along parent links."""
+    """Commit ids reachable from ``heads`` (a frame with commit_id) along parent links.
+
+    The recursion runs over the log, one row per commit, and its result is stored as a small table:
+    Spark then knows its size and broadcasts it, so table rows are filtered without a shuffle.
+    """
     spark: SparkSession = log.sparkSession
-    return spark.sql(
+    chain = spark.sql(
         f"""
         WITH RECURSIVE chain(commit_id, parent_id) MAX RECURSION LEVEL {int(max_chain)} AS (
             SELECT l.commit_id, l.parent_id FROM {{log}} l JOIN {{heads}} h ON l.commit_id = h.commit_id
@@ -98,6 +104,9 @@ def ancestry(log: DataFrame, heads: DataFrame, max_chain: int = MAX_CHAIN) -> Da
         log=log.select("commit_id", "parent_id"),
         heads=heads.select("commit_id"),
     )
+    path = shared_folder(spark, "ancestry")
+    chain.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def read_as_of(rows: DataFrame, version: int) -> DataFrame:

@@ -8,15 +8,22 @@ rows. The readback is proved by fingerprints, without a shuffle, or row by row w
 from __future__ import annotations
 
 import dataclasses
+import datetime
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.operators.changes import merge_checks, merge_upsert
 from tidemark.operators.checks import ContractError, require_exact_schema, require_passed
-from tidemark.operators.multiset import FINGERPRINT_NAMES, fingerprint_columns, partition_report, same_rows
+from tidemark.operators.multiset import (
+    FINGERPRINT_NAMES,
+    check_rows,
+    fingerprint_columns,
+    partition_report,
+    same_rows,
+)
 
 DIAGNOSTIC_CODES = sorted({code for _, _, code in quality.GOVERNED_OUTCOMES})
 REFUSING = ("fail", "stale", "missing")
@@ -75,24 +82,19 @@ def _observation(spark: SparkSession, request: RunRequest, head: Head | None, ma
     )
 
 
-def store_facts(facts: DataFrame, path: str) -> DataFrame:
+def store_facts(facts: DataFrame, run: str, path: str) -> DataFrame:
     """Merge one run's facts into the fact table on (run, rule) and return the stored run.
 
     The table is partitioned by run, so the merge reads and replaces that run's few rows only.
     """
     spark = facts.sparkSession
+    allowed = {"status": quality.STATUS_ORDER, "diagnostic_code": DIAGNOSTIC_CODES}
+    ungoverned = quality.outcome_violations(facts).agg(F.count(F.lit(1)).alias("outcome_not_governed"))
     require_passed(
-        merge_checks(
-            facts,
-            ["quality_run_id", "rule_id"],
-            "quality_run_id",
-            quality.MAX_BATCH_FACTS,
-            {"status": quality.STATUS_ORDER, "diagnostic_code": DIAGNOSTIC_CODES},
+        merge_checks(facts, ["quality_run_id", "rule_id"], "quality_run_id", quality.MAX_BATCH_FACTS, allowed).unionByName(
+            check_rows(ungoverned)
         )
     )
-    if not quality.outcome_violations(facts).isEmpty():
-        raise ContractError("fact outcome is not governed")
-    run = facts.select("quality_run_id").first()["quality_run_id"]
     merged = merge_upsert(read_facts(spark, path, run), facts, ["quality_run_id", "rule_id"])
     (
         merged.write.mode("overwrite")
@@ -114,17 +116,22 @@ def read_facts(spark: SparkSession, path: str, run: str | None = None) -> DataFr
     return facts.where(F.col("quality_run_id") == run) if run is not None else facts
 
 
-def _measure(bronze: DataFrame, valid: Column) -> tuple[dict, dict]:
-    """Row counts and the fingerprint of each side, from one pass over the source."""
-    names = list(bronze.columns)
-    flagged = bronze.select(*names, valid.alias("_valid"))
-    sides = {row["_valid"]: row for row in flagged.groupBy("_valid").agg(*fingerprint_columns(names)).collect()}
-    prints = {
-        side: {name: sides[side][name] if side in sides else 0 for name in FINGERPRINT_NAMES} for side in (True, False)
-    }
-    clean, bad = prints[True]["row_count"], prints[False]["row_count"]
-    counts = {"source_rows": clean + bad, "invalid_rows": bad, "clean_rows": clean, "quarantine_rows": bad}
-    return counts, prints
+def _prints(frame: DataFrame, *flags: str) -> dict:
+    """Fingerprint of the trip columns per combination of the flag columns."""
+    aggregates = fingerprint_columns(quality.TRIP_SCHEMA.fieldNames())
+    found = frame.groupBy(*flags).agg(*aggregates).collect()
+    return {tuple(row[flag] for flag in flags): tuple(row[name] for name in FINGERPRINT_NAMES) for row in found}
+
+
+def _counts(prints: dict) -> dict:
+    clean, bad = (prints.get((side,), (0,))[0] for side in (True, False))
+    return {"source_rows": clean + bad, "invalid_rows": bad, "clean_rows": clean, "quarantine_rows": bad}
+
+
+def _age_seconds(head: Head, request: RunRequest) -> int:
+    """Whole seconds from the commit to the end of the interval, rounded down."""
+    end, commit = (datetime.datetime.fromisoformat(text) for text in (request.data_interval_end, head.committed_at))
+    return (end - commit) // datetime.timedelta(seconds=1)
 
 
 def run_quality(
@@ -133,7 +140,10 @@ def run_quality(
     capture: Callable[[], Head | None],
     read: Callable[[], DataFrame],
 ) -> DataFrame:
-    """Run all gates; returns the run's stored facts or raises ``QualityFailure``."""
+    """Run all gates; returns the run's stored facts or raises ``QualityFailure``.
+
+    A failure after the gates, such as a source that changed meanwhile, is stored as one failed fact.
+    """
     ensure_facts(spark, request.facts)
 
     def decide(observation: DataFrame) -> list:
@@ -142,7 +152,7 @@ def run_quality(
 
     def finish(rows: list) -> DataFrame:
         facts = spark.createDataFrame(rows, quality.FACT_SCHEMA)
-        stored = store_facts(facts, request.facts)
+        stored = store_facts(facts, rows[0]["quality_run_id"], request.facts)
         if not same_rows(facts, stored):
             raise ContractError("stored facts differ from the intended ones")
         for row in rows:
@@ -150,6 +160,13 @@ def run_quality(
                 raise QualityFailure(row["status"], row["diagnostic_code"])
         return stored
 
+    def diagnose(rows: list, rule: str, diagnostic: str) -> None:
+        """Store one failed fact without a metric, then stop."""
+        known = next(row.asDict() for row in rows if row["rule_id"] == rule)
+        measures = dict.fromkeys(["metric_numerator", "metric_denominator", "metric_value"])
+        failed = {"status": "fail", "severity": quality.SEVERITY["fail"], "diagnostic_code": diagnostic}
+        finish([Row(**(known | measures | failed))])
+
     def refuse(observation: DataFrame) -> None:
         finish(decide(observation))
         raise AssertionError("a refused run cannot finish")
@@ -157,10 +174,8 @@ def run_quality(
     head = capture()
     if head is None:
         refuse(_observation(spark, request, None, False, {}))
-    early = _observation(spark, request, head, True, {})
-    age = quality.snapshot_age(F.col("source_snapshot_committed_at"), F.col("data_interval_end"))
-    if early.select((age > quality.FRESH_SECONDS).alias("stale")).first()["stale"]:
-        refuse(early)
+    if _age_seconds(head, request) > quality.FRESH_SECONDS:
+        refuse(_observation(spark, request, head, True, {}))
 
     bronze = read()
     try:
@@ -168,28 +183,30 @@ def run_quality(
     except ContractError:
         refuse(_observation(spark, request, head, False, {}))
     valid = quality.trip_rule()
-    counts, prints = _measure(bronze, valid)
-    rows = decide(_observation(spark, request, head, True, counts))
+    prints = _prints(bronze.withColumn("valid", valid), "valid")
+    rows = decide(_observation(spark, request, head, True, _counts(prints)))
     if any(row["status"] in REFUSING for row in rows):
         finish(rows)
 
     parts = f"{request.output}/snapshot={head.snapshot_id}"
     bronze.withColumn("valid", valid).write.mode("overwrite").partitionBy("valid").parquet(parts)
-    clean, quarantine = (read_part(spark, parts, side) for side in (True, False))
-    _, found = _measure(clean.unionByName(quarantine), valid)
-    if found != prints:
-        raise ContractError("stored parts differ from the source")
-    misplaced = clean.where(~valid).unionByName(quarantine.where(valid))
-    if not misplaced.isEmpty():
-        raise ContractError("a stored part holds rows of the other one")
+    stored = _prints(read_parts(spark, parts).withColumn("judged", valid), "valid", "judged")
+    if stored != {(side, side): found for (side,), found in prints.items()}:
+        diagnose(rows, "silver.output_readback.v1", "readback_mismatch")
     if request.exact_proof:
-        require_passed(partition_report(bronze, clean, quarantine, valid))
+        clean, quarantine = (read_part(spark, parts, side) for side in (True, False))
+        if not partition_report(bronze, clean, quarantine, valid).where("violations > 0").isEmpty():
+            diagnose(rows, "silver.partition_conservation.v1", "partition_mismatch")
     if capture() != head:
-        raise ContractError("the source changed during the run")
+        diagnose(rows, "silver.output_readback.v1", "readback_mismatch")
     return finish(rows)
 
 
+def read_parts(spark: SparkSession, parts: str) -> DataFrame:
+    """Both parts of a run; ``valid`` tells them apart."""
+    return spark.read.schema(f"{quality.TRIP_SCHEMA.toDDL()}, valid BOOLEAN").parquet(parts)
+
+
 def read_part(spark: SparkSession, parts: str, valid: bool) -> DataFrame:
     """The clean or the quarantined rows of a run, with the contract's columns."""
-    stored = spark.read.schema(f"{quality.TRIP_SCHEMA.toDDL()}, valid BOOLEAN").parquet(parts)
-    return stored.where(F.col("valid") == valid).select(*quality.TRIP_SCHEMA.fieldNames())
+    return read_parts(spark, parts).where(F.col("valid") == valid).select(*quality.TRIP_SCHEMA.fieldNames())
