@@ -122,7 +122,7 @@ def read_commits(rows: DataFrame, visible: DataFrame) -> DataFrame:
 
     The commit list is metadata, one row per commit, so both joins stay on the small side.
     """
-    commits = visible.select("commit_id").distinct()
+    commits = visible.select("commit_id")
     added = rows.join(commits, F.col("added_commit") == F.col("commit_id"), "left_semi")
     live = added.join(commits, F.col("removed_commit") == F.col("commit_id"), "left_anti")
     return live.drop("added_commit", "removed_commit")
