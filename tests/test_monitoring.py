@@ -1,4 +1,6 @@
 import datetime
+import hashlib
+import json
 import random
 
 import numpy as np
@@ -157,6 +159,17 @@ def test_eligible_decision_has_its_anchor(spark):
     assert row["eligible_after"] == OCCURRED + datetime.timedelta(days=14)
 
 
+def test_decision_plan_is_canonical(spark):
+    frame = spark.createDataFrame([tuple((BASE | {"has_lease": False}).values())], SCHEMA)
+    kept = ["evaluated_at", "newest_last_modified", "object_count", "total_bytes", "inventory_sha256"]
+    row = retention.decision_plans(retention.retention_decision(frame, keep=kept), "p" * 64).first()
+    payload = json.loads(row["plan_json"])
+    assert row["plan_json"] == json.dumps(payload, sort_keys=True, separators=(",", ":"))
+    assert payload["decision"] == "refused" and payload["refusal_codes"] == ["lease_missing"]
+    assert payload["inventory"]["newest_last_modified"] == "2026-01-09T23:59:00Z"
+    assert row["plan_sha256"] == hashlib.sha256(row["plan_json"].encode()).hexdigest()
+
+
 RETIRED = retention.CheckpointRule(
     "streaming-events-v1", "events/", "durable_stream", ("stopped", "retired"), 2592000, "retired", "2026-01-11 00:00:00", "review/1"
 )

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.predicates import is_true
+from tidemark.functions.predicates import EVENT_TIME_PATTERN, is_true
 from tidemark.operators.digests import keyed_digest
 
 # Bounds and clocks of the retention policy.
@@ -275,3 +275,31 @@ def retention_decision(
         after.alias("eligible_after"),
     )
     return decided.withColumn("eligible", F.size("refusal_codes") == 0)
+
+
+def decision_plans(decisions: DataFrame, policy_sha256: str) -> DataFrame:
+    """Add the canonical JSON of each decision and its sha256.
+
+    Members are in name order and times are canonical UTC text. ``decisions`` must keep evaluated_at
+    and the inventory columns.
+    """
+
+    def text(name: str) -> Column:
+        return F.date_format(name, EVENT_TIME_PATTERN).alias(name)
+
+    inventory = F.struct(
+        text("newest_last_modified"), "object_count", F.col("inventory_sha256").alias("sha256"), "total_bytes"
+    )
+    plan = F.struct(
+        "checkpoint_id",
+        F.when(F.col("eligible"), "eligible").otherwise("refused").alias("decision"),
+        text("eligible_after"),
+        text("evaluated_at"),
+        inventory.alias("inventory"),
+        F.lit(policy_sha256).alias("policy_sha256"),
+        "prefix",
+        "refusal_codes",
+        text("retention_anchor"),
+    )
+    planned = decisions.withColumn("plan_json", F.to_json(plan, {"ignoreNullFields": "false"}))
+    return planned.withColumn("plan_sha256", F.sha2("plan_json", 256))

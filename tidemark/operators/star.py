@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +82,14 @@ def broadcast_if_small(frame: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTE
     return (F.broadcast(frame), True) if small else (frame, False)
 
 
+def plan_text(frame: DataFrame, mode: str = "formatted") -> str:
+    """The plan as ``explain`` prints it, to report which join was chosen."""
+    printed = io.StringIO()
+    with contextlib.redirect_stdout(printed):
+        frame.explain(mode)
+    return printed.getvalue()
+
+
 def segment_orders(orders: DataFrame, customer: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Order value and count per segment, joined by broadcast when the dimension fits.
 
