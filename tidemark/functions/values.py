@@ -30,6 +30,11 @@ def utc_text(timestamp: Column) -> Column:
     return F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def utc_wall(timestamp: Column) -> Column:
+    """The UTC wall clock of an instant, whatever the session's time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), timestamp.cast("timestamp_ntz"))
+
+
 def sha256_lines(*parts: Column) -> Column:
     """Lower-case hex sha256 of the parts joined by a newline."""
     return F.sha2(F.concat_ws("\n", *[part.cast("string") for part in parts]), 256)

@@ -361,7 +361,8 @@ def landing_check(spark, folder):
 @query(
     "parquet_contract",
     """
-    SELECT * FROM (VALUES (1, 'o_custkey', 'int32', 'o_custkey', 'int64'), (6, 'o_comment', 'string', NULL, NULL))
+    SELECT t.*, (SELECT count(*) FROM orders) AS rows_affected
+    FROM (VALUES (1, 'o_custkey', 'int32', 'o_custkey', 'int64'), (6, 'o_comment', 'string', NULL, NULL))
         AS t(position, contract_column, contract_type, observed_column, observed_type)
     """,
 )
@@ -379,7 +380,8 @@ def parquet_contract(spark, folder):
         ],
         "position int, column_name string, logical_type string",
     )
-    return integrity.compare_columns(files.parquet_columns(spark, f"{folder}/orders.parquet"), contract)
+    differences = integrity.compare_columns(files.parquet_columns(spark, f"{folder}/orders.parquet"), contract)
+    return differences.withColumn("rows_affected", table(spark, folder, "orders").agg(F.count(F.lit(1))).scalar())
 
 
 @query("file_digest")

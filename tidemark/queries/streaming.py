@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.values import utc_wall
+from tidemark.operators import events
 from tidemark.queries.events import FLAT_SQL, NESTED, event_lines
 from tidemark.queries.registry import query, table
 from tidemark.session import shared_folder
-from tidemark.operators import events
 from tidemark.sources import tables
 from tidemark.streaming import cdc, ingest, windows
 
@@ -35,7 +36,7 @@ def stream_ingest(spark, folder):
     payloads.write.text(f"{base}/landing")
     lines = ingest.file_stream(spark, f"{base}/landing", payloads.schema, "text")
     stored = ingest.drain_to_folder(ingest.decode_payload(lines), f"{base}/bronze", f"{base}/checkpoint")
-    return stored.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return stored.withColumn("ts", utc_wall(F.col("ts")))
 
 
 @query("stream_files", FLAT_SQL + " UNION ALL " + FLAT_SQL)
