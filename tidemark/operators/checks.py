@@ -108,13 +108,15 @@ def schema_sha256(schema: T.StructType) -> str:
 # --- row contracts ------------------------------------------------------------------------------
 
 
-def count_violations(frame: DataFrame, violations: Mapping[str, Column]) -> DataFrame:
-    """One pass over the frame; each condition marks a violating row."""
-    return check_rows(frame.agg(*[F.count_if(is_true(rule)).alias(name) for name, rule in violations.items()]))
+def count_violations(frame: DataFrame, violations: Mapping[str, Column], empty: str | None = None) -> DataFrame:
+    """One pass over the frame; each condition marks a violating row.
 
-
-def nonempty_check(frame: DataFrame, name: str) -> DataFrame:
-    return check_rows(frame.agg((F.count(F.lit(1)) == 0).cast("long").alias(name)))
+    ``empty`` names a further check that fails when the frame has no rows.
+    """
+    counts = [F.count_if(is_true(rule)).alias(name) for name, rule in violations.items()]
+    if empty is not None:
+        counts.insert(0, (F.count(F.lit(1)) == 0).cast("long").alias(empty))
+    return check_rows(frame.agg(*counts))
 
 
 def _row_count(frame: DataFrame, name: str) -> DataFrame:
@@ -158,14 +160,10 @@ def star_source_checks(customer: DataFrame, orders: DataFrame, lineitem: DataFra
 
 
 def ratings_checks(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
-    return union_checks(
-        [
-            nonempty_check(ratings, "ratings_empty"),
-            count_violations(
-                ratings,
-                {"ratings_null": any_null(ratings.columns), "ratings_not_finite": ~is_finite(rating)},
-            ),
-        ]
+    return count_violations(
+        ratings,
+        {"ratings_null": any_null(ratings.columns), "ratings_not_finite": ~is_finite(rating)},
+        empty="ratings_empty",
     )
 
 
@@ -197,8 +195,9 @@ def event_checks(
 ) -> DataFrame:
     return union_checks(
         [
-            nonempty_check(events, "events_empty"),
-            count_violations(events, {"text_blank": any_blank(text), "time_null": F.col(time).isNull()}),
+            count_violations(
+                events, {"text_blank": any_blank(text), "time_null": F.col(time).isNull()}, empty="events_empty"
+            ),
             _row_count(conflicting_ids(events, [key]), "conflicting_ids"),
         ]
     )

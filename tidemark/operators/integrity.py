@@ -11,7 +11,7 @@ from tidemark.functions import json_text
 from tidemark.functions.cells import FLOAT_LIMITS, cell_violation, is_legal
 from tidemark.functions.predicates import is_canonical_event_time, is_true
 from tidemark.functions.values import plain_decimal_text
-from tidemark.operators.checks import ContractError, count_violations, nonempty_check, union_checks
+from tidemark.operators.checks import ContractError, count_violations
 from tidemark.operators.digests import keyed_digest
 
 # Text forms of generation identities.
@@ -223,7 +223,7 @@ def json_line_checks(
             wanted = F.array(*[F.lit(name) for name in sorted(members)])
             found = text if parent == "" else F.get_json_object(text, f"$.{parent}")
             rules[f"members_differ:{parent or 'record'}"] = ~F.array_sort(F.json_object_keys(found)).eqNullSafe(wanted)
-    return union_checks([nonempty_check(records, "no_records"), count_violations(parsed, rules)])
+    return count_violations(parsed, rules, empty="no_records")
 
 
 def landing_event_checks(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -246,7 +246,7 @@ def landing_event_checks(lines: DataFrame, line: str = "value") -> DataFrame:
         "created_at:canonical": ~is_canonical_event_time(member("created_at")),
     }
     parsed = lines.select(line).withColumn(VARIANT, json_text.parsed(text))
-    return union_checks([nonempty_check(lines, "no_records"), count_violations(parsed, rules)])
+    return count_violations(parsed, rules, empty="no_records")
 
 
 def require_single_generation(parsed: DataFrame) -> tuple[str, str]:
