@@ -28,7 +28,6 @@ class Scratch:
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark = spark
         self.base = shared_folder(spark, purpose)
-        self.paths: dict[int, str] = {}
         self.count = 0
 
     def write(self, frame: DataFrame) -> DataFrame:
@@ -36,10 +35,13 @@ class Scratch:
         self.count += 1
         frame.write.option("compression", "zstd").parquet(path)
         table = self.spark.read.schema(frame.schema).parquet(path)
-        self.paths[id(table)] = path
         table._scratch_path = path
         return table
 
+    def again(self, table: DataFrame) -> DataFrame:
+        """The same table as a new frame, for a plan in which it meets itself."""
+        return self.spark.read.schema(table.schema).parquet(table._scratch_path)
+
     def drop(self, *tables: DataFrame) -> None:
         """Remove tables that no later step reads."""
         jvm = self.spark._jvm
@@ -147,7 +149,10 @@ def bitmap_of(frame: DataFrame, column: str, bits: int) -> np.ndarray:
     cell = F.col(column).bitwiseAND((1 << bits) - 1)
     words = (
         frame.filter(F.col(column).isNotNull())
-        .select(F.shiftright(cell, 6).alias("word"), F.shiftleft(F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int")).alias("bit"))
+        .select(
+            F.shiftright(cell, 6).alias("word"),
+            F.call_function("shiftleft", F.lit(1).cast("long"), cell.bitwiseAND(63).cast("int")).alias("bit"),
+        )
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
