@@ -110,6 +110,19 @@ def test_artifact_over_its_bound_fails(spark):
         artifacts.result_artifact(rows, [("k", "varchar")], [artifacts.json_text(rows["k"])], "k", 5, 1000).collect()
 
 
+@pytest.mark.parametrize("column", ["row_count", "rows_json", "result_sha256"])
+@pytest.mark.parametrize("max_rows, max_bytes", [(6, 1000), (7, 80)])
+def test_artifact_bound_holds_for_each_column(spark, column, max_rows, max_bytes):
+    rows = spark.range(7).selectExpr("cast(id as string) k")
+    report = lambda *bounds: artifacts.result_artifact(rows, [("k", "varchar")], [artifacts.json_text(rows["k"])], "k", *bounds)
+    with pytest.raises(Exception, match="artifact exceeds its bound"):
+        report(max_rows, max_bytes).select(column).collect()
+    exact = len('{"columns":[{"name":"k","type":"varchar"}],"rows":[' + ",".join(f'["{n}"]' for n in range(7)) + "]}")
+    assert report(7, exact).first()["row_count"] == 7
+    with pytest.raises(Exception, match="artifact exceeds its bound"):
+        report(7, exact - 1).select(column).collect()
+
+
 def test_daily_report(spark, rows):
     trips = spark.createDataFrame(
         [(datetime.date(2023, 1, 1), 5.0), (datetime.date(2023, 1, 1), 6.5), (datetime.date(2023, 1, 2), 20000000.0)],

@@ -41,22 +41,26 @@ def result_artifact(
 ) -> DataFrame:
     """One row: row_count, rows_json and the sha256 of the canonical result.
 
-    The input is a report whose row bound is part of its contract. Reading one row more than the
-    bound is enough to detect an overflow, which fails the job, as does exceeding the byte bound.
+    The input is a report whose row and byte bounds are part of its contract. Both are measured first;
+    an overflow fails the job whichever columns are read, and no row of it is gathered.
     """
     line = F.concat(F.lit("["), F.concat_ws(",", *cells), F.lit("]"))
-    bounded = rows.select(F.col(order).cast("string").alias("_key"), line.alias("_line")).limit(max_rows + 1)
-    packed = bounded.agg(F.sort_array(F.collect_list(F.struct("_key", "_line"))).alias("_rows"))
+    lined = rows.select(F.col(order).cast("string").alias("_key"), line.alias("_line"))
     header = json.dumps([{"name": name, "type": kind} for name, kind in columns], separators=(",", ":"))
+    begin, end = '{"columns":' + header + ',"rows":', "}"
+    row_count = F.count(F.lit(1))
+    # the brackets, and a comma between two lines
+    size = F.coalesce(F.sum(F.octet_length("_line") + 1), F.lit(1)) + 1 + len((begin + end).encode())
+    fits = lined.agg(((row_count <= max_rows) & (size <= max_bytes)).alias("fits")).scalar()
+    packed = lined.where(fits).agg(F.sort_array(F.collect_list(F.struct("_key", "_line"))).alias("_rows"))
     body = F.concat(F.lit("["), F.concat_ws(",", F.col("_rows._line")), F.lit("]"))
-    result = packed.select(F.size("_rows").cast("long").alias("row_count"), body.alias("rows_json"))
-    payload = F.concat(F.lit('{"columns":' + header + ',"rows":'), F.col("rows_json"), F.lit("}"))
-    fits = (F.col("row_count") <= max_rows) & (F.octet_length(payload) <= max_bytes)
-    return result.select(
-        F.when(fits, F.col("row_count")).otherwise(F.raise_error(F.lit("artifact exceeds its bound")).cast("long")).alias("row_count"),
-        "rows_json",
-        F.sha2(payload, 256).alias("result_sha256"),
+    result = F.struct(
+        F.size("_rows").cast("long").alias("row_count"),
+        body.alias("rows_json"),
+        F.sha2(F.concat(F.lit(begin), body, F.lit(end)), 256).alias("result_sha256"),
     )
+    guarded = F.when(fits, result).otherwise(F.raise_error(F.lit("artifact exceeds its bound")))
+    return packed.select(guarded.alias("_result")).select("_result.*")
 
 
 def segment_artifact(segments: DataFrame) -> DataFrame:
