@@ -16,15 +16,34 @@ def at(seconds):
     return T0 + datetime.timedelta(seconds=seconds)
 
 
-@pytest.mark.parametrize("direct_values", [1_000_000, 15, 0])
-def test_trailing_quantile_equals_numpy(spark, direct_values):
-    """Small groups use the aggregate, larger ones their ranks; both give the same."""
+def test_quantile_of_nulls_infinities_and_copies(spark):
+    sample = {
+        "a": [float(value) for value in range(10)] + [None] * 5,
+        "inf": [1.0, float("inf"), float("-inf"), 3.0],
+        "tail": [1.0] * 50 + [1e300],
+        "one": [7.0],
+        "none": [None],
+    }
+    frame = spark.createDataFrame([(k, v) for k, own in sample.items() for v in own], "k string, _value double")
+    counts = frame.groupBy("k", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    for q in (0.0, 0.5, 0.95, 1.0):
+        found = {row["k"]: (row["quantile"], row["samples"]) for row in monitoring.counted_quantile(counts, ["k"], q).collect()}
+        builtin = frame.where("_value IS NOT NULL").groupBy("k").agg(F.percentile("_value", F.lit(q)).alias("p"), F.count("_value").alias("n"))
+        assert found == {row["k"]: (row["p"], row["n"]) for row in builtin.collect()}
+
+
+def test_quantile_of_a_null_group(spark):
+    frame = spark.createDataFrame([(None, 1.0, 1), (None, 3.0, 3), ("x", 2.0, 1)], "k string, _value double, _n long")
+    assert {row["k"]: row["quantile"] for row in monitoring.counted_quantile(frame, ["k"], 0.5).collect()} == {None: 3.0, "x": 2.0}
+
+
+def test_trailing_quantile_equals_numpy(spark):
     rng = random.Random(5)
     sample = [("hot" if rng.random() < 0.6 else "cold", at(rng.randrange(0, 4000)), round(rng.expovariate(1), 1)) for _ in range(400)]
     frame = spark.createDataFrame(sample, "s string, t timestamp_ntz, v double")
     found = {
         (row["s"], row["eval_time"]): (row["quantile"], row["samples"])
-        for row in monitoring.trailing_quantile(frame, "s", "t", "v", 0.95, 600, 60, direct_values).collect()
+        for row in monitoring.trailing_quantile(frame, "s", "t", "v", 0.95, 600, 60).collect()
     }
     expected = {}
     for step in range(0, 80):

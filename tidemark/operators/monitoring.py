@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from tidemark.session import shared_folder
 
 MICROS = 1_000_000
-DIRECT_VALUES = 1_000_000
-RANK_BUCKETS = 1024
 
 
 def step_number(time: Column, step_seconds: int) -> Column:
@@ -33,71 +31,51 @@ def _range_steps(window_seconds: int, step_seconds: int) -> int:
     return window_seconds // step_seconds
 
 
-def _value_at_rank(rows: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
-    """Values at 0-based ranks of very large groups: (keys, _which, _value).
-
-    ``rows`` has (keys, _value, _n), ``targets`` (keys, _which, _rank). The value range of a group
-    is cut into ``RANK_BUCKETS`` buckets, whose counts locate the bucket of the rank; only its rows
-    go on, with the rank counted from its start. Two rounds leave about a millionth of a group for
-    the ordered window at the end. Targets are few: two per group above ``DIRECT_VALUES``.
-    """
-    groups = [*keys, "_which"]
-    rows = rows.join(F.broadcast(targets.select(*groups)), keys)
-    for _ in range(2):
-        bounds = rows.groupBy(*groups).agg(F.min("_value").alias("_low"), F.max("_value").alias("_high"))
-        width = F.col("_high") - F.col("_low")
-        share = F.when(width > 0, (F.col("_value") - F.col("_low")) / width).otherwise(F.lit(0.0))
-        bucket = F.least(F.floor(share * RANK_BUCKETS), F.lit(RANK_BUCKETS - 1))
-        placed = rows.join(F.broadcast(bounds), groups).select(*groups, "_value", "_n", bucket.alias("_bucket"))
-        counts = placed.groupBy(*groups, "_bucket").agg(F.sum("_n").alias("_count"))
-        upto = F.sum("_count").over(Window.partitionBy(*groups).orderBy("_bucket"))
-        found = (
-            counts.withColumn("_before", upto - F.col("_count"))
-            .join(F.broadcast(targets), groups)
-            .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_count")))
-            .select(*groups, "_bucket", (F.col("_rank") - F.col("_before")).alias("_rank"))
-        )
-        rows = placed.join(F.broadcast(found.select(*groups, "_bucket")), [*groups, "_bucket"]).drop("_bucket")
-        targets = found.drop("_bucket")
-    upto = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_value"))
-    ranked = rows.withColumn("_before", upto - F.col("_n")).join(F.broadcast(targets), groups)
-    at_rank = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n"))
-    return ranked.where(at_rank).select(*groups, "_value")
-
-
-def counted_quantile(counts: DataFrame, keys: list[str], q: float, direct_values: int = DIRECT_VALUES) -> DataFrame:
+def counted_quantile(counts: DataFrame, keys: list[str], q: float) -> DataFrame:
     """Interpolated quantile per group of (keys, _value, _n) rows, each value once per group.
 
-    Groups up to ``direct_values`` distinct values use the built-in aggregate. Larger ones, of which
-    there are at most rows / direct_values, are solved by rank without holding them in one buffer.
-    The counts are stored once in the shared folder, as they are read again for each of these steps.
+    Null values do not count; a group of nulls alone has no row. The rows are range-partitioned by group
+    and value, so a very large group lies on many tasks in order. Each task counts its own rows, the
+    counts of the tasks before it (a row for each group and task) give the ranks. The ordered rows are
+    stored once in the shared folder, as they are read for the sums and for the ranks.
     """
     spark = counts.sparkSession
-    path = shared_folder(spark, "counts")
-    counts.select(*keys, "_value", "_n").write.parquet(path)
-    counts = spark.read.parquet(path)
-    by_aggregate = [F.percentile("_value", F.lit(q), F.col("_n")).alias("quantile"), F.sum("_n").alias("samples")]
-    sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_distinct"), F.sum("_n").alias("samples"))
-    large = sizes.where(F.col("_distinct") > direct_values)
-    if large.isEmpty():
-        return counts.groupBy(*keys).agg(*by_aggregate)
-    direct = counts.join(F.broadcast(large.select(*keys)), keys, "left_anti").groupBy(*keys).agg(*by_aggregate)
-    position = F.lit(q) * (F.col("samples") - 1)
-    ends = F.array(
-        F.struct(F.lit(0).alias("_which"), F.floor(position).alias("_rank")),
-        F.struct(F.lit(1).alias("_which"), F.ceil(position).alias("_rank")),
+    path = shared_folder(spark, "ranks")
+    (
+        counts.where(F.col("_value").isNotNull())
+        .select(*keys, "_value", "_n")
+        .repartitionByRange(*keys, "_value")
+        .sortWithinPartitions(*keys, "_value")
+        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_place", 33))
+        .write.parquet(path)
+    )
+    ordered = spark.read.parquet(path)
+    parts = ordered.groupBy(*keys, "_part").agg(F.sum("_n").alias("_in_part"))
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        *keys,
+        "_part",
+        F.coalesce(F.sum("_in_part").over(earlier), F.lit(0)).alias("_before_part"),
+        F.sum("_in_part").over(group).alias("samples"),
     )
-    targets = large.select(*keys, F.inline(ends))
-    values = _value_at_rank(counts, targets, keys)
-    pair = values.groupBy(*keys).agg(
-        F.max(F.when(F.col("_which") == 0, F.col("_value"))).alias("_lower"),
-        F.max(F.when(F.col("_which") == 1, F.col("_value"))).alias("_upper"),
+    upto = F.sum("_n").over(Window.partitionBy(*keys, "_part").orderBy("_place"))
+    joined = ordered.withColumn("_upto", upto).alias("o").join(
+        parts.alias("p"), [F.col(f"o.{name}").eqNullSafe(F.col(f"p.{name}")) for name in (*keys, "_part")]
     )
-    part = position - F.floor(position)
-    by_rank = pair.join(large, keys).select(
-        *keys, ((1 - part) * F.col("_lower") + part * F.col("_upper")).alias("quantile"), "samples"
+    end = F.col("_before_part") + F.col("_upto")
+    position = F.lit(q) * (F.col("samples") - 1)
+
+    def at_rank(rank: Column) -> Column:
+        return F.max(F.when((rank >= end - F.col("_n")) & (rank < end), F.col("_value").cast("double")))
+
+    found = joined.groupBy(*[F.col(f"o.{name}").alias(name) for name in keys], "samples").agg(
+        at_rank(F.floor(position)).alias("_lower"), at_rank(F.ceil(position)).alias("_upper")
     )
-    return direct.unionByName(by_rank)
+    between = (F.ceil(position) - position) * F.col("_lower") + (position - F.floor(position)) * F.col("_upper")
+    whole = (F.col("_lower") == F.col("_upper")) | (position == F.floor(position))
+    return found.select(*keys, F.when(whole, F.col("_lower")).otherwise(between).alias("quantile"), "samples")
 
 
 def trailing_quantile(
@@ -108,7 +86,6 @@ def trailing_quantile(
     q: float,
     window_seconds: int,
     step_seconds: int,
-    direct_values: int = DIRECT_VALUES,
 ) -> DataFrame:
     """Interpolated quantile of the samples in the trailing window, at every step that has any.
 
@@ -122,7 +99,7 @@ def trailing_quantile(
     ).agg(F.count(F.lit(1)).alias("_n"))
     shared = counted.withColumn("_step", F.explode(F.sequence(F.col("_step"), F.col("_step") + (steps - 1))))
     merged = shared.groupBy(series, "_step", "_value").agg(F.sum("_n").alias("_n"))
-    return counted_quantile(merged, [series, "_step"], q, direct_values).select(
+    return counted_quantile(merged, [series, "_step"], q).select(
         series, step_time(F.col("_step"), step_seconds).alias("eval_time"), "quantile", "samples"
     )
 

@@ -26,6 +26,21 @@ def rolling_p95(spark, folder):
     return points.withColumn("quantile", F.round("quantile", 6))
 
 
+@query(
+    "quantile_of_nulls",
+    """
+    SELECT event_type, round(quantile_cont(CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END, 0.9), 6) AS quantile,
+           count(*) FILTER (WHERE event_id % 3 <> 0) AS samples FROM events GROUP BY 1
+    """,
+)
+def quantile_of_nulls(spark, folder):
+    """p90 of each kind of event, where a third of the values is unknown."""
+    value = F.when(F.col("event_id") % 3 != 0, F.col("value"))
+    counts = table(spark, folder, "events").groupBy("event_type", value.alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    found = monitoring.counted_quantile(counts, ["event_type"], 0.9)
+    return found.select("event_type", F.round("quantile", 6).alias("quantile"), "samples")
+
+
 @query(
     "availability",
     """
