@@ -162,5 +162,28 @@ def test_expiry_keeps_the_newest_and_every_head(history, rows):
 
 
 def test_long_chains_are_followed(spark):
-    log = spark.range(1, 151).selectExpr("id commit_id", "nullif(id - 1, 0) parent_id")
-    assert versions.ancestry(log, spark.range(140, 141).toDF("commit_id")).count() == 140
+    log = spark.range(1, 10_001).selectExpr("id commit_id", "nullif(id - 1, 0) parent_id")
+    assert versions.ancestry(log, spark.range(9000, 9001).toDF("commit_id")).count() == 9000
+
+
+def test_expiry_after_a_rollback_lists_no_live_file(history, rows, spark):
+    """A file removed by a commit that was rolled back is read again, and so it stays."""
+    log, refs, _ = history
+    files = spark.createDataFrame([("f", 1, 3), ("g", 1, 2), ("h", 3, None)], "path string, added_commit long, removed_commit long")
+    log, refs = versions.roll_back(log, refs, 2, 4, F.lit(when(4)))
+    data = files.withColumnRenamed("path", "v")
+    before = rows(versions.read_branch(data, log, refs))
+    expired = versions.expire(log, refs, F.lit(when(9)))
+    assert before == [("f",)] and rows(expired, "commit_id") == [(1,), (2,), (3,)]
+    assert rows(versions.expired_files(files, log, expired)) == [("g",), ("h",)]
+    after = versions.drop_commits(log, expired)
+    assert rows(versions.read_branch(data, after, refs)) == before
+    assert rows(versions.history(after), "commit_id") == [(4,)]
+    assert rows(versions.expire(after, refs, F.lit(when(9)))) == []
+
+
+def test_each_branch_keeps_its_newest(history, rows):
+    log, refs, _ = history
+    branch = versions.create_branch(refs, "audit").withColumn("commit_id", F.when(F.col("name") == "audit", 2).otherwise(F.col("commit_id")).cast("long"))
+    assert rows(versions.expire(log, branch, F.lit(when(9)), retain_last=2), "commit_id") == []
+    assert rows(versions.expire(log, refs, F.lit(when(9)), retain_last=2), "commit_id") == [(1,)]

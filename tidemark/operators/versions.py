@@ -2,18 +2,19 @@
 
 ``log`` has one row per commit: (commit_id long, parent_id long, committed_at timestamp, operation
 string). ``refs`` has one row per branch: (name string, commit_id long). Table rows, or the files
-holding them, carry ``added_commit`` and ``removed_commit``.
+holding them, carry ``added_commit`` and ``removed_commit``. An expired commit stays in the log as a
+link (operation ``expired``, no time), so the ancestry of the commits above it stays whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_folder
 
 MAIN = "main"
-MAX_CHAIN = 100_000
+EXPIRED = "expired"
 
 
 def _commit_row(log: DataFrame, values: dict[str, Column]) -> DataFrame:
@@ -65,8 +66,13 @@ def roll_back(
     return log.unionByName(row), move_ref(refs, branch, commit_id)
 
 
+def live_commits(log: DataFrame) -> DataFrame:
+    """Commits that have not expired."""
+    return log.where(~F.col("operation").eqNullSafe(EXPIRED))
+
+
 def history(log: DataFrame) -> DataFrame:
-    return log.select("committed_at", "commit_id").orderBy("committed_at", "commit_id")
+    return live_commits(log).select("committed_at", "commit_id").orderBy("committed_at", "commit_id")
 
 
 def branch_head(log: DataFrame, refs: DataFrame, branch: str = MAIN) -> DataFrame:
@@ -85,28 +91,58 @@ def same_head(before: DataFrame, after: DataFrame) -> DataFrame:
     return joined.agg((F.count_if(moved) == 0).alias("stable"))
 
 
-def ancestry(log: DataFrame, heads: DataFrame, max_chain: int = MAX_CHAIN) -> DataFrame:
-    """Commit ids reachable from ``heads`` (a frame with commit_id) along parent links.
+def _stored(frame: DataFrame, purpose: str) -> DataFrame:
+    path = shared_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _rounds(log: DataFrame) -> int:
+    """Doublings that reach from any commit to the first one."""
+    return log.count().bit_length()
+
+
+def _leap(links: DataFrame) -> DataFrame:
+    """Links (commit_id, up) of twice the length; those past the first commit are dropped."""
+    onward = links.select(F.col("commit_id").alias("up"), F.col("up").alias("_next"))
+    return links.join(onward, "up").select("commit_id", F.col("_next").alias("up"))
+
+
+def _links(log: DataFrame) -> DataFrame:
+    return log.where(F.col("parent_id").isNotNull()).select("commit_id", F.col("parent_id").alias("up"))
+
 
-    The recursion runs over the log, one row per commit, and its result is stored as a small table:
-    Spark then knows its size and broadcasts it, so table rows are filtered without a shuffle.
+def branch_ancestry(log: DataFrame, refs: DataFrame) -> DataFrame:
+    """(name, commit_id): all commits each branch reaches along parent links, its head included.
+
+    Links are doubled in length in each round, so the rounds grow with the logarithm of the history.
+    Each round is stored as a small table, whose size Spark then knows.
     """
-    spark: SparkSession = log.sparkSession
-    chain = spark.sql(
-        f"""
-        WITH RECURSIVE chain(commit_id, parent_id) MAX RECURSION LEVEL {int(max_chain)} AS (
-            SELECT l.commit_id, l.parent_id FROM {{log}} l JOIN {{heads}} h ON l.commit_id = h.commit_id
-            UNION ALL
-            SELECT l.commit_id, l.parent_id FROM {{log}} l JOIN chain c ON l.commit_id = c.parent_id
-        )
-        SELECT DISTINCT commit_id FROM chain
-        """,
-        log=log.select("commit_id", "parent_id"),
-        heads=heads.select("commit_id"),
-    )
-    path = shared_folder(spark, "ancestry")
-    chain.write.parquet(path)
-    return spark.read.parquet(path)
+    reached = refs.join(log.select("commit_id"), "commit_id", "left_semi").select("name", "commit_id")
+    links = _links(log)
+    for _ in range(_rounds(log)):
+        further = reached.join(links, "commit_id").select("name", F.col("up").alias("commit_id"))
+        reached = _stored(reached.unionByName(further).distinct(), "ancestry")
+        links = _stored(_leap(links), "links")
+    return reached
+
+
+def ancestry(log: DataFrame, heads: DataFrame) -> DataFrame:
+    """Commit ids reachable from ``heads`` (a frame with commit_id) along parent links."""
+    named = heads.select(F.lit("").alias("name"), "commit_id")
+    return branch_ancestry(log, named).select("commit_id")
+
+
+def kept_above(log: DataFrame, kept: DataFrame) -> DataFrame:
+    """(commit_id, above): how many of the commits ``kept`` reach each commit, itself included."""
+    marked = kept.select("commit_id").distinct().withColumn("_kept", F.lit(1))
+    counts = log.join(marked, "commit_id", "left").select("commit_id", F.coalesce("_kept", F.lit(0)).cast("long").alias("above"))
+    links = _links(log)
+    for _ in range(_rounds(log)):
+        risen = counts.join(links, "commit_id").select(F.col("up").alias("commit_id"), "above")
+        counts = _stored(counts.unionByName(risen).groupBy("commit_id").agg(F.sum("above").alias("above")), "above")
+        links = _stored(_leap(links), "links")
+    return counts
 
 
 def read_as_of(rows: DataFrame, version: int) -> DataFrame:
@@ -133,22 +169,40 @@ def read_branch(rows: DataFrame, log: DataFrame, refs: DataFrame, branch: str =
 
 
 def expire(log: DataFrame, refs: DataFrame, older_than: Column, retain_last: int = 1) -> DataFrame:
-    """Commits to drop: older than the cutoff, not among the newest ``retain_last``, and no branch head."""
-    newest = log.orderBy(F.desc("committed_at"), F.desc("commit_id")).limit(retain_last).select("commit_id")
-    kept = newest.unionByName(refs.select("commit_id"))
-    old = log.where(F.col("committed_at") < older_than)
-    return old.join(kept, "commit_id", "left_anti").select("commit_id", "committed_at")
+    """Commits to drop: older than the cutoff, no branch head, and among no branch's newest ``retain_last``."""
+    live = live_commits(log).select("commit_id", "committed_at")
+    newest = Window.partitionBy("name").orderBy(F.desc("committed_at"), F.desc("commit_id"))
+    ranked = branch_ancestry(log, refs).join(live, "commit_id").withColumn("_rank", F.row_number().over(newest))
+    kept = ranked.where(F.col("_rank") <= retain_last).select("commit_id").unionByName(refs.select("commit_id"))
+    return live.where(F.col("committed_at") < older_than).join(kept, "commit_id", "left_anti").select("commit_id", "committed_at")
+
+
+def drop_commits(log: DataFrame, expired: DataFrame) -> DataFrame:
+    """The log after expiry: dropped commits remain as links only, so branches read as before."""
+    gone = expired.select("commit_id").distinct().withColumn("_gone", F.lit(True))
+    kind = log.schema["committed_at"].dataType
+    return log.join(gone, "commit_id", "left").select(
+        "commit_id",
+        "parent_id",
+        F.when(F.col("_gone").isNull(), F.col("committed_at")).cast(kind).alias("committed_at"),
+        F.when(F.col("_gone"), F.lit(EXPIRED)).otherwise(F.col("operation")).alias("operation"),
+    )
 
 
 def expired_files(files: DataFrame, log: DataFrame, expired: DataFrame) -> DataFrame:
-    """Files no kept commit can reach: removed by an expired commit before the oldest kept one.
+    """Files that no kept commit can read, once the commits ``expired`` are dropped.
 
-    ``files`` has (path, added_commit, removed_commit). A file removed at commit r is readable at
-    the commits before r, so it goes once all of those have expired.
+    ``files`` has (path, added_commit, removed_commit). A kept commit reads a file if the adding commit
+    is in its ancestry and the removing one is not. A removal descends from the addition, so the file
+    goes when as many kept commits stand above the one as above the other.
     """
-    kept = log.join(expired, "commit_id", "left_anti")
-    oldest = kept.agg(F.min("commit_id")).scalar()
-    return files.where(F.col("removed_commit") <= oldest).select("path")
+    kept = live_commits(log).join(expired.select("commit_id"), "commit_id", "left_anti")
+    above = kept_above(log, kept)
+    added = above.select(F.col("commit_id").alias("added_commit"), F.col("above").alias("_readers"))
+    removed = above.select(F.col("commit_id").alias("removed_commit"), F.col("above").alias("_without"))
+    counted = files.join(added, "added_commit", "left").join(removed, "removed_commit", "left")
+    # a commit the log does not know is not proven unreadable
+    return counted.where(F.col("_readers") <= F.coalesce("_without", F.lit(0))).select("path")
 
 
 def orphan_files(listing: DataFrame, reachable: DataFrame, older_than: Column | None = None) -> DataFrame:
@@ -162,4 +216,4 @@ def orphan_files(listing: DataFrame, reachable: DataFrame, older_than: Column |
 def table_counts(listing: DataFrame, log: DataFrame) -> DataFrame:
     """One row: data files, bytes and versions."""
     files = listing.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
-    return files.withColumn("versions", log.agg(F.count(F.lit(1))).scalar())
+    return files.withColumn("versions", live_commits(log).agg(F.count(F.lit(1))).scalar())

@@ -181,6 +181,70 @@ def expired_files(spark, folder):
     return versions.expired_files(paths, log, _expired(log))
 
 
+# The log after main was rolled back to 1997 while the branch audit stayed at the last year.
+BRANCHED_SQL = f"""
+    WITH RECURSIVE l AS (
+        SELECT commit_id, lag(commit_id) OVER (ORDER BY commit_id) AS parent_id, committed_at FROM ({LOG_SQL})
+        UNION ALL SELECT {ROLLBACK_ID}, 1997, TIMESTAMP '2030-01-01'),
+    heads AS (SELECT max(commit_id) FILTER (WHERE commit_id < {ROLLBACK_ID}) AS audit FROM l),
+    kept AS (SELECT commit_id FROM l, heads WHERE commit_id IN (audit, {ROLLBACK_ID}) OR committed_at >= TIMESTAMP '1999-07-01'),
+    anc(reader, commit_id, parent_id) AS (
+        SELECT l.commit_id, l.commit_id, l.parent_id FROM l JOIN kept USING (commit_id)
+        UNION ALL SELECT anc.reader, l.commit_id, l.parent_id FROM anc JOIN l ON l.commit_id = anc.parent_id)
+"""
+
+
+def _branched(spark, folder):
+    log = order_log(spark, folder)
+    refs = versions.create_branch(order_refs(log), "audit")
+    log, refs = versions.roll_back(log, refs, 1997, ROLLBACK_ID, F.lit("2030-01-01").cast("timestamp_ntz"))
+    expired = versions.expire(log, refs, F.lit("1999-07-01").cast("timestamp_ntz"))
+    return log, refs, expired
+
+
+@query(
+    "expire_after_rollback",
+    f"""
+    {BRANCHED_SQL}
+    SELECT DISTINCT concat_ws('/', removed, added) AS path FROM ({ROWS_SQL}) r WHERE NOT EXISTS (
+        SELECT 1 FROM anc a WHERE a.commit_id = r.added AND NOT EXISTS (
+            SELECT 1 FROM anc b WHERE b.reader = a.reader AND b.commit_id = r.removed))
+    """,
+)
+def expire_after_rollback(spark, folder):
+    """Files to delete after expiry on a branching log: none that main or audit still reads."""
+    log, _, expired = _branched(spark, folder)
+    groups = versioned_orders(spark, folder).select("added_commit", "removed_commit").distinct()
+    paths = groups.withColumn("path", F.concat_ws("/", F.col("removed_commit"), F.col("added_commit")))
+    return versions.expired_files(paths, log, expired)
+
+
+@query(
+    "read_after_expiry",
+    f"""
+    {BRANCHED_SQL}
+    SELECT name, o_orderkey, o_totalprice FROM ({ROWS_SQL}) r, (
+        SELECT 'main' AS name, {ROLLBACK_ID} AS head UNION ALL SELECT 'audit', audit FROM heads) h
+    WHERE EXISTS (SELECT 1 FROM anc WHERE reader = head AND commit_id = added)
+      AND NOT EXISTS (SELECT 1 FROM anc WHERE reader = head AND commit_id = removed)
+    """,
+)
+def read_after_expiry(spark, folder):
+    """Both branches, read after the expired commits were dropped and their files deleted."""
+    log, refs, expired = _branched(spark, folder)
+    rows = versioned_orders(spark, folder)
+    groups = rows.select("added_commit", "removed_commit").distinct()
+    deleted = versions.expired_files(groups.withColumn("path", F.struct("added_commit", "removed_commit")), log, expired)
+    gone = deleted.select("path.added_commit", "path.removed_commit").withColumn("_gone", F.lit(True))
+    same = [F.col(f"r.{name}").eqNullSafe(F.col(f"g.{name}")) for name in ("added_commit", "removed_commit")]
+    rows = rows.alias("r").join(gone.alias("g"), same, "left_anti")
+    log = versions.drop_commits(log, expired)
+    return (
+        versions.read_branch(rows, log, refs).withColumn("name", F.lit("main"))
+        .unionByName(versions.read_branch(rows, log, refs, "audit").withColumn("name", F.lit("audit")))
+    )
+
+
 def _written_orders(spark, folder):
     path = shared_folder(spark, "orders")
     rows = table(spark, folder, "orders").withColumn("commit", F.year("o_orderdate"))
