@@ -87,10 +87,31 @@ def test_session_checks_accept_and_reject(spark, violations):
     assert violations(checks.session_checks(merged, frame, *args))["flag_disagrees_with_gap"] > 0
     unlinked = sessions.withColumn("previous_created_at", F.lit(T0).cast("timestamp_ntz"))
     assert violations(checks.session_checks(unlinked, frame, *args))["previous_chain_broken"] > 0
+    assert violations(checks.session_checks(shifted, frame, *args))["sessions_differ"] > 0
     lost = sessions.where("id <> 'e'")
     assert violations(checks.session_checks(lost, frame, *args))["event_rows_changed"] == 2
 
 
+def test_session_checks_reject_what_only_another_derivation_finds(spark, violations):
+    """A time that names itself as its previous one, and a flag on the wrong one of two tied events."""
+    frame = flat(spark, [("1", "u", at(0)), ("2", "u", at(10)), ("3", "u", at(20)), ("4", "v", at(0)), ("5", "v", at(0))])
+    sessions = events.sessionize(frame)
+    args = (frame, "actor_login", "created_at", "previous_created_at", 1800)
+    assert violations(checks.session_checks(sessions, *args))["sessions_differ"] == 0
+    later = F.col("created_at")
+    itself = F.when(F.col("id") == "2", later).when(F.col("id") == "3", F.lit(at(0)).cast("timestamp_ntz"))
+    wrong = sessions.withColumn("previous_created_at", F.coalesce(itself, F.col("previous_created_at")))
+    assert violations(checks.session_checks(wrong, *args))["sessions_differ"] > 0
+    swapped = sessions.withColumn("id", F.translate("id", "45", "54"))
+    assert violations(checks.session_checks(swapped, *args))["sessions_differ"] > 0
+
+
+def test_sessionize_refuses_rows_without_a_key(spark):
+    for missing in ((None, "u", at(0)), ("1", None, at(0)), ("1", "u", None)):
+        with pytest.raises(Exception, match="must not be null"):
+            events.sessionize(flat(spark, [("0", "u", at(5)), missing])).collect()
+
+
 def nested(spark, records):
     return spark.createDataFrame(
         records, "id string, type string, actor struct<login:string>, repo struct<name:string>, created_at string"

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.predicates import any_blank, any_null, is_finite, is_true
 from tidemark.operators.multiset import check_rows, multiset_difference
+from tidemark.session import shared_folder
 
 
 class ContractError(ValueError):
@@ -203,16 +204,60 @@ def event_checks(
     )
 
 
+def _derived_sessions(events: DataFrame, user: str, time: str, order: str, gap_seconds: int) -> DataFrame:
+    """(user, time, order, previous, new_session, session_id) by another route than ``events.sessionize``.
+
+    Rows are sorted by (user, time, order) over ranges, so a user of any size lies on many tasks. A
+    window holds the rows of one user in one range; what crosses a range is a row per user and range.
+    """
+    spark = events.sparkSession
+    path = shared_folder(spark, "derived-sessions")
+    (
+        events.select(F.col(user).alias("_user"), F.col(time).alias("_time"), F.col(order).alias("_order"))
+        .repartitionByRange("_user", "_time", "_order")
+        .sortWithinPartitions("_user", "_time", "_order")
+        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_place", 33))
+        .write.parquet(path)
+    )
+    ordered = spark.read.parquet(path)
+    in_part = Window.partitionBy("_user", "_part").orderBy("_place")
+    over_parts = Window.partitionBy("_user").orderBy("_part")
+    lasts = ordered.groupBy("_user", "_part").agg(F.max("_time").alias("_last"))
+    lasts = lasts.select("_user", "_part", F.lag("_last").over(over_parts).alias("_carried"))
+    rows = (
+        ordered.withColumn("_inside", F.lag("_time").over(in_part))
+        .join(lasts, ["_user", "_part"])
+        .withColumn("_previous", F.coalesce("_inside", "_carried"))
+    )
+    gap = F.unix_timestamp("_time") - F.unix_timestamp("_previous")
+    rows = rows.withColumn("_new", F.coalesce((gap > gap_seconds).cast("int"), F.lit(1)))
+    sums = rows.groupBy("_user", "_part").agg(F.sum("_new").alias("_in_part"))
+    earlier = over_parts.rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_user", "_part", F.coalesce(F.sum("_in_part").over(earlier), F.lit(0)).alias("_base"))
+    return rows.withColumn("_upto", F.sum("_new").over(in_part)).join(sums, ["_user", "_part"]).select(
+        "_user", "_time", "_order", "_previous", F.col("_new").alias("new_session"), (F.col("_base") + F.col("_upto")).alias("session_id")
+    )
+
+
 def session_checks(
-    sessions: DataFrame, events: DataFrame, user: str, time: str, previous: str, gap_seconds: int
+    sessions: DataFrame, events: DataFrame, user: str, time: str, previous: str, gap_seconds: int, order: str = "id"
 ) -> DataFrame:
-    """The session annotation proved from its own output, without a window over a whole user's rows.
+    """The session annotation compared, copy by copy, with one derived from the events by another route.
 
-    Flags must agree with the gap to the previous time; every timestamp must serve as a previous
-    time once per event except the user's last; sessions must be numbered 1..n in time order, hold
-    one flag each and lie more than the gap apart. A user has at most one session per gap length of
-    the covered time, which bounds the only window used here.
+    ``sessions_differ`` counts the rows that differ; it alone decides. The other checks say what is
+    wrong: flags must agree with the gap to the previous time; every timestamp must serve as a previous
+    time once per event except the user's last; sessions must be numbered 1..n in time order, hold one
+    flag each and lie more than the gap apart.
     """
+    derived = _derived_sessions(events, user, time, order, gap_seconds)
+    annotated = sessions.select(
+        F.col(user).alias("_user"), F.col(time).alias("_time"), F.col(order).alias("_order"), F.col(previous).alias("_previous"),
+        F.col("new_session").cast("int").alias("new_session"), F.col("session_id").cast("long").alias("session_id"),
+    )
+    compared = check_rows(
+        multiset_difference(derived, annotated).agg(F.coalesce(F.sum(F.abs("surplus")), F.lit(0)).alias("sessions_differ"))
+    )
     start, prev = F.col(time), F.col(previous)
     starts = prev.isNull() | (F.unix_timestamp(start) - F.unix_timestamp(prev) > gap_seconds)
     local = count_violations(
@@ -262,7 +307,7 @@ def session_checks(
             "sessions_too_close": F.col("_apart") <= gap_seconds,
         },
     )
-    return union_checks([local, conserved, chained, spaced])
+    return union_checks([local, conserved, chained, spaced, compared])
 
 
 def multiplicity_comparison(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:

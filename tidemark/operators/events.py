@@ -158,14 +158,17 @@ def sessionize(
 
     Order is (time, order). A session starts at a user's first event and after a gap of more than
     ``gap_seconds`` whole seconds. Exact copies are kept: one of them carries the flag. ``order``
-    identifies an event, so rows sharing it are copies of one another. Users and times are not null,
-    as the event contract demands.
+    identifies an event, so rows sharing it are copies of one another. A null user, time or order
+    breaks the event contract and fails the job.
 
     The moments, a narrow table, are computed once and written to the shared folder. They join back
     on (user, time): by broadcast where their files are small, else through a plain shuffle of both
     sides, a shape adaptive execution can split when one moment holds very many events.
     """
     spark = events.sparkSession
+    for name in (user, time, order):
+        message = F.raise_error(F.lit(f"{name} must not be null"))
+        events = events.withColumn(name, F.when(F.col(name).isNull(), message).otherwise(F.col(name)))
     path = shared_folder(spark, "moments")
     _session_moments(events, user, time, order, gap_seconds).write.parquet(path)
     moments = spark.read.parquet(path)

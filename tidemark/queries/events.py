@@ -207,7 +207,8 @@ def sessions_per_user(spark, folder):
         UNION ALL SELECT 'previous_chain_broken', (SELECT count(*) FROM c WHERE last <> 1 OR total <> 1)
         UNION ALL SELECT 'session_without_single_flag', (SELECT count(*) FROM n WHERE flags <> 1)
         UNION ALL SELECT 'session_number_gap', (SELECT count(*) FROM n WHERE session_id <> place)
-        UNION ALL SELECT 'sessions_too_close', (SELECT count(*) FROM n WHERE apart <= 1800))
+        UNION ALL SELECT 'sessions_too_close', (SELECT count(*) FROM n WHERE apart <= 1800)
+        UNION ALL SELECT 'sessions_differ', 0)
     SELECT "check", violations, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status FROM found
     """,
 )
@@ -215,7 +216,24 @@ def session_checks(spark, folder):
     rows, sessions = _event_sessions(spark, folder)
     path = shared_folder(spark, "sessions")
     sessions.write.parquet(path)
-    return checks.session_checks(spark.read.parquet(path), rows, "user_id", "ts", "previous_ts", 1800)
+    return checks.session_checks(spark.read.parquet(path), rows, "user_id", "ts", "previous_ts", 1800, "event_id")
+
+
+@query(
+    "session_checks_reject",
+    f"""
+    WITH s AS ({EVENT_SESSION_SQL})
+    SELECT 'sessions_differ' AS "check", cast(2 * count(*) FILTER (WHERE event_id % 50 = 0) AS bigint) AS violations, 'fail' AS status FROM s
+    """,
+)
+def session_checks_reject(spark, folder):
+    """Every fiftieth event with a wrong session number: each is one row missing and one too many."""
+    rows, sessions = _event_sessions(spark, folder)
+    number = F.when(F.col("event_id") % 50 == 0, F.col("session_id") + 1_000_000).otherwise(F.col("session_id"))
+    path = shared_folder(spark, "sessions")
+    sessions.withColumn("session_id", number).write.parquet(path)
+    found = checks.session_checks(spark.read.parquet(path), rows, "user_id", "ts", "previous_ts", 1800, "event_id")
+    return found.where(F.col("check") == "sessions_differ")
 
 
 @query(
