@@ -81,6 +81,29 @@ def test_csv_header_must_be_exact(spark, tmp_path, text):
         files.require_csv_header(spark, csv(tmp_path, text), ["id", "name"])
 
 
+def test_every_file_of_a_folder_is_checked(spark, tmp_path, rows):
+    bodies = {
+        "a.csv": b"id,name\n1,x\n", "b.csv": b"name,id\nx,1\n", "c.csv": b"\xef\xbb\xbfid,name\n1,x\n",
+        "d.csv": b"id,name\n1,\xff\n", "e.csv": b'id,name\n1,"x\n',
+    }
+    for name, body in bodies.items():
+        csv(tmp_path, body, name)
+    headers = files.csv_headers(spark, str(tmp_path))
+    contents = files.read_bytes(spark, str(tmp_path), "*.csv")
+    found = integrity.csv_file_violations(headers, contents, ["id", "name"])
+    short = found.select(F.regexp_extract("path", "[^/]+$", 0), "violation")
+    assert rows(short) == [
+        ("b.csv", "header"), ("c.csv", "byte_order_mark"), ("d.csv", "not_utf8"), ("e.csv", "quoting"),
+    ]
+    with pytest.raises(checks.ContractError):
+        files.require_csv_header(spark, str(tmp_path), ["id", "name"])
+
+
+def test_headers_of_any_length_are_read(spark, tmp_path):
+    names = [f"column_{number}" for number in range(400)]
+    files.require_csv_header(spark, csv(tmp_path, ",".join(names) + "\n1\n"), names)
+
+
 def test_strict_csv_fails_on_bad_rows(spark, tmp_path):
     schema = spark.createDataFrame([], "id long, name string").schema
     assert files.read_csv_strict(spark, csv(tmp_path, "id,name\n1,a\n"), schema).count() == 1

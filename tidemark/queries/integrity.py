@@ -268,10 +268,7 @@ def typed_cell_check(spark, folder):
 
 @query(
     "csv_cell_check",
-    CELL_SQL.replace(
-        "SELECT \"check\", violations, CASE",
-        "SELECT \"check\", violations, CASE",
-    ).replace("FROM found", "FROM (SELECT * FROM found UNION ALL SELECT 'row_width', 0)"),
+    CELL_SQL.replace("FROM found", "FROM (SELECT * FROM found UNION ALL SELECT 'row_width', 0)"),
 )
 def csv_cell_check(spark, folder):
     """The same cells written to CSV files and checked as read."""
@@ -408,3 +405,44 @@ def nested_columns(spark, folder):
     from tidemark.operators.events import flatten_columns
 
     return flatten_columns(nested_events(spark, folder), {"id": "id", "login": "actor.login"})
+
+
+@query(
+    "csv_file_violations",
+    """
+    SELECT DISTINCT split_part(o_orderpriority, '-', 1) AS priority, violation
+    FROM orders, (SELECT unnest(['header', 'byte_order_mark', 'quoting']) AS violation)
+    WHERE violation = CASE split_part(o_orderpriority, '-', 1) WHEN '1' THEN 'header' WHEN '2' THEN 'byte_order_mark' WHEN '5' THEN 'quoting' END
+    """,
+)
+def csv_file_violations(spark, folder):
+    """Orders in one CSV file per priority: one with swapped columns, one with a byte order mark, one with
+    a quote that is never closed; the others are as agreed."""
+    path = shared_folder(spark, "csv-files")
+    priority = F.substring("o_orderpriority", 1, 1)
+    cells = F.concat_ws(",", "o_orderkey", "o_totalprice", "o_orderdate")
+    line = F.when((priority == "5") & (F.col("rank") == 1), F.concat(F.lit('"'), cells)).otherwise(cells)
+    header = (
+        F.when(priority == "1", "o_totalprice,o_orderkey,o_orderdate")
+        .when(priority == "2", "\ufeffo_orderkey,o_totalprice,o_orderdate")
+        .otherwise("o_orderkey,o_totalprice,o_orderdate")
+    )
+    orders = table(spark, folder, "orders")
+    first = orders.groupBy("o_orderpriority").agg(F.min("o_orderkey").alias("least"))
+    rows = orders.join(first, "o_orderpriority").withColumn("rank", (F.col("o_orderkey") == F.col("least")).cast("int"))
+    lines = first.select(priority.alias("priority"), F.lit(0).alias("place"), header.alias("value")).unionByName(
+        rows.select(priority.alias("priority"), F.lit(1).alias("place"), line.alias("value"))
+    )
+    lines.repartition("priority").sortWithinPartitions("priority", "place").select("priority", "value").write.partitionBy(
+        "priority"
+    ).option("header", False).text(path)
+    return _violations_by_priority(spark, path)
+
+
+def _violations_by_priority(spark, path):
+    uri = F.regexp_replace("path", "^file:/+", "file:/").alias("path")
+    contents = files.read_bytes(spark, path, "*.txt").select(uri, "content")
+    headers = files.csv_headers(spark, path, "*.txt")
+    names = ["o_orderkey", "o_totalprice", "o_orderdate"]
+    found = integrity.csv_file_violations(headers, contents, names)
+    return found.select(F.regexp_extract("path", "priority=([0-9])", 1).alias("priority"), "violation")

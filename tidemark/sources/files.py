@@ -12,8 +12,6 @@ from tidemark.functions.cells import logical_type
 from tidemark.operators.checks import ContractError
 from tidemark.operators.cleaning import union_normalised
 
-MAX_HEADER_BYTES = 1024
-
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     """One Parquet frame over an explicit, ordered list of files."""
@@ -29,15 +27,30 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def require_csv_header(spark: SparkSession, path: str, names: Sequence[str]) -> None:
-    """The file's first line is exactly the column names: no spaces, quotes or extra columns.
+def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """(path, header) for every CSV file that is not empty: its first line. Spark skips empty files.
 
-    Only the first line is read. A byte order mark is skipped by Spark's line reader; a landing
-    check of the bytes finds it.
+    A byte order mark is skipped by Spark's line reader; ``integrity.bom_violations`` finds it. The
+    lines of a file's first split are numbered as they are read, so the least number is the first line.
     """
-    first = spark.read.text(path).limit(1).select(F.col("value"), F.octet_length("value").alias("size")).collect()
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+    first = lines.where(F.col("start") == 0).groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    uri = F.regexp_replace("path", "^file:/+", "file:/")
+    found = first.select(uri.alias("path"), "header")
+    return list_files(spark, path, glob).select(uri.alias("path")).join(found, "path", "left")
+
+
+def require_csv_header(spark: SparkSession, path: str, names: Sequence[str]) -> None:
+    """The first line of every file is exactly the column names: no spaces, quotes or extra columns."""
     expected = ",".join(names)
-    if not first or first[0]["size"] > MAX_HEADER_BYTES or first[0]["value"] != expected:
+    headers = csv_headers(spark, path)
+    wrong = headers.where(~F.col("header").eqNullSafe(F.lit(expected))).select("path").limit(1).collect()
+    if wrong or headers.isEmpty():
         raise ContractError(f"CSV header is not exactly {expected!r}")
 
 
