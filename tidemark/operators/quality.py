@@ -162,8 +162,14 @@ def split_counts(frame: DataFrame, valid: Column) -> DataFrame:
 
 
 def ratio_status(numerator: Column, denominator: Column) -> Column:
-    """pass up to and including 1 %, warn up to and including 5 %, else fail."""
-    return status_of_ratio(ratio9(numerator, denominator))
+    """pass up to and including 1 %, warn up to and including 5 %, else fail.
+
+    A part of nothing, a negative part, one above the whole or an unknown one is an error, not a status.
+    """
+    possible = F.coalesce((numerator >= 0) & (denominator > 0) & (numerator <= denominator), F.lit(False))
+    return F.when(possible, status_of_ratio(ratio9(numerator, denominator))).otherwise(
+        F.raise_error(F.lit("impossible ratio"))
+    )
 
 
 def status_of_ratio(value: Column) -> Column:

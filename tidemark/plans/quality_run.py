@@ -44,7 +44,7 @@ class RunRequest:
     data_interval_end: str
     output: str
     facts: str
-    exact_proof: bool = False
+    exact_proof: bool = True
 
 
 class QualityFailure(RuntimeError):
@@ -196,7 +196,7 @@ def run_quality(
     if request.exact_proof:
         clean, quarantine = (read_part(spark, parts, side) for side in (True, False))
         if not partition_report(bronze, clean, quarantine, valid).where("violations > 0").isEmpty():
-            diagnose(rows, "silver.partition_conservation.v1", "partition_mismatch")
+            diagnose(rows, "silver.output_readback.v1", "readback_mismatch")
     if capture() != head:
         diagnose(rows, "silver.output_readback.v1", "readback_mismatch")
     return finish(rows)
