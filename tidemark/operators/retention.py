@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import dataclasses
 from collections.abc import Sequence
 
@@ -161,7 +162,11 @@ def retention_decision(
     def ahead(name: str) -> Column:
         return F.col(name) > latest_clock
 
+    def no_flag(*names: str) -> Column:
+        return functools.reduce(lambda a, b: a | b, [F.col(name).isNull() for name in names])
+
     lease_clocks = ["acquired_at", "heartbeat_at", "expires_at"]
+    terminal_flags = ["recovery_approved", "source_available", "sink_disposition_approved", "exclusive_run", "successful"]
     ordered_lease = (
         (F.col("acquired_at") <= F.col("heartbeat_at"))
         & (F.col("heartbeat_at") <= F.col("expires_at"))
@@ -178,6 +183,7 @@ def retention_decision(
         ("unknown_prefix", ~known),
         ("invalid_utc_timestamp", known & now.isNull()),
         ("lease_missing", known & ~F.col("has_lease")),
+        ("invalid_fact_type", lease & no_flag("lease_malformed", "lease_conflicting")),
         ("lease_malformed", lease & F.col("lease_malformed")),
         ("lease_conflicting", lease & F.col("lease_conflicting")),
         (
@@ -212,6 +218,7 @@ def retention_decision(
         ),
         ("invalid_utc_timestamp", known & missing_clock("newest_last_modified")),
         ("future_clock", known & ahead("newest_last_modified")),
+        ("invalid_fact_type", known & no_flag("changed_since_plan", "partial_retry_confined")),
         ("inventory_changed", known & F.col("changed_since_plan")),
         ("partial_retry_broadened", known & not_true("partial_retry_confined")),
         ("terminal_missing", known & ~F.col("has_terminal")),
@@ -219,6 +226,7 @@ def retention_decision(
         ("future_clock", terminal & ahead("occurred_at")),
         ("invalid_fact_type", terminal & end_state.isNull()),
         ("invalid_terminal_state", terminal & ~is_true(F.array_contains("terminal_states", end_state))),
+        ("invalid_fact_type", terminal & no_flag(*terminal_flags)),
         ("recovery_not_approved", terminal & not_true("recovery_approved")),
         ("source_unavailable", terminal & not_true("source_available")),
         ("sink_disposition_not_approved", terminal & not_true("sink_disposition_approved")),

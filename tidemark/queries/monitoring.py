@@ -133,9 +133,10 @@ RETENTION_FACTS_SQL = """
                starts_with(prefix, 'gh_') OR prefix = 'events/' AS known, clicked IS NOT NULL AS has_lease,
                signed IS NOT NULL AS has_terminal, newest + INTERVAL 2 MINUTE AS occurred FROM f),
     c AS (
-        SELECT *, list_sort(list_distinct([
+        SELECT *, list_filter([
             CASE WHEN NOT known THEN 'unknown_prefix' END,
             CASE WHEN known AND NOT has_lease THEN 'lease_missing' END,
+            CASE WHEN known AND has_lease AND errors = 14 THEN 'invalid_fact_type' END,
             CASE WHEN known AND has_lease AND errors > 16 THEN 'lease_conflicting' END,
             CASE WHEN known AND has_lease AND durable THEN 'lease_identity_mismatch' END,
             CASE WHEN known AND has_lease AND viewed IS NULL THEN 'invalid_utc_timestamp' END,
@@ -151,7 +152,7 @@ RETENTION_FACTS_SQL = """
             CASE WHEN durable THEN 'registry_active_durable' END,
             CASE WHEN gen AND now < greatest(newest, clicked, CASE WHEN has_terminal THEN occurred END) + INTERVAL 1209600 SECOND
                 THEN 'retention_quarantine' END
-            ])) AS codes,
+            ], lambda code: code IS NOT NULL) AS codes,
             CASE WHEN known THEN greatest(newest, clicked, CASE WHEN has_terminal THEN occurred END) END AS anchor FROM x)
     SELECT user_id, array_to_string(codes, ',') AS refusal_codes, anchor AS retention_anchor, len(codes) = 0 AS eligible FROM c
     """,
@@ -198,7 +199,7 @@ def retention_eligibility(spark, folder):
             "expires_at": F.col("clicked") + F.expr("INTERVAL 10 MINUTES"),
             "etag": F.md5(text),
             "lease_conflicting": errors > 16,
-            "lease_malformed": F.lit(False),
+            "lease_malformed": F.when(errors != 14, F.lit(False)),
             "inventory_sha256": F.sha2(text, 256),
             "changed_since_plan": F.lit(False),
             "partial_retry_confined": F.lit(True),
@@ -217,7 +218,7 @@ def retention_eligibility(spark, folder):
     decided = retention.retention_decision(facts, keep=["user_id"])
     return decided.select(
         "user_id",
-        F.array_join(F.array_sort("refusal_codes"), ",").alias("refusal_codes"),
+        F.array_join("refusal_codes", ",").alias("refusal_codes"),
         "retention_anchor",
         "eligible",
     )

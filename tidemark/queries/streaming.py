@@ -87,7 +87,7 @@ def stream_late(spark, folder):
     rows = table(spark, folder, "events")
     stored = None
     for late in (False, True):
-        arriving = rows.where((F.col("event_type") == "signup") == F.lit(late))
+        arriving = rows.where(F.col("event_type").eqNullSafe("signup") == F.lit(late))
         arriving.write.mode("append").parquet(f"{base}/landing")
         stream = ingest.file_stream(spark, f"{base}/landing", rows.schema, "parquet")
         counts = windows.window_counts(stream, "ts", "event_type")
@@ -120,8 +120,11 @@ def _deliver(spark, folder, base):
         if batch_id == len(DELIVERIES) - 1:
             write(batch, batch_id)
 
-    for flag in DELIVERIES:
-        lines.where(F.col("l_returnflag") == flag).select(*columns).write.mode("append").json(f"{base}/landing")
+    flag = F.coalesce("l_returnflag", F.lit(""))
+    for number, name in enumerate(DELIVERIES):
+        # the last delivery brings whatever the others do not
+        chosen = flag == name if number < len(DELIVERIES) - 1 else ~flag.isin(*DELIVERIES[:-1])
+        lines.where(chosen).select(*columns).write.mode("append").json(f"{base}/landing")
         stream = ingest.file_stream(spark, f"{base}/landing", schema, "json")
         ingest.drain_batches(stream, write_twice, f"{base}/checkpoint")
     return cdc.read_changes(spark, f"{base}/log", schema)

@@ -31,11 +31,12 @@ def normalize_union(spark, folder):
     """One folder per return flag, each with another physical type of the drifting column."""
     base = shared_folder(spark, "drift")
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
-    kinds = {"A": "int", "N": "bigint", "R": "double"}
-    for flag, kind in kinds.items():
-        part = lines.where(F.col("l_returnflag") == flag).withColumn("l_linenumber", F.col("l_linenumber").cast(kind))
-        part.write.parquet(f"{base}/{flag}")
-    return files.read_parquet_normalised(spark, [f"{base}/{flag}" for flag in kinds], {"l_linenumber": "double"})
+    flag = F.coalesce("l_returnflag", F.lit(""))
+    parts = {"int": flag == "A", "bigint": flag == "N", "double": ~flag.isin("A", "N")}
+    for kind, chosen in parts.items():
+        part = lines.where(chosen).withColumn("l_linenumber", F.col("l_linenumber").cast(kind))
+        part.write.parquet(f"{base}/{kind}")
+    return files.read_parquet_normalised(spark, [f"{base}/{kind}" for kind in parts], {"l_linenumber": "double"})
 
 
 @query(
