@@ -18,8 +18,9 @@ from tidemark.llm.crf import logistic, training_rows
 
 #: Labelled examples of the index by class, in the order of md5(doc_id), and their longest text.
 MAX_TOXIC, MAX_CLEAN, MAX_TRAINING_CHARS = 2000, 4000, 20_000
-#: Terms of the vector space: those that tell most about the label among the examples.
-VOCABULARY = 4096
+#: Terms of the vector space: those that tell most about the label among the examples, as far as their
+#: log-likelihood ratio is significant (one in a thousand by chance).
+VOCABULARY, LEAST_GAIN = 4096, 10.83
 #: Examples of a term's class, at least, that must have it.
 LEAST_EXAMPLES = 4
 NEIGHBOURS = 15
@@ -54,11 +55,12 @@ def choose_terms(examples: list[Counter], labels: np.ndarray, most: int = VOCABU
         for seen, size in ((toxic[term], sizes[0]), (clean[term], sizes[1])):
             for part, margin in ((seen, here), (size - seen, total - here)):
                 if part:
-                    value += part * math.log(part * total / (margin * size))
+                    value += 2 * part * math.log(part * total / (margin * size))
         return value
 
     known = [term for term in toxic.keys() | clean.keys() if max(toxic[term], clean[term]) >= LEAST_EXAMPLES]
-    return sorted(known, key=lambda term: (-gain(term), term))[:most]
+    gains = {term: gain(term) for term in known}
+    return sorted((term for term in known if gains[term] >= LEAST_GAIN), key=lambda term: (-gains[term], term))[:most]
 
 
 @dataclass
