@@ -1,11 +1,9 @@
+"""Documents for the tests of this folder; a module of its own, as there is one conftest already."""
+
 import random
-import sys
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 

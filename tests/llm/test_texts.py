@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_fixtures import corpus, documents, no_documents  # noqa: F401  (fixtures)
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, chat, fingerprints, huffman, packing
@@ -18,6 +19,7 @@ from tidemark.session import shared_folder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 DEFINITION = bpe.read_tokenizer(PATH)
+LIBRARY, ENCODER = Tokenizer.from_file(PATH), bpe.CachedEncoder(DEFINITION)
 
 
 def ordered(corpus):
@@ -106,7 +108,7 @@ def test_token_files_round_trip(spark, documents, corpus, monkeypatch):
     path = shared_folder(spark, "tokens-test")
     huffman.write_tokens(spark, huffman.tokenize(spark, documents, DEFINITION), path)
     rows = huffman.read_tokens(spark, path).collect()
-    library = Tokenizer.from_file(PATH)
+    library = LIBRARY
     expected = defaultdict(list)
     for doc_id, text, *_ in corpus:
         expected[doc_id].append(tuple(library.encode(text or "", add_special_tokens=False).ids) + (2,))
@@ -128,7 +130,7 @@ def test_token_files_of_nothing(spark, no_documents):
 
 
 def test_bpe_equals_the_library(spark, documents, corpus):
-    library = Tokenizer.from_file(PATH)
+    library = LIBRARY
     expected = sorted(
         (str(doc_id), len(ids), " ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False))
         for doc_id, text, *_ in corpus
@@ -146,8 +148,7 @@ def test_bpe_of_nothing(spark, no_documents):
 @given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("a'sS \t\n\x85\xa0İſé1²<|>endoftext")), max_size=40))
 @settings(max_examples=400, deadline=None)
 def test_words_are_those_of_the_library(text):
-    library = Tokenizer.from_file(PATH)
-    assert bpe.CachedEncoder(DEFINITION)([text])[0] == library.encode(text, add_special_tokens=False).ids
+    assert ENCODER([text])[0] == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 @given(st.text(st.sampled_from("<|\\>im_startend\n a"), max_size=40))
