@@ -13,8 +13,10 @@ from tidemark.llm.common import SPACES, let, words_column
 CELLS = 1 << 14
 #: Labelled documents that may define the trusted target, taken in the order of md5(doc_id).
 MAX_TRUSTED = 20_000
+#: Occurrences that each cell is taken to have had in the raw corpus, with the target's share of them.
+PRIOR = 20
 #: Mean log-likelihood ratio per n-gram, in thousandths of a nat, below which a document is rejected.
-THRESHOLD = -70
+THRESHOLD = -85
 SYMBOLS = "#*$%&|<>"
 
 
@@ -106,8 +108,9 @@ def trusted_documents(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> Data
 def ratio_table(documents: DataFrame, trusted: DataFrame, cells: int = CELLS) -> list[int]:
     """Log-likelihood ratio of each cell, in thousandths of a nat, trusted target over the raw corpus.
 
-    Counts cover every n-gram of every document. Both multinomials have one added to every cell. Only
-    the 2 * cells sums come to the driver. The broadcast side is bounded by ``MAX_TRUSTED`` ids.
+    Counts cover every n-gram of every document. Both multinomials have the same prior, ``PRIOR``
+    occurrences for each cell (scaled to the target's size there), so a cell that was hardly seen says
+    little. Only the 2 * cells sums come to the driver. The broadcast side is bounded by ``MAX_TRUSTED`` ids.
     """
     tagged = documents.select("doc_id", "text").join(
         F.broadcast(trusted.withColumn("is_trusted", F.lit(1))), "doc_id", "left"
@@ -130,12 +133,11 @@ def ratio_table(documents: DataFrame, trusted: DataFrame, cells: int = CELLS) ->
         .toArrow()
         .to_pydict()
     )
-    raw_total, target_total = sum(sums["raw"]) + 2 * cells, sum(sums["target"]) + 2 * cells
-    empty = math.floor(1000 * math.log(raw_total / target_total) + 0.5)
-    table = [empty if target_total > 2 * cells else 0] * (2 * cells)
-    if target_total > 2 * cells:
+    raw_total, target_total = sum(sums["raw"]), sum(sums["target"])
+    table = [0] * (2 * cells)
+    if target_total:
         for cell, raw, target in zip(sums["cell"], sums["raw"], sums["target"], strict=True):
-            ratio = ((target + 1) / target_total) / ((raw + 1) / raw_total)
+            ratio = (target * raw_total / target_total + PRIOR) / (raw + PRIOR)
             table[cell] = math.floor(1000 * math.log(ratio) + 0.5)
     return table
 
@@ -221,9 +223,9 @@ trusted AS (
   ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT {MAX_TRUSTED}),
 sums AS (SELECT cell, count(*) AS raw, count(t.doc_id) AS target
   FROM grams JOIN rows_in USING (rid) LEFT JOIN trusted t USING (doc_id) GROUP BY cell),
-totals AS (SELECT sum(raw) + {2 * cells} AS raw_total, sum(target) + {2 * cells} AS target_total FROM sums),
-ratios AS (SELECT cell, CASE WHEN target_total = {2 * cells} THEN 0 ELSE floor(1000 * ln(((target + 1)::DOUBLE / target_total)
-    / ((raw + 1)::DOUBLE / raw_total)) + 0.5) END::BIGINT AS ratio FROM sums, totals),
+totals AS (SELECT sum(raw)::DOUBLE AS raw_total, sum(target)::DOUBLE AS target_total FROM sums),
+ratios AS (SELECT cell, CASE WHEN target_total = 0 THEN 0 ELSE floor(1000 * ln(
+    (target * raw_total / target_total + {PRIOR}) / (raw + {PRIOR})) + 0.5) END::BIGINT AS ratio FROM sums, totals),
 scores AS (SELECT rid, sum(ratio) AS total, count(*) AS n FROM grams JOIN ratios USING (cell) GROUP BY rid),
 windows AS (SELECT rid, pos, word AS a, lead(word) OVER w AS b, lead(word, 2) OVER w AS c
   FROM words WINDOW w AS (PARTITION BY rid ORDER BY pos)),
