@@ -73,6 +73,22 @@ def manifest_digest(manifest: DataFrame, name: str = "manifest_sha256") -> DataF
     return keyed_digest(manifest.withColumn("_all", F.lit(0)), ["_all"], canonical, name).drop("_all")
 
 
+def canonical_manifest_digest(members: DataFrame, max_members: int = 10_000) -> DataFrame:
+    """One row: sha256 of the compact JSON object of (name, value) rows, its members in name order.
+
+    A manifest is a bounded list; more than ``max_members`` rows fail the job. ``value`` is JSON text.
+    For sets without a bound there is ``manifest_digest``.
+    """
+    count = members.agg(F.count(F.lit(1))).scalar()
+    fits = count <= max_members
+    quoted = F.to_json(F.array(F.col("name")))
+    member = F.concat(F.substring(quoted, F.lit(2), F.length(quoted) - 2), F.lit(":"), F.col("value"))
+    packed = members.where(fits).agg(F.sort_array(F.collect_list(F.struct("name", member.alias("member")))).alias("all"))
+    text = F.concat(F.lit("{"), F.concat_ws(",", F.col("all.member")), F.lit("}"))
+    too_many = F.raise_error(F.lit("manifest exceeds its bound"))
+    return packed.select(F.when(fits, F.sha2(text, 256)).otherwise(too_many).alias("manifest_sha256"))
+
+
 def inventory_positions(expected: DataFrame, observed: DataFrame) -> DataFrame:
     """Compare two (position, name) lists: rows whose names differ or that exist on one side only."""
     joined = expected.alias("e").join(observed.alias("o"), "position", "full")

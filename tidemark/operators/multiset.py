@@ -69,10 +69,11 @@ def portable_fingerprint(frame: DataFrame, salts: Sequence[str] = FINGERPRINT_SA
     return hashed.agg(*_hash_sums([F.col(f"`{name}`") for name in hashed.columns]))
 
 
-def table_snapshot(frame: DataFrame) -> DataFrame:
-    """One row: sorted schema text, row count and fingerprint."""
+def table_snapshot(frame: DataFrame, portable: bool = False) -> DataFrame:
+    """One row: sorted schema text, row count and fingerprint; ``portable`` as in ``portable_fingerprint``."""
     schema_text = ",".join(sorted(f"{field.name}:{field.dataType.simpleString()}" for field in frame.schema.fields))
-    return fingerprint(frame).select(F.lit(schema_text).alias("schema_text"), "*")
+    print_of = portable_fingerprint if portable else fingerprint
+    return print_of(frame).select(F.lit(schema_text).alias("schema_text"), "*")
 
 
 def partition_report(source: DataFrame, clean: DataFrame, quarantine: DataFrame, valid: Column) -> DataFrame:

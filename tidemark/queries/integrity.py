@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import checks, integrity, multiset
@@ -395,6 +398,117 @@ def utf8_files(spark, folder):
     return found.select(F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
+@query(
+    "content_digest",
+    """
+    SELECT doc_id AS name, octet_length(encode(text)) AS bytes, sha256(text) AS sha256,
+           CASE doc_id % 5 WHEN 0 THEN 'digest_mismatch' WHEN 1 THEN 'size_mismatch' ELSE 'ok' END AS status FROM documents
+    """,
+)
+def content_digest(spark, folder):
+    """Every text as a file, against a lock that is wrong in the digest or the size of some."""
+    name = F.col("doc_id")
+    stored = table(spark, folder, "documents").select(
+        name.alias("path"), F.octet_length("text").cast("long").alias("length"), F.encode("text", "UTF-8").alias("content")
+    )
+    observed = integrity.file_digests(stored).withColumnRenamed("path", "name")
+    lock = observed.select(
+        "name",
+        F.when(F.col("name") % 5 == 1, F.col("bytes") + 1).otherwise(F.col("bytes")).alias("bytes"),
+        F.when(F.col("name") % 5 == 0, F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"),
+    )
+    return observed.join(integrity.verify_lock(observed, lock), "name")
+
+
+@query(
+    "content_utf8",
+    "SELECT doc_id AS path FROM documents WHERE doc_id % 7 IN (0, 3)",
+)
+def content_utf8(spark, folder):
+    """Texts whose bytes were cut inside a character, or that hold a byte no character begins with."""
+    number = F.col("doc_id") % 7
+    whole = F.encode("text", "UTF-8")
+    content = F.when(number == 0, F.concat(whole, F.unhex(F.lit("C3")))).when(number == 3, F.concat(F.unhex(F.lit("FF")), whole))
+    stored = table(spark, folder, "documents").select(F.col("doc_id").alias("path"), F.coalesce(content, whole).alias("content"))
+    return integrity.utf8_violations(stored)
+
+
+@query(
+    "portable_snapshot",
+    """
+    WITH t AS (SELECT doc_id || chr(31) || lang || chr(31) || source || chr(31) || n_chars AS line FROM documents),
+    h AS (
+        SELECT cast('0x' || left(sha256('nyc-quality-a' || chr(31) || line), 15) AS bigint) AS a,
+               cast('0x' || left(sha256('nyc-quality-b' || chr(31) || line), 15) AS bigint) AS b FROM t)
+    SELECT 'doc_id:bigint,lang:string,n_chars:bigint,source:string' AS schema_text, count(*) AS row_count,
+           cast(sum(a) AS decimal(38,0)) AS sum_a, bit_xor(a) AS xor_a,
+           cast(sum(b) AS decimal(38,0)) AS sum_b, bit_xor(b) AS xor_b FROM h
+    """,
+)
+def portable_snapshot(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
+    return multiset.table_snapshot(documents, portable=True)
+
+
+@query(
+    "canonical_manifest",
+    """
+    SELECT sha256('{' || string_agg('"' || source || '":' || n, ',' ORDER BY source) || '}') AS manifest_sha256
+    FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1)
+    """,
+)
+def canonical_manifest(spark, folder):
+    """Documents per source as one compact JSON object, digested."""
+    counts = table(spark, folder, "documents").groupBy("source").count()
+    return integrity.canonical_manifest_digest(counts.select(F.col("source").alias("name"), F.col("count").cast("string").alias("value")))
+
+
+@query(
+    "schema_contracts",
+    """
+    SELECT contract, CASE WHEN met THEN n ELSE 0 END AS accepted_rows FROM (SELECT count(*) AS n FROM orders), (VALUES
+        ('names_and_types', true), ('renamed_column', false), ('reordered_columns', false), ('columns_present', true),
+        ('column_missing', false), ('column_of_another_type', false), ('nested_strings', true), ('nested_number', false),
+        ('schema_digest', true), ('schema_digest_of_another_order', false)) AS t(contract, met)
+    """,
+)
+def schema_contracts(spark, folder):
+    """Rows of orders that each schema contract lets through: all of them, or none."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    schema = orders.schema
+    nested = orders.select(F.struct("o_orderstatus", "o_orderkey").alias("o"))
+    digest = checks.schema_sha256(schema)
+
+    def same_digest(frame):
+        if checks.schema_sha256(frame.schema) != digest:
+            raise checks.ContractError("schema digest differs")
+        return frame
+
+    kinds = {field.name: field.dataType for field in schema.fields}
+    contracts = {
+        "names_and_types": (orders, lambda frame: checks.require_names_and_types(frame, schema)),
+        "renamed_column": (orders.withColumnRenamed("o_orderkey", "O_ORDERKEY"), lambda frame: checks.require_names_and_types(frame, schema)),
+        "reordered_columns": (orders.select("o_orderstatus", "o_orderkey"), lambda frame: checks.require_names_and_types(frame, schema)),
+        "columns_present": (orders.withColumn("more", F.lit(1)), lambda frame: checks.require_columns(frame, kinds)),
+        "column_missing": (orders.drop("o_orderstatus"), lambda frame: checks.require_columns(frame, kinds)),
+        "column_of_another_type": (
+            orders.withColumn("o_orderkey", F.col("o_orderkey").cast("string")), lambda frame: checks.require_columns(frame, kinds)
+        ),
+        "nested_strings": (nested, lambda frame: checks.require_nested_strings(frame, ["o.o_orderstatus"])),
+        "nested_number": (nested, lambda frame: checks.require_nested_strings(frame, ["o.o_orderkey"])),
+        "schema_digest": (orders, same_digest),
+        "schema_digest_of_another_order": (orders.select("o_orderstatus", "o_orderkey"), same_digest),
+    }
+    outcomes = []
+    for name, (frame, require) in contracts.items():
+        try:
+            accepted = require(frame)
+        except checks.ContractError:
+            accepted = frame.limit(0)
+        outcomes.append(accepted.agg(F.count(F.lit(1)).alias("accepted_rows")).withColumn("contract", F.lit(name)))
+    return functools.reduce(DataFrame.unionByName, outcomes).select("contract", "accepted_rows")
+
+
 @query(
     "nested_columns",
     """

@@ -173,6 +173,32 @@ def table_metadata(spark, folder):
     return tables.table_columns(spark, [f"{gold}.dim_customer", f"{gold}.fct_orders"])
 
 
+@query(
+    "table_lifecycle",
+    """
+    SELECT step, cast(rows AS bigint) AS rows FROM (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS f FROM orders),
+        LATERAL (SELECT unnest(['created', 'appended', 'replaced_from_itself', 'dropped', 'smoke']) AS step,
+                        unnest([0, n, f, -1, 1]) AS rows)
+    """,
+)
+def table_lifecycle(spark, folder):
+    """Rows of a table after each step; -1 once it is gone. A table is replaced by rows read from itself."""
+    silver, _ = _namespaces(spark)
+    name = f"{silver}.lifecycle"
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    tables.drop_table(spark, name)
+    tables.create_empty_table(spark, name, orders.schema)
+    steps = [("created", spark.table(name).count())]
+    tables.append_rows(orders, name)
+    steps.append(("appended", spark.table(name).count()))
+    tables.replace_table(spark.table(name).where(F.col("o_orderstatus") == "F"), name)
+    steps.append(("replaced_from_itself", spark.table(name).count()))
+    tables.drop_table(spark, name)
+    steps.append(("dropped", spark.table(name).count() if spark.catalog.tableExists(name) else -1))
+    steps.append(("smoke", tables.smoke(spark, f"{silver}.smoke")))
+    return spark.createDataFrame(steps, "step string, rows long")
+
+
 @query(
     "temp_view_statement",
     "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY o_orderstatus",

@@ -29,10 +29,22 @@ def ensure_namespaces(spark: SparkSession, names: Sequence[str], root: str | Non
 
 
 def replace_table(frame: DataFrame, name: str, properties: Mapping[str, str] | None = None) -> None:
-    """Replace a whole table, then set its properties in sorted key order."""
-    frame.write.mode("overwrite").format("parquet").saveAsTable(name)
+    """Replace a whole table, its properties set in sorted key order.
+
+    The new table is written under another name and takes the old one's place when it is whole, so a
+    failed write leaves the old table as it was, and a table may be replaced by rows read from it.
+    """
+    spark = frame.sparkSession
+    following, previous = f"{name}__next", f"{name}__previous"
+    drop_table(spark, following)
+    frame.write.format("parquet").saveAsTable(following)
     if properties:
-        set_properties(frame.sparkSession, name, properties)
+        set_properties(spark, following, properties)
+    drop_table(spark, previous)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {_quoted(name)} RENAME TO {_quoted(previous)}")
+    spark.sql(f"ALTER TABLE {_quoted(following)} RENAME TO {_quoted(name)}")
+    drop_table(spark, previous)
 
 
 def create_table_if_absent(frame: DataFrame, name: str) -> None:
