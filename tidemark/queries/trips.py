@@ -53,7 +53,7 @@ def silver_dedupe(spark, folder):
 @query("export_sorted", "SELECT * FROM lineitem")
 def export_sorted(spark, folder):
     path = shared_folder(spark, "export")
-    exports.export_sorted(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], path, files=8)
+    exports.export_sorted(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], path)
     return files.read_parquet(spark, path)
 
 

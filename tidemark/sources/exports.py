@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.checks import ContractError, provenance_differences
 from tidemark.operators.events import COPIES_PER_TASK
 from tidemark.operators.multiset import fingerprint, fingerprint_columns
+from tidemark.operators.star import measured_bytes
 from tidemark.session import session_settings
 from tidemark.sources.files import list_files
 from tidemark.sources.tables import read_properties, replace_table
@@ -19,12 +20,15 @@ ROW_GROUP_ROWS = 100_000
 TARGET_FILE_BYTES = 134_217_728
 
 
-def export_sorted(frame: DataFrame, keys: Sequence[str], path: str, files: int) -> None:
+def export_sorted(frame: DataFrame, keys: Sequence[str], path: str, files: int | None = None) -> None:
     """Write files in one global order of the keys, then of all columns; zstd, bounded row groups.
 
     Copies of a row travel as (row, block) and are repeated after the range split, so neither a hot
-    key nor a hot row can fill one file.
+    key nor a hot row can fill one file. Without a number of files, the rows' bytes are measured and
+    each file gets about ``TARGET_FILE_BYTES`` of them before compression.
     """
+    if files is None:
+        files = max(1, -(-measured_bytes(frame) // TARGET_FILE_BYTES))
     rest = [name for name in frame.columns if name not in keys]
     order = [*keys, *rest]
     counted = frame.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
