@@ -7,22 +7,23 @@ it stands. Words are split where the texts are; each distinct word of the corpus
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import unicodedata
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, small_batches
+from tidemark.llm.common import Scratch, partitions_for, small_batches
 
 #: Words of a chunk of documents; a chunk's distinct words are looked up together.
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 2_000_000
 
 
 def read_tokenizer(path: str) -> str:
@@ -51,24 +52,27 @@ class Splitter:
         self.special = frozenset(special)
         self.cut = re.compile("(" + "|".join(re.escape(token) for token in special) + ")") if special else None
         letters, numbers = _latin("L"), _latin("N")
-        self.plain = re.compile(r"[\t\n\r -~¡-įı-ɏ]*")
-        self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
+        self.other = re.compile(r"[^\t\n\r -~¡-įı-ɏ]")
+        # only the contractions begin with what else is a mark, so they stand before the marks alone
+        marks = r"'s|'t|'re|'ve|'m|'ll|'d"
+        self.words = re.compile(rf"[{letters}]+|[{numbers}]|{marks}|[^\s{letters}{numbers}]+")
+        self.ascii_words = re.compile(rf"[a-z]+|[0-9]|{marks}|[^\sa-z0-9]+")
 
     def __call__(self, text: str) -> list[str]:
         if self.cut is None or "<" not in text:
             return self._ordinary(text)
         parts = self.cut.split(text)
-        return list(chain.from_iterable([part] if part in self.special else self._ordinary(part) for part in parts))
+        return list(itertools.chain.from_iterable([part] if part in self.special else self._ordinary(part) for part in parts))
 
     def _ordinary(self, text: str) -> list[str]:
-        if text.isascii() and text.isprintable() or self.plain.fullmatch(text):
-            return self.words.findall(text.lower())
+        if not self.other.search(text):
+            return (self.ascii_words if text.isascii() else self.words).findall(text.lower())
         normal = self.library.normalizer.normalize_str(text)
         return [normal[begin:end] for _, (begin, end) in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
 
 class WordEncoder:
-    """Ids of words by the library's own model; words are taken as they are."""
+    """Ids of words by the library's own model: all ids one after the other, and how many each word has."""
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -77,14 +81,33 @@ class WordEncoder:
         self.special = {token["content"]: token["id"] for token in parts["added_tokens"]}
         parts |= {"normalizer": None, "added_tokens": [], "post_processor": None, "truncation": None, "padding": None}
         self.library = Tokenizer.from_str(json.dumps(parts))
-        self.library.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        lines = pre_tokenizers.Split("\n", "removed")  # a word has no line break
+        self.library.pre_tokenizer = pre_tokenizers.Sequence(
+            [lines, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
 
-    def __call__(self, words: list[str]) -> list[list[int]]:
-        found = [encoding.ids for encoding in self.library.encode_batch_fast(words, add_special_tokens=False)]
-        for at, word in enumerate(words):
-            if word in self.special:
-                found[at] = [self.special[word]]
-        return found
+    def __call__(self, words: list[str], group: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        texts = ["\n".join(words[begin : begin + group]) for begin in range(0, len(words), group)]
+        encodings = self.library.encode_batch(texts, add_special_tokens=False)
+        for begin, encoding in zip(range(0, len(words), group), encodings, strict=True):
+            part = words[begin : begin + group]
+            own = np.array(encoding.ids, np.uint32)
+            size = np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(part))
+            for at, word in enumerate(part):
+                if word in self.special:
+                    edge = int(size[:at].sum())
+                    own = np.concatenate((own[:edge], np.array([self.special[word]], np.uint32), own[edge + size[at] :]))
+                    size[at] = 1
+            ids.append(own)
+            sizes.append(size)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+
+def gather(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``ids`` with these begins and sizes, one after the other."""
+    ends = np.cumsum(sizes)
+    return ids[np.repeat(begins - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -97,91 +120,118 @@ def word_encoder(definition: str) -> WordEncoder:
     return WordEncoder(definition)
 
 
-def pieces_of(spark: SparkSession, definition: str) -> DataFrame:
-    """(id, piece) for the whole vocabulary, a fixed size."""
+def pieces_of(definition: str) -> pa.Array:
+    """Pieces by id for the whole vocabulary, a fixed size."""
     parts = json.loads(definition)
-    rows = {id_: piece for piece, id_ in parts["model"]["vocab"].items()}
-    rows |= {token["id"]: token["content"] for token in parts["added_tokens"]}
-    return spark.createDataFrame(
-        pa.table({"id": pa.array(list(rows.keys()), pa.int32()), "piece": pa.array(list(rows.values()), pa.string())})
-    )
+    pieces = dict(zip(parts["model"]["vocab"].values(), parts["model"]["vocab"].keys(), strict=True))
+    pieces |= {token["id"]: token["content"] for token in parts["added_tokens"]}
+    return pa.array([pieces.get(number) for number in range(max(pieces, default=-1) + 1)], pa.string())
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as three planes of bytes, compressed: small numbers, the frequent ones, cost little."""
+    data = values.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return zlib.compress(np.ascontiguousarray(data.T).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
 
+_SPLIT = "doc_ids array<{kind}>, sizes array<int>, chunk bigint, bucket int, numbers binary, words binary"
 
-def split_documents(spark: SparkSession, documents: DataFrame, definition: str, chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """Chunks of documents as positions in a list of the chunk's distinct words.
 
-    Rows with ``positions`` are documents (little-endian 32-bit integers), the others (chunk, at, word).
+def split_documents(
+    spark: SparkSession, documents: DataFrame, definition: str, chunk_words: int = CHUNK_WORDS, buckets: int = 64
+) -> DataFrame:
+    """Chunks of documents as numbers of words, and the distinct words of each chunk by bucket.
+
+    Rows without ``words`` hold documents: their ids, how many words each has, and all their words as
+    numbers in the chunk's order of frequency. Rows with ``words`` hold the words of a bucket, which is a
+    hash of the word, and their numbers. Words are joined by a line break, which no word has.
     """
     kind = dict(documents.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter(definition)
-        base, number = TaskContext.get().partitionId() << 32, 0
-        table: dict[str, int] = {}
-        count, id_type = 0, None
-
-        def word_rows(words: list[str], chunk: int) -> Iterator[pa.RecordBatch]:
-            for begin in range(0, len(words), 50_000):
-                part = words[begin : begin + 50_000]
-                yield rows([None] * len(part), [chunk] * len(part), range(begin, begin + len(part)), part, [None] * len(part))
-
-        def rows(ids, chunks, ats, words, positions) -> pa.RecordBatch:
+        chunk, id_type = TaskContext.get().partitionId() << 32, None
+        table: dict[str, int] = defaultdict(itertools.count().__next__)
+        ids, sizes, streams, count = [], [], [], 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            words = list(table)
+            stream = np.concatenate(streams) if streams else np.empty(0, np.uint32)
+            order = np.argsort(-np.bincount(stream, minlength=len(words)), kind="stable")
+            number = np.empty(len(words), np.uint32)
+            number[order] = np.arange(len(words))
+            ends = np.cumsum(sizes)
+            for begin in range(0, len(ids), 512):
+                stop = min(begin + 512, len(ids))
+                part = stream[ends[begin] - sizes[begin] : ends[stop - 1]]
+                yield row([ids[begin:stop]], [sizes[begin:stop]], [None], [_packed(number[part])], [None])
+            bucket = np.fromiter(map(zlib.crc32, map(str.encode, words)), np.uint32, len(words)) % buckets
+            by_bucket = np.lexsort((number, bucket))
+            edges = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
+            for at in np.flatnonzero(np.diff(edges)):
+                own = by_bucket[edges[at] : edges[at + 1]]
+                text = "\n".join([words[place] for place in own]).encode()
+                gaps = np.diff(number[own], prepend=np.uint32(0))
+                yield row([None], [None], [at], [_packed(gaps)], [zlib.compress(text, 1)])
+
+        def row(doc_ids: list, doc_sizes: list, bucket: list, numbers: list, words: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({
-                "doc_id": pa.array(ids, id_type), "chunk": pa.array(chunks, pa.int64()), "at": pa.array(ats, pa.int32()),
-                "word": pa.array(words, pa.string()), "positions": pa.array(positions, pa.binary()),
+                "doc_ids": pa.array(doc_ids, pa.list_(id_type)), "sizes": pa.array(doc_sizes, pa.list_(pa.int32())),
+                "chunk": pa.array([chunk], pa.int64()), "bucket": pa.array(bucket, pa.int32()),
+                "numbers": pa.array(numbers, pa.binary()), "words": pa.array(words, pa.binary()),
             })
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            ids, chunks, streams = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = split(text or "")
-                for word in words:
-                    if word not in table:
-                        table[word] = len(table)
                 ids.append(doc_id)
-                chunks.append(base + number)
-                streams.append(np.fromiter(map(table.__getitem__, words), "<u4", len(words)).tobytes())
+                sizes.append(len(words))
+                streams.append(np.fromiter(map(table.__getitem__, words), np.uint32, len(words)))
                 count += len(words)
                 if count >= chunk_words:
-                    yield from word_rows(list(table), base + number)
-                    table, count, number = {}, 0, number + 1
-            if ids:
-                yield rows(ids, chunks, [None] * len(ids), [None] * len(ids), streams)
-        if table:
-            yield from word_rows(list(table), base + number)
-
-    return documents.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, chunk bigint, at int, word string, positions binary"
-    )
+                    yield from close()
+                    chunk, count = chunk + 1, 0
+                    table = defaultdict(itertools.count().__next__)
+                    ids, sizes, streams = [], [], []
+        if ids:
+            yield from close()
 
+    return documents.select("doc_id", "text").mapInArrow(run, _SPLIT.format(kind=kind))
 
-def word_table(spark: SparkSession, words: DataFrame, definition: str) -> DataFrame:
-    """(word, n, ids, decoded) for each distinct word: ids and pieces as text, joined by one space."""
+
+def encode_buckets(words: DataFrame, definition: str) -> DataFrame:
+    """(chunk, numbers, sizes, ids) for rows (chunk, bucket, numbers, words): the ids of the same words.
+
+    All rows of a bucket meet in one task, which encodes each distinct word of it once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(definition)
+        current, known = None, None
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            yield pa.RecordBatch.from_pydict({"word": batch.column("word"), "ids": pa.array(encode(words), pa.list_(pa.int32()))})
-
-    encoded = words.select("word").distinct().mapInArrow(run, "word string, ids array<int>")
-    pieces = F.broadcast(pieces_of(spark, definition))  # the vocabulary, whatever the corpus
-    return (
-        encoded.select("word", F.posexplode("ids").alias("place", "id"))
-        .join(pieces, "id")
-        .groupBy("word")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "id", "piece"))).alias("parts"))
-        .select(
-            "word",
-            F.size("parts").alias("n"),
-            F.array_join(F.transform("parts", lambda part: part["id"].cast("string")), " ").alias("ids"),
-            F.array_join(F.transform("parts", lambda part: part["piece"]), " ").alias("decoded"),
-        )
-    )
-
-
-def encode_decode(spark: SparkSession, documents: DataFrame, definition: str, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+            for row in batch.to_pylist():
+                if row["bucket"] != current:
+                    current, known = row["bucket"], KnownWords(encode)
+                words = zlib.decompress(row["words"]).decode().split("\n")
+                ids, sizes = known.ids_of(known.numbers_of(words))
+                yield pa.RecordBatch.from_pydict({
+                    "chunk": pa.array([row["chunk"]], pa.int64()), "numbers": pa.array([row["numbers"]], pa.binary()),
+                    "sizes": pa.array([_packed(sizes)], pa.binary()), "ids": pa.array([_packed(ids)], pa.binary()),
+                })
+
+    ordered = words.select("chunk", "bucket", "numbers", "words").repartition("bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(run, "chunk bigint, numbers binary, sizes binary, ids binary")
+
+
+def encode_decode(
+    spark: SparkSession, documents: DataFrame, definition: str, chunk_words: int = CHUNK_WORDS, buckets: int | None = None
+) -> DataFrame:
     """doc_id, n_tokens, ids and decoded (text, joined by one space) for each document.
 
     The ids are those the library gives without special tokens added; ``decoded`` is what its decode
@@ -189,33 +239,50 @@ def encode_decode(spark: SparkSession, documents: DataFrame, definition: str, ch
     own text. Other columns are not read.
 
     A chunk has a bounded number of words (a longer document is one alone), so the group in which its
-    words meet its documents is bounded, and a word of all documents has one row per chunk. What the
-    texts were split into is written once, so both sides of the join see the same chunks.
+    words meet its documents is bounded, and a word of all documents is sent once per chunk. The words
+    are dealt over ``buckets`` (four for each task of an exchange, if not given). What the texts were
+    split into is written once, so both sides of the join see the same chunks.
     """
     small_batches(spark)
     scratch = Scratch(spark, "bpe")
-    split = scratch.write(split_documents(spark, documents, definition, chunk_words))
+    buckets = buckets or 4 * partitions_for(spark)
+    split = scratch.write(split_documents(spark, documents, definition, chunk_words, buckets))
     kind = dict(documents.dtypes)["doc_id"]
-    words = split.filter("word IS NOT NULL").select("chunk", "at", "word")
-    streams = scratch.again(split).filter("positions IS NOT NULL").select("chunk", "doc_id", "positions")
-    found = words.join(word_table(spark, words, definition), "word").select("chunk", "at", "n", "ids", "decoded")
+    found = encode_buckets(split.filter("words IS NOT NULL"), definition)
+    streams = scratch.again(split).filter("words IS NULL").select("chunk", "doc_ids", "sizes", "numbers")
+    pieces = pieces_of(definition)
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        size = len(right)
-        order = np.empty(size, np.int64)
-        order[right.column("at").to_numpy()] = np.arange(size)
-        n = right.column("n").to_numpy()[order] if size else np.empty(0, np.int64)
-        ids, pieces = ([column[at] for at in order] for column in (right.column(name).to_pylist() for name in ("ids", "decoded")))
-        counts, all_ids, all_pieces = [], [], []
-        for data in left.column("positions").to_pylist():
-            at = np.frombuffer(data, "<u4")
-            counts.append(int(n[at].sum()))
-            at = at.tolist()
-            all_ids.append(" ".join([ids[place] for place in at]))
-            all_pieces.append(" ".join([pieces[place] for place in at]))
+        rows = right.to_pylist()
+        numbers = [np.cumsum(_unpacked(row["numbers"]), dtype=np.int64) for row in rows]
+        sizes = [_unpacked(row["sizes"]).astype(np.int64) for row in rows]
+        ids = [_unpacked(row["ids"]) for row in rows]
+        if not rows:
+            numbers = sizes = ids = [np.empty(0, np.int64)]
+        flat, length = np.concatenate(ids), np.concatenate(sizes)
+        order = np.argsort(np.concatenate(numbers))
+        begin = (np.cumsum(length) - length)[order]
+        length = length[order]
+        # ids meet their pieces here, then both are joined to the words by number
+        texts = pieces.take(pa.array(flat, pa.int64())).to_pylist()
+        texts = [" ".join(texts[a : a + n]) for a, n in zip(begin.tolist(), length.tolist(), strict=True)]
+        marks = list(map(str, flat.tolist()))
+        marks = [" ".join(marks[a : a + n]) for a, n in zip(begin.tolist(), length.tolist(), strict=True)]
+        out: list[list] = [[], [], [], []]
+        for row in left.to_pylist():
+            stream = _unpacked(row["numbers"]).astype(np.int64)
+            ends = np.cumsum(row["sizes"])
+            for doc_id, end, size in zip(row["doc_ids"], ends.tolist(), row["sizes"], strict=True):
+                at = stream[end - size : end]
+                out[0].append(doc_id)
+                out[1].append(int(length[at].sum()))
+                at = at.tolist()
+                out[2].append(" ".join([marks[place] for place in at]))
+                out[3].append(" ".join([texts[place] for place in at]))
+        id_type = left.schema.field("doc_ids").type.value_type
         return pa.table({
-            "doc_id": left.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()),
-            "ids": pa.array(all_ids, pa.string()), "decoded": pa.array(all_pieces, pa.string()),
+            "doc_id": pa.array(out[0], id_type), "n_tokens": pa.array(out[1], pa.int64()),
+            "ids": pa.array(out[2], pa.string()), "decoded": pa.array(out[3], pa.string()),
         })
 
     return (
@@ -225,21 +292,43 @@ def encode_decode(spark: SparkSession, documents: DataFrame, definition: str, ch
     )
 
 
+class KnownWords:
+    """Words met so far, numbered, each encoded once when its ids are asked for."""
+
+    def __init__(self, encode: WordEncoder):
+        self.encode = encode
+        self.table: dict[str, int] = defaultdict(itertools.count().__next__)
+        self.ids, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
+        self.begins = np.empty(0, np.int64)
+
+    def numbers_of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
+
+    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one word after the other, and how many each has."""
+        if len(self.sizes) < len(self.table):
+            ids, sizes = self.encode(list(itertools.islice(self.table, len(self.sizes), None)))
+            self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
+            self.begins = np.cumsum(self.sizes) - self.sizes
+        sizes = self.sizes[numbers]
+        return gather(self.ids, self.begins[numbers], sizes), sizes
+
+
 class CachedEncoder:
     """Ids of whole texts; a task remembers the words it has met, up to a bound."""
 
-    def __init__(self, definition: str, most_words: int = 400_000):
+    def __init__(self, definition: str, most_words: int = 1_000_000):
         self.split, self.encode = splitter(definition), word_encoder(definition)
-        self.known: dict[str, list[int]] = {}
         self.most_words = most_words
-
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        if len(self.known) > self.most_words:
-            self.known.clear()
-        words = [self.split(text) for text in texts]
-        new = list({word for own in words for word in own if word not in self.known})
-        self.known.update(zip(new, self.encode(new), strict=True))
-        known = self.known
-        return [list(chain.from_iterable([known[word] for word in own])) for own in words]
-
-
+        self.known = KnownWords(self.encode)
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.known.table) > self.most_words:
+            self.known = KnownWords(self.encode)
+        numbers = [self.known.numbers_of(self.split(text)) for text in texts]
+        if not numbers:
+            return []
+        ids, sizes = self.known.ids_of(np.concatenate(numbers))
+        words = np.cumsum([0, *map(len, numbers)])
+        edges = np.concatenate(([0], np.cumsum(sizes)))[words]
+        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]

@@ -105,7 +105,7 @@ def tokenize(spark: SparkSession, documents: DataFrame, definition: str, end_id:
     """(doc_id, ids) with the ids as little-endian 32-bit integers, ``end_id`` after each document."""
     small_batches(spark)
     kind = dict(documents.dtypes)["doc_id"]
-    tail = [] if end_id is None else [end_id]
+    tail = np.array([] if end_id is None else [end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = CachedEncoder(definition)
@@ -113,7 +113,7 @@ def tokenize(spark: SparkSession, documents: DataFrame, definition: str, end_id:
             found = encode([text or "" for text in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),
-                "ids": pa.array([np.array(ids + tail, "<u4").tobytes() for ids in found], pa.binary()),
+                "ids": pa.array([ids.astype("<u4").tobytes() + tail for ids in found], pa.binary()),
             })
 
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary")
