@@ -41,6 +41,8 @@ def test_repeated_source_key_fails(spark):
     target, source = frames(spark, source=[SOURCE[0], SOURCE[0]])
     with pytest.raises(Exception, match="several source rows for one key"):
         changes.merge_upsert(target, source, KEYS).collect()
+    with pytest.raises(Exception, match="several source rows for one key"):
+        changes.merge_upsert(target, source, KEYS).count()
 
 
 def test_repeated_target_key_updates_all_its_rows(spark, rows):

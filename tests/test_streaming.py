@@ -67,7 +67,18 @@ def test_replayed_batches_change_nothing(spark, tmp_path, rows):
     state = cdc.current_state(base, changes, ["invoice"], ["quantity", "price"])
     assert rows(state) == [("A", 9, 9.0), ("B", 5, 5.0), ("C", 7, 7.0)]
     partial = cdc.current_state(base, changes, ["invoice"], ["quantity"])
-    assert rows(partial) == [("A", 9, 2.0), ("B", 5, 0.5), ("C", 7, 7.0)]
+    assert rows(partial) == [("A", 9, 1.0), ("B", 5, 0.5), ("C", 7, 7.0)]
+
+
+def test_the_state_does_not_depend_on_where_batches_are_cut(spark, tmp_path, rows):
+    changes = [("A", 1, 10.0, 1), ("A", 2, 99.0, 2), ("A", 3, 98.0, 3), ("B", None, None, 1)]
+    base = spark.createDataFrame([], "invoice string, quantity int, price double")
+    for name, cuts in {"one": [changes], "two": [changes[:1], changes[1:]], "three": [changes[:1], changes[1:2], changes[2:]]}.items():
+        write = cdc.change_log_writer(f"{tmp_path}/{name}", ["invoice"], ["seq"])
+        for number, batch in enumerate(cuts):
+            write(spark.createDataFrame(batch, RETAIL), number)
+        read = cdc.read_changes(spark, f"{tmp_path}/{name}", spark.createDataFrame([], RETAIL).schema).drop("seq")
+        assert rows(cdc.current_state(base, read, ["invoice"], ["quantity"])) == [("A", 3, 10.0), ("B", None, None)]
 
 
 def test_folding_some_batches_gives_the_same_state(spark, tmp_path, rows):

@@ -25,9 +25,12 @@ def _one_row_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     packed = source.groupBy(F.struct(*keys).alias("_key")).agg(
         F.count(F.lit(1)).alias("_rows"), F.any_value(F.struct(*source.columns)).alias("_row")
     )
-    kind = packed.schema["_row"].dataType
-    row = F.when(F.col("_rows") == 1, F.col("_row")).otherwise(F.raise_error(message).cast(kind))
-    return packed.select("_key.*", row.alias(_SOURCE))
+    def single(name: str) -> Column:
+        # the key is guarded as well, for plans that read nothing else
+        failure = F.raise_error(message).cast(packed.schema[name].dataType)
+        return F.when(F.col("_rows") == 1, F.col(name)).otherwise(failure)
+
+    return packed.select(single("_key").alias("_key"), single("_row").alias(_SOURCE)).select("_key.*", _SOURCE)
 
 
 def merge_upsert(

@@ -138,25 +138,21 @@ def cdc_foreach_batch(spark, folder):
     """The state after all deliveries: the last change of every line."""
     changes = _deliver(spark, folder, shared_folder(spark, "cdc"))
     base = changes.select(*CDC_KEYS, *CDC_SET).limit(0)
-    return cdc.current_state(base, changes.select(*CDC_KEYS, *CDC_SET, cdc.BATCH), CDC_KEYS, CDC_SET)
+    return cdc.current_state(base, changes.select(*CDC_KEYS, *CDC_SET, cdc.BATCH, cdc.PLACE), CDC_KEYS, CDC_SET)
 
 
 @query(
     "cdc_fold",
-    """
-    WITH d AS (
-        SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_returnflag
-            ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS r FROM lineitem),
-    b AS (SELECT * FROM d WHERE r = 1)
-    SELECT l_orderkey, l_linenumber, arg_max(l_quantity, l_returnflag) AS l_quantity,
-           arg_min(l_extendedprice, l_returnflag) AS l_extendedprice
-    FROM b GROUP BY 1, 2
+    f"""
+    SELECT l_orderkey, l_linenumber, max(l_quantity) FILTER (WHERE place = places) AS l_quantity,
+           max(l_extendedprice) FILTER (WHERE place = 1) AS l_extendedprice
+    FROM ({DELIVERED_SQL}) GROUP BY 1, 2
     """,
 )
 def cdc_fold(spark, folder):
     """Only the quantity is updated: the price stays as inserted. Two batches are folded, one is read on top."""
     base = shared_folder(spark, "fold")
-    changes = _deliver(spark, folder, base).select(*CDC_KEYS, *CDC_SET, cdc.BATCH)
+    changes = _deliver(spark, folder, base).select(*CDC_KEYS, *CDC_SET, cdc.BATCH, cdc.PLACE)
     empty = changes.select(*CDC_KEYS, *CDC_SET).limit(0)
     folded = cdc.fold(
         empty, changes.where(F.col(cdc.BATCH) <= 1), CDC_KEYS, ["l_quantity"], f"{base}/base"
