@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import functools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -55,9 +57,15 @@ def session_settings(spark: SparkSession, settings: Mapping[str, object]) -> Ite
                 spark.conf.set(name, value)
 
 
+_made: list[str] = []
+
+
 @functools.lru_cache(maxsize=None)
 def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-", dir="/tmp")
+    """A folder of this process, for local masters; it goes when the process ends."""
+    base = tempfile.mkdtemp(prefix="tidemark-", dir="/tmp")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -71,4 +79,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = _local_base()
-    return f"{base.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
+
+
+def remove_shared_folders(spark: SparkSession) -> int:
+    """Delete all folders made so far and return their number; call it when results are written.
+
+    Frames returned by operators may still read such a folder until they are written themselves.
+    """
+    count = len(_made)
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count
