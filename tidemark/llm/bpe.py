@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import Scratch, partitions_for, small_batches
+from tidemark.llm.common import partitions_for, small_batches
 
 #: Words of a chunk of documents; a chunk's distinct words are looked up together.
 CHUNK_WORDS = 2_000_000
@@ -205,12 +205,16 @@ def split_documents(
     return documents.select("doc_id", "text").mapInArrow(run, _SPLIT.format(kind=kind))
 
 
-def encode_buckets(words: DataFrame, definition: str) -> DataFrame:
-    """(chunk, numbers, sizes, ids) for rows (chunk, bucket, numbers, words): the ids of the same words.
+def encode_buckets(split: DataFrame, definition: str) -> DataFrame:
+    """(chunk, numbers, sizes, ids) for each row with words: the ids of the same words.
 
     All rows of a bucket meet in one task, which encodes each distinct word of it once.
     """
 
+    def words_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(batch.column("words").is_valid()).select(["chunk", "bucket", "numbers", "words"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(definition)
         current, known = None, None
@@ -225,7 +229,8 @@ def encode_buckets(words: DataFrame, definition: str) -> DataFrame:
                     "sizes": pa.array([_packed(sizes)], pa.binary()), "ids": pa.array([_packed(ids)], pa.binary()),
                 })
 
-    ordered = words.select("chunk", "bucket", "numbers", "words").repartition("bucket").sortWithinPartitions("bucket")
+    words = split.mapInArrow(words_only, "chunk bigint, bucket int, numbers binary, words binary")
+    ordered = words.repartition("bucket").sortWithinPartitions("bucket")
     return ordered.mapInArrow(run, "chunk bigint, numbers binary, sizes binary, ids binary")
 
 
@@ -240,16 +245,17 @@ def encode_decode(
 
     A chunk has a bounded number of words (a longer document is one alone), so the group in which its
     words meet its documents is bounded, and a word of all documents is sent once per chunk. The words
-    are dealt over ``buckets`` (four for each task of an exchange, if not given). What the texts were
-    split into is written once, so both sides of the join see the same chunks.
+    are dealt over ``buckets`` (four for each task of an exchange, if not given).
+
+    Texts are split once: both sides of the join read the same exchange by chunk. The filters are in the
+    functions, as the optimiser would else move them below it and split twice. ``documents`` is a table
+    read from files, so a task that runs again makes the same chunks; write any other frame first.
     """
     small_batches(spark)
-    scratch = Scratch(spark, "bpe")
     buckets = buckets or 4 * partitions_for(spark)
-    split = scratch.write(split_documents(spark, documents, definition, chunk_words, buckets))
+    split = split_documents(spark, documents, definition, chunk_words, buckets).repartition("chunk")
     kind = dict(documents.dtypes)["doc_id"]
-    found = encode_buckets(split.filter("words IS NOT NULL"), definition)
-    streams = scratch.again(split).filter("words IS NULL").select("chunk", "doc_ids", "sizes", "numbers")
+    found = encode_buckets(split, definition)
     pieces = pieces_of(definition)
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -269,7 +275,7 @@ def encode_decode(
         marks = list(map(str, flat.tolist()))
         marks = [" ".join(marks[a : a + n]) for a, n in zip(begin.tolist(), length.tolist(), strict=True)]
         out: list[list] = [[], [], [], []]
-        for row in left.to_pylist():
+        for row in left.filter(left.column("words").is_null()).select(["doc_ids", "sizes", "numbers"]).to_pylist():
             stream = _unpacked(row["numbers"]).astype(np.int64)
             ends = np.cumsum(row["sizes"])
             for doc_id, end, size in zip(row["doc_ids"], ends.tolist(), row["sizes"], strict=True):
@@ -286,7 +292,7 @@ def encode_decode(
         })
 
     return (
-        streams.groupBy("chunk")
+        split.groupBy("chunk")
         .cogroup(found.groupBy("chunk"))
         .applyInArrow(join, f"doc_id {kind}, n_tokens bigint, ids string, decoded string")
     )
