@@ -128,13 +128,13 @@ def pieces_of(definition: str) -> pa.Array:
     return pa.array([pieces.get(number) for number in range(max(pieces, default=-1) + 1)], pa.string())
 
 
-def _packed(values: np.ndarray) -> bytes:
+def pack_numbers(values: np.ndarray) -> bytes:
     """Numbers as three planes of bytes, compressed: small numbers, the frequent ones, cost little."""
     data = values.astype("<u4").view(np.uint8).reshape(-1, 4)
     return zlib.compress(np.ascontiguousarray(data.T).tobytes(), 1)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
+def unpack_numbers(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
@@ -169,7 +169,7 @@ def split_documents(
             for begin in range(0, len(ids), 512):
                 stop = min(begin + 512, len(ids))
                 part = stream[ends[begin] - sizes[begin] : ends[stop - 1]]
-                yield row([ids[begin:stop]], [sizes[begin:stop]], [None], [_packed(number[part])], [None])
+                yield row([ids[begin:stop]], [sizes[begin:stop]], [None], [pack_numbers(number[part])], [None])
             bucket = np.fromiter(map(zlib.crc32, map(str.encode, words)), np.uint32, len(words)) % buckets
             by_bucket = np.lexsort((number, bucket))
             edges = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
@@ -177,7 +177,7 @@ def split_documents(
                 own = by_bucket[edges[at] : edges[at + 1]]
                 text = "\n".join([words[place] for place in own]).encode()
                 gaps = np.diff(number[own], prepend=np.uint32(0))
-                yield row([None], [None], [at], [_packed(gaps)], [zlib.compress(text, 1)])
+                yield row([None], [None], [at], [pack_numbers(gaps)], [zlib.compress(text, 1)])
 
         def row(doc_ids: list, doc_sizes: list, bucket: list, numbers: list, words: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({
@@ -226,7 +226,7 @@ def encode_buckets(split: DataFrame, definition: str) -> DataFrame:
                 ids, sizes = known.ids_of(known.numbers_of(words))
                 yield pa.RecordBatch.from_pydict({
                     "chunk": pa.array([row["chunk"]], pa.int64()), "numbers": pa.array([row["numbers"]], pa.binary()),
-                    "sizes": pa.array([_packed(sizes)], pa.binary()), "ids": pa.array([_packed(ids)], pa.binary()),
+                    "sizes": pa.array([pack_numbers(sizes)], pa.binary()), "ids": pa.array([pack_numbers(ids)], pa.binary()),
                 })
 
     words = split.mapInArrow(words_only, "chunk bigint, bucket int, numbers binary, words binary")
@@ -260,9 +260,9 @@ def encode_decode(
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = right.to_pylist()
-        numbers = [np.cumsum(_unpacked(row["numbers"]), dtype=np.int64) for row in rows]
-        sizes = [_unpacked(row["sizes"]).astype(np.int64) for row in rows]
-        ids = [_unpacked(row["ids"]) for row in rows]
+        numbers = [np.cumsum(unpack_numbers(row["numbers"]), dtype=np.int64) for row in rows]
+        sizes = [unpack_numbers(row["sizes"]).astype(np.int64) for row in rows]
+        ids = [unpack_numbers(row["ids"]) for row in rows]
         if not rows:
             numbers = sizes = ids = [np.empty(0, np.int64)]
         flat, length = np.concatenate(ids), np.concatenate(sizes)
@@ -276,7 +276,7 @@ def encode_decode(
         marks = [" ".join(marks[a : a + n]) for a, n in zip(begin.tolist(), length.tolist(), strict=True)]
         out: list[list] = [[], [], [], []]
         for row in left.filter(left.column("words").is_null()).select(["doc_ids", "sizes", "numbers"]).to_pylist():
-            stream = _unpacked(row["numbers"]).astype(np.int64)
+            stream = unpack_numbers(row["numbers"]).astype(np.int64)
             ends = np.cumsum(row["sizes"])
             for doc_id, end, size in zip(row["doc_ids"], ends.tolist(), row["sizes"], strict=True):
                 at = stream[end - size : end]

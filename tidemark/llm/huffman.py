@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import CachedEncoder
+from tidemark.llm.bpe import CachedEncoder, pack_numbers, unpack_numbers
 from tidemark.llm.common import Scratch, partitions_for, small_batches
 
 #: Longest code. Two bits more than 2^16 ids need cost next to nothing against unlimited codes.
@@ -102,10 +102,10 @@ class Decoder:
 
 
 def tokenize(spark: SparkSession, documents: DataFrame, definition: str, end_id: int | None = 2) -> DataFrame:
-    """(doc_id, ids) with the ids as little-endian 32-bit integers, ``end_id`` after each document."""
+    """(doc_id, ids) with the ids as ``pack_numbers`` stores them, ``end_id`` after each document."""
     small_batches(spark)
     kind = dict(documents.dtypes)["doc_id"]
-    tail = np.array([] if end_id is None else [end_id], "<u4").tobytes()
+    tail = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = CachedEncoder(definition)
@@ -113,7 +113,7 @@ def tokenize(spark: SparkSession, documents: DataFrame, definition: str, end_id:
             found = encode([text or "" for text in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),
-                "ids": pa.array([ids.astype("<u4").tobytes() + tail for ids in found], pa.binary()),
+                "ids": pa.array([pack_numbers(np.concatenate((ids, tail))) for ids in found], pa.binary()),
             })
 
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary")
@@ -125,7 +125,8 @@ def _counts(tokens: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(0, np.int64)
         for batch in batches:
-            own = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4"), minlength=len(sums))
+            ids = [unpack_numbers(data) for data in batch.column(0).to_pylist()]
+            own = np.bincount(np.concatenate([np.empty(0, np.uint32), *ids]), minlength=len(sums)).astype(np.int64)
             own[: len(sums)] += sums
             sums = own
         some = np.flatnonzero(sums)
@@ -141,13 +142,13 @@ def _counts(tokens: DataFrame) -> np.ndarray:
 def write_tokens(spark: SparkSession, tokens: DataFrame, path: str) -> None:
     """Write (doc_id, ids) to ``path``: blocks in ascending doc_id order and the code lengths.
 
-    ``ids`` are little-endian 32-bit integers; null counts as none. Null ids of documents come first.
+    ``ids`` are as ``pack_numbers`` stores them; null counts as none. Null ids of documents come first.
     Rows with equal ids follow each other in the order of their bytes. A shard is a range of doc_ids,
     written by one task; its blocks know their place in the shard, the reader adds the shards up.
     """
     staged = Scratch(spark, "tokens")
     rows = staged.write(
-        tokens.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids"))
+        tokens.select("doc_id", F.coalesce("ids", F.lit(pack_numbers(np.empty(0, np.uint32)))).alias("ids"))
     )
     lengths = code_lengths(_counts(rows))
     codes, _ = canonical_codes(lengths)
@@ -160,13 +161,13 @@ def write_tokens(spark: SparkSession, tokens: DataFrame, path: str) -> None:
         doc_ids, parts, held = [], [], 0
 
         def close() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(parts), "<u4")
+            ids = np.concatenate(parts).astype(np.int64)
             bits, checkpoints = encode_bits(ids, codes, lengths)
             return pa.RecordBatch.from_pydict({
                 "shard": pa.array([shard], pa.int32()), "block": pa.array([block], pa.int32()),
                 "first_token": pa.array([first], pa.int64()), "n_tokens": pa.array([len(ids)], pa.int64()),
                 "doc_ids": pa.array([doc_ids], pa.list_(id_type)),
-                "doc_tokens": pa.array([[len(part) // 4 for part in parts]], pa.list_(pa.int64())),
+                "doc_tokens": pa.array([[len(part) for part in parts]], pa.list_(pa.int64())),
                 "checkpoints": pa.array([checkpoints.astype("<u8").tobytes()], pa.binary()),
                 "bits": pa.array([bits], pa.binary()),
             })
@@ -175,8 +176,8 @@ def write_tokens(spark: SparkSession, tokens: DataFrame, path: str) -> None:
             id_type = batch.schema.field("doc_id").type
             for doc_id, data in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
                 doc_ids.append(doc_id)
-                parts.append(data)
-                held += len(data) // 4
+                parts.append(unpack_numbers(data))
+                held += len(parts[-1])
                 if held >= BLOCK_TOKENS:
                     yield close()
                     block, first = block + 1, first + held
