@@ -19,13 +19,15 @@ from tidemark.llm.crf import logistic, training_rows
 #: Labelled examples of the index by class, in the order of md5(doc_id), and their longest text.
 MAX_TOXIC, MAX_CLEAN, MAX_TRAINING_CHARS = 2000, 4000, 20_000
 #: Terms of the vector space: those that tell most about the label among the examples, as far as their
-#: log-likelihood ratio is significant (one in a thousand by chance).
-VOCABULARY, LEAST_GAIN = 4096, 10.83
+#: log-likelihood ratio is significant (one in a million by chance, as very many terms are tried).
+VOCABULARY, LEAST_GAIN = 4096, 24.0
 #: Examples of a term's class, at least, that must have it.
 LEAST_EXAMPLES = 4
 NEIGHBOURS = 15
 BLOCK = 64
-_WORD = re.compile(r"[^\W\d_]+")
+#: Blocks with the highest bounds, which are looked at first.
+FIRST_BLOCKS = 8
+_WORD = re.compile(r"\w+")
 
 
 def terms_of(word: str) -> tuple[str, ...]:
@@ -73,6 +75,7 @@ class Index:
     ids: list
     begins: np.ndarray
     places: np.ndarray
+    blocks: np.ndarray
     weights: np.ndarray
     block_max: np.ndarray
     calibration: np.ndarray | None = None
@@ -92,27 +95,32 @@ class Index:
         if not len(rows):
             return none
         bounds = values @ self.block_max[rows]
-        spans = [slice(a, b) for a, b in zip(self.begins[rows], self.begins[rows + 1], strict=True)]
+        spans = [slice(a, b) for a, b in zip(self.begins[rows].tolist(), self.begins[rows + 1].tolist(), strict=True)]
         places = np.concatenate([self.places[span] for span in spans])
         if not len(places):
             return none
-        parts = np.concatenate([self.weights[span] * value for span, value in zip(spans, values, strict=True)])
-        blocks = places // BLOCK
+        blocks = np.concatenate([self.blocks[span] for span in spans])
+        parts = np.concatenate([self.weights[span] for span in spans])
+        parts *= np.repeat(values, [span.stop - span.start for span in spans])
         first = np.zeros(len(bounds), bool)
-        first[np.argsort(-bounds, kind="stable")[:4]] = True
-        cosines = np.zeros(len(self.labels))
+        first[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
+
+        def least(cosines: np.ndarray) -> float:
+            """The last of the nearest so far, above which a block's bound has to be."""
+            if skip >= 0:
+                cosines[skip] = 0
+            some = cosines[cosines > 0]
+            return float(np.partition(some, -NEIGHBOURS)[-NEIGHBOURS]) if len(some) >= NEIGHBOURS else 0.0
+
         taken = first[blocks]
-        cosines += np.bincount(places[taken], parts[taken], len(cosines))
-        if skip >= 0:
-            cosines[skip] = 0
-        reached = np.partition(cosines, -NEIGHBOURS)[-NEIGHBOURS] if len(cosines) >= NEIGHBOURS else 0.0
+        cosines = np.bincount(places[taken], parts[taken], len(self.labels))
+        reached = least(cosines)
         more = (bounds >= reached - 1e-12) & (bounds > 0) & ~first
         if more.any():
             taken = more[blocks]
             cosines += np.bincount(places[taken], parts[taken], len(cosines))
-            if skip >= 0:
-                cosines[skip] = 0
-        found = np.flatnonzero(cosines > 0)
+            reached = least(cosines)
+        found = np.flatnonzero((cosines >= reached) & (cosines > 0))
         found = found[np.lexsort((found, -cosines[found]))][:NEIGHBOURS]
         return found, cosines[found]
 
@@ -134,7 +142,7 @@ def build_index(
     examples: list[Counter], labels: np.ndarray, ids: list, terms: list[str], idf: np.ndarray, prior: float
 ) -> Index:
     place_of = {term: row for row, term in enumerate(terms)}
-    shell = Index(place_of, idf, labels, ids, *[None] * 4)
+    shell = Index(place_of, idf, labels, ids, *[None] * 5)
     vectors = [shell.vector({place_of[t]: n for t, n in counts.items() if t in place_of}) for counts in examples]
     # examples with the same heaviest term share blocks, which keeps the bounds tight
     heaviest = [int(rows[np.argmax(values)]) if len(rows) else len(terms) for rows, values in vectors]
@@ -148,7 +156,9 @@ def build_index(
     block_max = np.zeros((len(terms), -(-len(vectors) // BLOCK)))
     np.maximum.at(block_max, (rows, places // BLOCK), values)
     begins = np.searchsorted(rows, np.arange(len(terms) + 1))
-    index = Index(place_of, idf, labels[order], [ids[at] for at in order], begins, places, values, block_max)
+    index = Index(
+        place_of, idf, labels[order], [ids[at] for at in order], begins, places, places // BLOCK, values, block_max
+    )
     # calibrated on the examples themselves, each without its own vote, weighed to the classes' true shares
     seen = []
     for at, vector in enumerate(vectors):
@@ -162,24 +172,28 @@ def build_index(
 
 
 class _Vocabulary:
-    """Terms of words, remembered by word while a task runs."""
+    """Terms of words; a task remembers, up to a bound, the words that have none."""
 
     def __init__(self, terms: dict[str, int]):
         self.terms = terms
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.without: set[str] = set()
 
     def counts(self, text: str) -> dict[int, int]:
         found: dict[int, int] = {}
-        known = self.known
-        if len(known) > 300_000:
-            known.clear()
-        for word, times in Counter(_WORD.findall(text.lower())).items():
-            rows = known.get(word)
-            if rows is None:
-                rows = known[word] = tuple(self.terms[term] for term in terms_of(word) if term in self.terms)
+        if len(self.without) > 500_000:
+            self.without.clear()
+        words = _WORD.findall(text.lower())
+        fresh = set(words).difference(self.without)
+        tally = Counter(words) if len(fresh) > 20 else None
+        for word in fresh:
+            rows = [self.terms[term] for term in terms_of(word) if term in self.terms]
+            if not rows:
+                self.without.add(word)
+                continue
+            times = tally[word] if tally else words.count(word)
             for row in rows:
                 found[row] = found.get(row, 0) + times
-        return found
+        return dict(sorted(found.items()))
 
 
 def document_frequencies(documents: DataFrame, terms: list[str]) -> tuple[np.ndarray, int]:
