@@ -1,6 +1,7 @@
 """Operators over the whole corpus: near duplicates, passages, rules, classifiers, the pipeline."""
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -213,6 +214,29 @@ def test_nearest_examples_are_exact():
         assert np.allclose(cosines, exact[exact > 1e-12][: len(cosines)]) and len(cosines) == (exact > 1e-12).sum()
 
 
+def test_toxicity_neighbours_are_those_over_all_terms(spark, documents, corpus):
+    labelled = {at: int(at % 4 == 0) for at in range(60)}
+    labels = spark.createDataFrame(list(labelled.items()), "doc_id bigint, toxic int")
+    rows = toxicity.toxicity_scores(spark, documents, labels).collect()
+    vectors = [toxicity.term_counts(row[1] or "") for row in corpus]
+    texts = {}
+    for row in corpus:
+        if row[0] in labelled and zlib.crc32(str(row[0]).encode()) % 4 != 2 and len(row[1] or "") <= 20_000:
+            texts[row[0]] = min(texts.get(row[0], row[1] or ""), row[1] or "")
+    examples = [toxicity.term_counts(text) for text in texts.values()]
+    seen, known = Counter(term for own in vectors for term in own), {term for own in examples for term in own}
+
+    def vector(counts):
+        own = {t: (1 + np.log(n)) * (np.log((len(corpus) + 1) / (seen[t] + 1)) + 1e-3) for t, n in counts.items() if t in known}
+        norm = np.sqrt(sum(value * value for value in own.values()))
+        return {term: value / norm for term, value in own.items()}
+
+    held = [vector(own) for own in examples]
+    exact = [max(sum(value * other.get(term, 0) for term, value in own.items()) for other in held) for own in map(vector, vectors)]
+    by_id = lambda pairs: sorted((str(doc_id), round(float(value), 9)) for doc_id, value in pairs)
+    assert by_id((r.doc_id, r.nearest) for r in rows) == by_id(zip((row[0] for row in corpus), exact, strict=True))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     assert compare(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) is None

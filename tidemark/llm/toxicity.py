@@ -1,12 +1,13 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index."""
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index of all their terms."""
 
 from __future__ import annotations
 
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +19,15 @@ from tidemark.llm.crf import logistic, training_rows
 
 #: Labelled examples of the index by class, in the order of md5(doc_id), and their longest text.
 MAX_TOXIC, MAX_CLEAN, MAX_TRAINING_CHARS = 2000, 4000, 20_000
-#: Terms of the vector space: those that tell most about the label among the examples, as far as their
-#: log-likelihood ratio is significant (one in a million by chance, as very many terms are tried).
-VOCABULARY, LEAST_GAIN = 4096, 24.0
-#: Examples of a term's class, at least, that must have it.
-LEAST_EXAMPLES = 4
 NEIGHBOURS = 15
-BLOCK = 64
-#: Blocks with the highest bounds, which are looked at first.
-FIRST_BLOCKS = 8
+#: Terms of a second space, whose votes the score is calibrated on beside those over all terms: those that tell
+#: most about the label among the examples, as far as their log-likelihood ratio is significant (one in a
+#: million by chance, as very many terms are tried) and so many examples of a class have them.
+VOCABULARY, LEAST_GAIN, LEAST_EXAMPLES = 4096, 24.0, 4
+#: Terms in more than one of so many examples are multiplied as a dense matrix, the others by postings.
+HEAD_SHARE = 32
+#: Texts that are compared with the examples at once.
+GROUP = 128
 _WORD = re.compile(r"\w+")
 
 
@@ -43,169 +44,239 @@ def term_counts(text: str) -> Counter:
     return counts
 
 
-def choose_terms(examples: list[Counter], labels: np.ndarray, most: int = VOCABULARY) -> list[str]:
-    """Terms with the largest log-likelihood ratio of label and presence; ties in alphabetical order."""
-    toxic, clean = Counter(), Counter()
-    for counts, label in zip(examples, labels, strict=True):
-        (toxic if label else clean).update(counts.keys())
-    sizes = (int((labels == 1).sum()), int((labels == 0).sum()))
-    total = sum(sizes)
+def telling_terms(examples: Sequence[dict[int, int]], labels: np.ndarray, n_terms: int) -> np.ndarray:
+    """Terms with the largest log-likelihood ratio of label and presence; ties in the order of the terms."""
+    seen = np.zeros((2, n_terms))
+    for counts, label in zip(examples, labels.tolist(), strict=True):
+        seen[int(label == 1), list(counts)] += 1
+    sizes = np.array([(labels != 1).sum(), (labels == 1).sum()])
+    here, total = seen.sum(0), int(sizes.sum())
+    gain = np.zeros(n_terms)
+    for own, size in zip(seen, sizes.tolist(), strict=True):
+        for part, margin in ((own, here), (size - own, total - here)):
+            some = part > 0
+            gain[some] += 2 * part[some] * np.log(part[some] * total / (margin[some] * size))
+    known = np.flatnonzero((seen.max(0) >= LEAST_EXAMPLES) & (gain >= LEAST_GAIN))
+    return known[np.argsort(-gain[known], kind="stable")][:VOCABULARY]
 
-    def gain(term: str) -> float:
-        value = 0.0
-        here = toxic[term] + clean[term]
-        for seen, size in ((toxic[term], sizes[0]), (clean[term], sizes[1])):
-            for part, margin in ((seen, here), (size - seen, total - here)):
-                if part:
-                    value += 2 * part * math.log(part * total / (margin * size))
-        return value
 
-    known = [term for term in toxic.keys() | clean.keys() if max(toxic[term], clean[term]) >= LEAST_EXAMPLES]
-    gains = {term: gain(term) for term in known}
-    return sorted((term for term in known if gains[term] >= LEAST_GAIN), key=lambda term: (-gains[term], term))[:most]
+def _runs(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``begins``, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(begins - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
 @dataclass
 class Index:
-    """Postings of the examples by term, with the largest weight of each term in each block."""
+    """Vectors of the examples by example, and by term for terms of few examples (the tail).
+
+    The products of the terms of many examples (the head) are a dense matrix product in single
+    precision, which only chooses candidates; cosines are sums in double precision.
+    """
 
     terms: dict[str, int]
     idf: np.ndarray
     labels: np.ndarray
     ids: list
-    begins: np.ndarray
-    places: np.ndarray
-    blocks: np.ndarray
-    weights: np.ndarray
-    block_max: np.ndarray
-    calibration: np.ndarray | None = None
+    starts: np.ndarray
+    rows: np.ndarray
+    values: np.ndarray
+    #: Votes of the other examples on each, and what each example weighs in a calibration.
+    seen: np.ndarray | None = None
+    mass: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name[0] != "_"}
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        rows = np.fromiter(counts.keys(), np.int64, len(counts))
-        values = (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * self.idf[rows]
+        times = np.fromiter(counts.values(), np.float64, len(counts))
+        return self.weighted(np.fromiter(counts.keys(), np.int64, len(counts)), times)
+
+    def weighted(self, rows: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        values = (1 + np.log(times)) * self.idf[rows]
         norm = math.sqrt(float(values @ values))
         return rows, values / norm if norm else values
 
+    def _open(self) -> None:
+        """Head matrix and postings of the tail, made once in each process."""
+        place = np.repeat(np.arange(len(self.labels)), np.diff(self.starts))
+        common = np.bincount(self.rows, minlength=len(self.idf)) * HEAD_SHARE > len(self.labels)
+        self._column = np.where(common, np.cumsum(common) - 1, -1)
+        head = common[self.rows]
+        self._head = np.zeros((int(common.sum()), len(self.labels)), np.float32)
+        self._head[self._column[self.rows[head]], place[head]] = self.values[head]
+        by_term = np.argsort(self.rows[~head], kind="stable")
+        self._places, self._weights = place[~head][by_term], self.values[~head][by_term]
+        tail = np.bincount(self.rows[~head], minlength=len(self.idf))
+        self._begins = np.concatenate(([0], np.cumsum(tail)))
+        self._query = np.zeros(len(self.idf))
+
     def nearest(self, rows: np.ndarray, values: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the nearest examples with a positive cosine, nearest first.
-
-        Blocks whose bound cannot reach the last of the nearest are not looked at; the result is exact.
-        """
-        none = np.empty(0, np.int64), np.empty(0)
-        if not len(rows):
-            return none
-        bounds = values @ self.block_max[rows]
-        spans = [slice(a, b) for a, b in zip(self.begins[rows].tolist(), self.begins[rows + 1].tolist(), strict=True)]
-        places = np.concatenate([self.places[span] for span in spans])
-        if not len(places):
-            return none
-        blocks = np.concatenate([self.blocks[span] for span in spans])
-        parts = np.concatenate([self.weights[span] for span in spans])
-        parts *= np.repeat(values, [span.stop - span.start for span in spans])
-        first = np.zeros(len(bounds), bool)
-        first[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
-
-        def least(cosines: np.ndarray) -> float:
-            """The last of the nearest so far, above which a block's bound has to be."""
-            if skip >= 0:
-                cosines[skip] = 0
-            some = cosines[cosines > 0]
-            return float(np.partition(some, -NEIGHBOURS)[-NEIGHBOURS]) if len(some) >= NEIGHBOURS else 0.0
-
-        taken = first[blocks]
-        cosines = np.bincount(places[taken], parts[taken], len(self.labels))
-        reached = least(cosines)
-        more = (bounds >= reached - 1e-12) & (bounds > 0) & ~first
-        if more.any():
-            taken = more[blocks]
-            cosines += np.bincount(places[taken], parts[taken], len(cosines))
-            reached = least(cosines)
-        found = np.flatnonzero((cosines >= reached) & (cosines > 0))
-        found = found[np.lexsort((found, -cosines[found]))][:NEIGHBOURS]
-        return found, cosines[found]
-
-    def votes(self, found: np.ndarray, cosines: np.ndarray) -> tuple[float, float, float]:
-        """Toxic and clean votes, each example weighed by its cosine, and the nearest cosine."""
+        """Places and cosines of the nearest examples with a positive cosine, nearest first."""
+        return self.nearest_of([(rows, values)], [skip])[0]
+
+    def nearest_of(
+        self, vectors: Sequence[tuple[np.ndarray, np.ndarray]], skips: Sequence[int] | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of several vectors; the result is exact."""
+        if not hasattr(self, "_head"):
+            self._open()
+        count = len(self.labels)
+        sizes = [len(rows) for rows, _ in vectors]
+        rows = np.concatenate([rows for rows, _ in vectors])
+        values = np.concatenate([values for _, values in vectors])
+        own = np.repeat(np.arange(len(vectors)), sizes)
+        columns = self._column[rows]
+        head = columns >= 0
+        dense = np.zeros((len(vectors), len(self._head)), np.float32)
+        dense[own[head], columns[head]] = values[head]
+        rough = dense @ self._head
+        rows, values, own = rows[~head], values[~head], own[~head]
+        lengths = self._begins[rows + 1] - self._begins[rows]
+        at = _runs(self._begins[rows], lengths)
+        cells = np.repeat(own * count, lengths) + self._places[at]
+        tail = np.bincount(cells, np.repeat(values, lengths) * self._weights[at], rough.size)
+        rough += tail.reshape(rough.shape).astype(np.float32)
+        if skips is not None:
+            for place, skip in enumerate(skips):
+                if skip >= 0:
+                    rough[place, skip] = 0
+        last = np.partition(rough, -NEIGHBOURS, axis=1)[:, -NEIGHBOURS] if count > NEIGHBOURS else np.zeros(len(vectors))
+        # no product is negative, so rounding changes a cosine by at most this share of it, one way or the other
+        least = last * (1 - 4 * (len(self._head) + 4) * 2.0**-24)
+        out = []
+        for place, (rows, values) in enumerate(vectors):
+            found = np.flatnonzero((rough[place] >= least[place]) & (rough[place] > 0))
+            if not len(found):
+                out.append((found, np.empty(0)))
+                continue
+            lengths = self.starts[found + 1] - self.starts[found]
+            at = _runs(self.starts[found], lengths)
+            self._query[rows] = values
+            cosines = np.add.reduceat(self.values[at] * self._query[self.rows[at]], np.cumsum(lengths) - lengths)
+            self._query[rows] = 0
+            order = np.lexsort((found, -cosines))[:NEIGHBOURS]
+            out.append((found[order], cosines[order]))
+        return out
+
+    def votes(self, found: np.ndarray, cosines: np.ndarray) -> tuple[float, float, float, float]:
+        """Share of toxic votes, toxic and clean votes, each example weighed by its cosine, and the nearest cosine."""
         if not len(found):
-            return 0.0, 0.0, 0.0
-        toxic = float(cosines @ self.labels[found])
-        return toxic, float(cosines.sum()) - toxic, float(cosines[0])
+            return 0.0, 0.0, 0.0, 0.0
+        toxic, both = float(cosines @ self.labels[found]), float(cosines.sum())
+        return toxic / both, toxic, both - toxic, float(cosines[0])
+
 
-    def score(self, found: np.ndarray, cosines: np.ndarray) -> float:
-        toxic, clean, nearest = self.votes(found, cosines)
-        share = toxic / (toxic + clean) if toxic + clean else 0.0
-        value = self.calibration @ np.array([share, toxic, clean, nearest, 1.0])
-        return 1 / (1 + math.exp(-min(30.0, max(-30.0, value))))
+@dataclass
+class Model:
+    """Examples over all terms and over the telling terms, with a calibration on the votes of both."""
+
+    whole: Index
+    telling: Index
+    #: Row in ``telling`` of each term of ``whole``, or -1.
+    telling_rows: np.ndarray
+    calibration: np.ndarray
+
+    def judge(self, counts: Sequence[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """Score of each text, with the places and cosines of its nearest examples over all terms."""
+        few = []
+        for rows, times in counts:
+            own = self.telling_rows[rows]
+            few.append(self.telling.weighted(own[own >= 0], times[own >= 0]))
+        near = self.whole.nearest_of([self.whole.weighted(*own) for own in counts])
+        for (found, cosines), told in zip(near, self.telling.nearest_of(few), strict=True):
+            value = self.calibration @ np.array([*self.whole.votes(found, cosines), *self.telling.votes(*told), 1.0])
+            yield 1 / (1 + math.exp(-min(30.0, max(-30.0, value)))), found, cosines
 
 
 def build_index(
     examples: list[Counter], labels: np.ndarray, ids: list, terms: list[str], idf: np.ndarray, prior: float
 ) -> Index:
     place_of = {term: row for row, term in enumerate(terms)}
-    shell = Index(place_of, idf, labels, ids, *[None] * 5)
-    vectors = [shell.vector({place_of[t]: n for t, n in counts.items() if t in place_of}) for counts in examples]
-    # examples with the same heaviest term share blocks, which keeps the bounds tight
-    heaviest = [int(rows[np.argmax(values)]) if len(rows) else len(terms) for rows, values in vectors]
-    order = sorted(range(len(examples)), key=lambda at: (heaviest[at], at))
-    vectors = [vectors[at] for at in order]
-    rows = np.concatenate([vector[0] for vector in vectors])
-    values = np.concatenate([vector[1] for vector in vectors])
-    places = np.repeat(np.arange(len(vectors)), [len(vector[0]) for vector in vectors])
-    by_term = np.lexsort((places, rows))
-    rows, values, places = rows[by_term], values[by_term], places[by_term]
-    block_max = np.zeros((len(terms), -(-len(vectors) // BLOCK)))
-    np.maximum.at(block_max, (rows, places // BLOCK), values)
-    begins = np.searchsorted(rows, np.arange(len(terms) + 1))
-    index = Index(
-        place_of, idf, labels[order], [ids[at] for at in order], begins, places, places // BLOCK, values, block_max
-    )
-    # calibrated on the examples themselves, each without its own vote, weighed to the classes' true shares
-    seen = []
-    for at, vector in enumerate(vectors):
-        toxic, clean, nearest = index.votes(*index.nearest(*vector, skip=at))
-        seen.append((toxic / (toxic + clean) if toxic + clean else 0.0, toxic, clean, nearest))
-    mass = np.where(
-        index.labels == 1, prior / max(1, (labels == 1).sum()), (1 - prior) / max(1, (labels == 0).sum())
-    )
-    index.calibration = logistic(np.array(seen), index.labels, mass, ridge=1e-4)
+    counts = [{place_of[term]: times for term, times in own.items() if term in place_of} for own in examples]
+    return _index_of(counts, labels, ids, terms, idf, prior)
+
+
+def _index_of(
+    examples: Sequence[dict[int, int]], labels: np.ndarray, ids: list, terms: list[str], idf: np.ndarray, prior: float
+) -> Index:
+    """An index of examples whose counts are by the place in ``terms``."""
+    index = Index({term: row for row, term in enumerate(terms)}, idf, labels, ids, *[None] * 3)
+    vectors = [index.vector(dict(sorted(counts.items()))) for counts in examples]
+    index.starts = np.concatenate(([0], np.cumsum([len(rows) for rows, _ in vectors])))
+    index.rows = np.concatenate([rows for rows, _ in vectors]).astype(np.int32)
+    index.values = np.concatenate([values for _, values in vectors])
+    # each example without its own vote; the classes weigh their true shares
+    index.seen = np.zeros((len(vectors), 4))
+    for begin in range(0, len(vectors), GROUP):
+        group = vectors[begin : begin + GROUP]
+        near = index.nearest_of(group, range(begin, begin + len(group)))
+        index.seen[begin : begin + len(group)] = [index.votes(*one) for one in near]
+    index.mass = np.where(labels == 1, prior / max(1, (labels == 1).sum()), (1 - prior) / max(1, (labels == 0).sum()))
     return index
 
 
+def _model_of(
+    examples: Sequence[dict[int, int]], labels: np.ndarray, ids: list, terms: list[str], idf: np.ndarray, prior: float
+) -> Model:
+    whole = _index_of(examples, labels, ids, terms, idf, prior)
+    chosen = telling_terms(examples, labels, len(terms))
+    row_of = {at: row for row, at in enumerate(chosen.tolist())}
+    few = [{row_of[at]: times for at, times in counts.items() if at in row_of} for counts in examples]
+    telling = _index_of(few, labels, ids, [terms[at] for at in chosen], idf[chosen], prior)
+    telling_rows = np.full(len(terms), -1)
+    telling_rows[chosen] = np.arange(len(chosen))
+    calibration = logistic(np.hstack((whole.seen, telling.seen)), labels, whole.mass, ridge=1e-4)
+    return Model(whole, telling, telling_rows, calibration)
+
+
 class _Vocabulary:
-    """Terms of words; a task remembers, up to a bound, the words that have none."""
+    """Terms of words; a task remembers them, up to a bound."""
 
     def __init__(self, terms: dict[str, int]):
         self.terms = terms
-        self.without: set[str] = set()
-
-    def counts(self, text: str) -> dict[int, int]:
-        found: dict[int, int] = {}
-        if len(self.without) > 500_000:
-            self.without.clear()
-        words = _WORD.findall(text.lower())
-        fresh = set(words).difference(self.without)
-        tally = Counter(words) if len(fresh) > 20 else None
-        for word in fresh:
-            rows = [self.terms[term] for term in terms_of(word) if term in self.terms]
-            if not rows:
-                self.without.add(word)
-                continue
-            times = tally[word] if tally else words.count(word)
-            for row in rows:
-                found[row] = found.get(row, 0) + times
-        return dict(sorted(found.items()))
+        self.known: dict[str, tuple[int, int, int]] = {}
+
+    def _rows(self, words: list[str]) -> list[tuple[int, int, int]]:
+        """Three rows for each word; where it has fewer known terms, the row behind the last one."""
+        found = list(map(self.known.get, words))
+        if None in found:
+            if len(self.known) >= 300_000:
+                self.known.clear()
+            none = len(self.terms)
+            for at, word in enumerate(words):
+                if found[at] is None:
+                    rows = [self.terms.get(term, none) for term in terms_of(word)]
+                    found[at] = self.known[word] = (*rows, *[none] * (3 - len(rows)))
+        return found
+
+    def present(self, text: str) -> list[int]:
+        found = set(chain.from_iterable(self._rows(list(set(_WORD.findall(text.lower()))))))
+        found.discard(len(self.terms))
+        return list(found)
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the terms of a text, in order, and how often each occurs."""
+        tally = Counter(_WORD.findall(text.lower()))
+        rows = np.fromiter(chain.from_iterable(self._rows(list(tally))), np.int64, 3 * len(tally))
+        times = np.repeat(np.fromiter(tally.values(), np.int64, len(tally)), 3)
+        order = np.argsort(rows)
+        rows, times = rows[order], times[order]
+        first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1]))) if len(rows) else np.empty(0, np.int64)
+        rows, times = rows[first], np.add.reduceat(times, first) if len(first) else times
+        known = rows < len(self.terms)
+        return rows[known], times[known]
 
 
 def document_frequencies(documents: DataFrame, terms: list[str]) -> tuple[np.ndarray, int]:
     """Documents that have each term, over all documents, and all documents."""
-    place_of = {term: row for row, term in enumerate(terms)}
+    place_of = documents.sparkSession.sparkContext.broadcast({term: row for row, term in enumerate(terms)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, sums, seen = _Vocabulary(place_of), np.zeros(len(place_of) + 1, np.int64), 0
+        words, sums, seen = _Vocabulary(place_of.value), np.zeros(len(place_of.value) + 1, np.int64), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                rows = list(words.counts(text or ""))
-                sums[rows] += 1
+                sums[words.present(text or "")] += 1
                 seen += 1
         sums[-1] = seen
         some = np.flatnonzero(sums)
@@ -218,8 +289,8 @@ def document_frequencies(documents: DataFrame, terms: list[str]) -> tuple[np.nda
     return sums[:-1], int(sums[-1])
 
 
-def train(documents: DataFrame, labels: DataFrame) -> Index | float:
-    """An index, or the share of label 1 (0.5 without any label) where a class has no example."""
+def train(documents: DataFrame, labels: DataFrame) -> Model | float:
+    """A model, or the share of label 1 (0.5 without any label) where a class has no example."""
     texts, totals = training_rows(
         documents, labels, "toxic", 4, 2, {1: MAX_TOXIC, 0: MAX_CLEAN}, MAX_TRAINING_CHARS
     )
@@ -227,42 +298,56 @@ def train(documents: DataFrame, labels: DataFrame) -> Index | float:
     prior = totals.get(1, 0) / max(1, sum(totals.values())) if totals else 0.5
     if len(set(rows["label"])) < 2:
         return prior
-    examples = [term_counts(text) for text in rows["text"]]
-    target = np.array(rows["label"], np.int64)
-    terms = choose_terms(examples, target)
-    if not terms:
+    place_of: dict[str, int] = {}
+    examples = [
+        {place_of.setdefault(term, len(place_of)): times for term, times in term_counts(text).items()}
+        for text in rows.pop("text")
+    ]
+    if not place_of:
         return prior
+    terms = sorted(place_of)
+    row_of = np.empty(len(terms), np.int64)
+    row_of[[place_of[term] for term in terms]] = np.arange(len(terms))
+    row_of = row_of.tolist()
+    for place, counts in enumerate(examples):
+        examples[place] = {row_of[at]: times for at, times in counts.items()}
     seen, total = document_frequencies(documents, terms)
-    return build_index(examples, target, rows["doc_id"], terms, np.log((total + 1) / (seen + 1)) + 1e-3, prior)
+    idf = np.log((total + 1) / (seen + 1)) + 1e-3
+    return _model_of(examples, np.array(rows["label"], np.int64), rows["doc_id"], terms, idf, prior)
 
 
 def toxicity_scores(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (ids of the three nearest examples), nearest.
 
-    Vectors are (1 + log tf) * idf over the chosen terms, with idf from all documents. ``score`` is the
-    calibrated chance of label 1, ``predicted`` is 1 from 0.3 on. A text without a chosen term, as an
-    empty or null one, has no neighbour and takes the score of no votes. Rows with null or equal ids are
+    Vectors are (1 + log tf) * idf over all terms of the examples, with idf from all documents. ``score`` is
+    the chance of label 1, calibrated on the votes of the nearest examples over all terms and over the terms
+    that tell about the label; ``predicted`` is 1 from 0.3 on. A text without a term of any example,
+    as an empty or null one, has no neighbour and takes the score of no votes. Rows with null or equal ids are
     scored each on its own; null ids are not held out. With labels of one class every score is that
     class's share, 0.5 with none. Only ``doc_id`` and ``text`` are read. No row is shuffled.
     """
     small_batches(spark)
-    index = train(documents, labels)
+    model = train(documents, labels)
     kind = dict(documents.dtypes)["doc_id"]
+    shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = None if isinstance(index, float) else _Vocabulary(index.terms)
+        model = shared.value
+        words = None if isinstance(model, float) else _Vocabulary(model.whole.terms)
         for batch in batches:
             score, evidence, nearest = [], [], []
-            for text in batch.column("text").to_pylist():
+            texts = batch.column("text").to_pylist()
+            for begin in range(0, len(texts), GROUP):
+                group = texts[begin : begin + GROUP]
                 if words is None:
-                    score.append(index)
-                    evidence.append([])
-                    nearest.append(0.0)
+                    score.extend([model] * len(group))
+                    evidence.extend([[]] * len(group))
+                    nearest.extend([0.0] * len(group))
                     continue
-                found, cosines = index.nearest(*index.vector(words.counts(text or "")))
-                score.append(index.score(found, cosines))
-                evidence.append([index.ids[at] for at in found[:3]])
-                nearest.append(float(cosines[0]) if len(cosines) else 0.0)
+                for value, found, cosines in model.judge([words.counts(text or "") for text in group]):
+                    score.append(value)
+                    evidence.append([model.whole.ids[at] for at in found[:3]])
+                    nearest.append(float(cosines[0]) if len(cosines) else 0.0)
             id_type = batch.schema.field("doc_id").type
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
