@@ -26,10 +26,24 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group; rows without an id stay."""
-    found = ngram_join.near_duplicates(spark, docs)
-    others = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Exactly one row of each group; rows whose text has no words stay.
+
+    The row with the least id stays, null ids being last; of several with that id the one with the least
+    md5 of its columns. A row goes for its own text: another text of the same id is of another group.
+    """
+    scratch = Scratch(spark, "one-row")
+    rows = docs.withColumn("row_key", F.md5(F.to_json(F.struct(*docs.columns))))
+    found = ngram_join.near_duplicates(spark, rows, keep=("row_key",)).filter("set_key IS NOT NULL")
+    copies = scratch.write(
+        found.groupBy("component_key", "row_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    first = copies.groupBy("component_key").agg(F.min(order)["row_key"].alias("first"))
+    stays = F.col("row_key") == F.col("first")
+    touched = copies.join(first, "component_key").filter(~stays | (F.col("n") > 1)).select("row_key", stays.alias("stays"))
+    marked = rows.join(scratch.write(touched), "row_key", "left")
+    one = marked.filter("stays").dropDuplicates(["row_key"])
+    return marked.filter("stays IS NULL").unionByName(one).select(*docs.columns)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,6 +54,33 @@ def test_near_duplicates_of_nothing(spark, no_documents):
     assert ngram_join.near_duplicates(spark, no_documents).collect() == []
 
 
+def test_one_row_of_each_group_stays(spark, documents, corpus):
+    docs = documents.select(*corpus_pipeline.COLUMNS)
+    docs = docs.unionByName(docs.filter("doc_id = 7 OR doc_id IS NULL"))
+    rows = [tuple(row) for row in docs.collect()]
+    sets = [shingles(row[1]) for row in rows]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                group = [group[b] if own == group[a] else own for own in group]
+    least = {}
+    for at, row in enumerate(rows):
+        least.setdefault(group[at], []).append((row[0] is None, row[0] or 0, row[1]))
+    after = Scratch(spark, "one-row-test").write(corpus_pipeline.near_duplicate_stage(spark, docs, SMALL))
+    kept = [tuple(row) for row in after.collect()]
+    assert Counter(kept) <= Counter(rows)
+    # the least id of every group, once; at equal ids any of the group's texts
+    found = Counter(group[rows.index(row)] if shingles(row[1]) else row for row in kept)
+    assert found == Counter(group[at] if sets[at] else row for at, row in enumerate(rows)) - Counter(
+        {root: len(own) - 1 for root, own in least.items() if sets[root]}
+    )
+    assert all((row[0] is None, row[0] or 0) == min(least[group[rows.index(row)]])[:2] for row in kept if shingles(row[1]))
+    # the next stage then loses no text that has a copy in the same group only
+    texts = {r.text for r in corpus_pipeline.passage_stage(spark, after, SMALL).collect()}
+    assert rows[[row[0] for row in rows].index(7)][1] in texts and corpus[1][1] in texts
+
+
 def test_similarity_bound_is_met_exactly(spark):
     words = [f"w{at}" for at in range(1, 113)]
     rows = [(1, " ".join(words[:100])), (2, " ".join(words[:100] + ["z"])), (3, " ".join(words[:84])), (4, " ".join(words[:80]))]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -62,9 +62,10 @@ def set_key(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def _document_sets(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, key): the key stands for the set; null where it is empty."""
-    kind = dict(documents.dtypes)["doc_id"]
+def _document_sets(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, n_shingles, key) and the columns ``keep``: the key stands for the set; null where it is empty."""
+    kinds = dict(documents.dtypes)
+    kept = "".join(f", `{name}` {kinds[name]}" for name in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,9 +73,12 @@ def _document_sets(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "key": pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
+                **{name: batch.column(name) for name in keep},
             })
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, key binary")
+    return documents.select("doc_id", "text", *keep).mapInArrow(
+        run, f"doc_id {kinds['doc_id']}, n_shingles bigint, key binary{kept}"
+    )
 
 
 def _distinct_sets(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[tuple[bytes, np.ndarray]]:
@@ -450,15 +454,20 @@ def _links(scratch: Scratch, sets: DataFrame, tree_tokens: int) -> DataFrame:
 
 
 def near_duplicates(
-    spark: SparkSession, documents: DataFrame, tree_tokens: int = TREE_TOKENS, bitmap_bits: int = BITMAP_BITS
+    spark: SparkSession,
+    documents: DataFrame,
+    tree_tokens: int = TREE_TOKENS,
+    bitmap_bits: int = BITMAP_BITS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id and set_key for each document.
+    """doc_id, n_shingles, component_id, set_key, component_key and the columns ``keep`` for each document.
 
     Words are lower-cased in A-Z. A set has the distinct 5-word shingles, or the whole sequence of fewer
     words; texts without words, null ones too, have none and are linked with nothing. Documents are
     linked when 100 * intersection >= 80 * union; ``component_id`` is the least doc_id reachable by links.
     Rows with equal ids are joined by their texts alone. A null id takes the least id of its component,
-    null if there is none. Shingles are compared by 64-bit hashes (58 bits in the tree).
+    null if there is none. Components with the same least id differ in ``component_key``, the least
+    ``set_key``; it is null with ``set_key``. Shingles are compared by 64-bit hashes (58 bits in the tree).
 
     Equal sets are one from the start. Sets that can have no link are left out by their n-grams of least
     hash. For the others document frequencies give the global order. Sets that share an n-gram of their
@@ -466,7 +475,7 @@ def near_duplicates(
     """
     small_batches(spark)
     scratch = Scratch(spark, "ngram-join")
-    found = scratch.write(_document_sets(documents))
+    found = scratch.write(_document_sets(documents, keep))
     suspects = bitmap_of(_suspects(documents), "half", bitmap_bits)
     sets = scratch.write(_candidate_sets(documents, suspects).withColumn("sid", F.monotonically_increasing_id()))
     ordered = scratch.write(_ordered_sets(sets))
@@ -481,10 +490,12 @@ def near_duplicates(
     named = roots.join(sets.select(F.col("sid").alias("node"), "key"), "node").select("key", "root")
     first = found.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
     members = named.join(first, "key")
-    least = members.groupBy("root").agg(F.min("least").alias("component"))
-    joined = scratch.write(members.join(least, "root").select("key", "component"))
+    least = members.groupBy("root").agg(F.min("least").alias("component"), F.min("key").alias("component_key"))
+    joined = scratch.write(members.join(least, "root").select("key", "component", "component_key"))
     by_key = scratch.write(
-        first.join(joined, "key", "left").select("key", F.coalesce("component", "least").alias("component"))
+        first.join(joined, "key", "left").select(
+            "key", F.coalesce("component", "least").alias("component"), F.coalesce("component_key", "key").alias("component_key")
+        )
     )
     scratch.drop(sets, ordered, clusters, roots, joined)
     return found.join(by_key, "key", "left").select(
@@ -492,4 +503,6 @@ def near_duplicates(
         "n_shingles",
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
         F.col("key").alias("set_key"),
+        "component_key",
+        *keep,
     )
