@@ -55,6 +55,16 @@ def test_likeness_falls_with_the_edits():
     assert fingerprints.likeness(mark(""), mark("")) == 1.0 and fingerprints.likeness(mark(""), mark(text)) == 0.0
 
 
+def test_fingerprints_see_the_tail_of_periodic_texts():
+    rng = random.Random(4)
+    for _ in range(30):
+        line = "".join(rng.choices("abcdefgh ", k=rng.randrange(5, 60))) + "\n"
+        begin = line * (12_000 // len(line))
+        one, other = ("".join(rng.choices("ijklmnop ", k=3000)) for _ in range(2))
+        marks = [fingerprints.fingerprint(begin + tail) for tail in (one, other)]
+        assert marks[0].split(":")[1] != marks[1].split(":")[1] and fingerprints.likeness(*marks) < 1
+
+
 def common_subsequence(a, b):
     row = [0] * (len(b) + 1)
     for x in a:

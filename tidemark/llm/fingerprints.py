@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from tidemark.llm.common import Scratch, mix, partitions_for, powers, small_batc
 
 #: Bytes that the rolling hash sees; a boundary depends on them alone.
 WINDOW = 7
-#: Pieces of a signature: at most so many, and half of them wanted before the block size is halved.
+#: Pieces of a signature: at most so many and half of them at least, where a block size gives that.
 PIECES = 64
 #: Two signatures are alike only if they share a run of so many pieces.
 COMMON_RUN = 4
@@ -23,7 +24,7 @@ _LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0
 
 
 def _signature(data: np.ndarray, rolling: np.ndarray, ends: np.ndarray) -> str:
-    ends = ends[: PIECES - 1] + 1
+    ends = ends + 1
     if not len(ends) or ends[-1] < len(data):
         ends = np.append(ends, len(data))
     starts = np.concatenate(([0], ends[:-1]))
@@ -36,8 +37,9 @@ def _signature(data: np.ndarray, rolling: np.ndarray, ends: np.ndarray) -> str:
 def fingerprint(text: str) -> str:
     """``block:signature:signature at twice the block``; equal texts have equal fingerprints.
 
-    The block size is the smallest power of two that promises at most 64 pieces, halved while there
-    are fewer than 32. The empty text is ``1::``.
+    The block size is the smallest power of two that promises at most 64 pieces, doubled while the text has
+    more, then halved while it has fewer than 32. Where no block size gives 32 to 64 pieces, as in periodic
+    texts, the signature is longer: every piece has its letter. The empty text is ``1::``.
     """
     data = np.frombuffer(text.encode("utf-8"), np.uint8).astype(np.uint64)
     if not len(data):
@@ -54,6 +56,9 @@ def fingerprint(text: str) -> str:
 
     level = max(0, (max(1, len(data) // PIECES) - 1).bit_length())
     found = ends(level)
+    while len(found) >= PIECES and level < 63:
+        level += 1
+        found = ends(level)
     while level and len(found) < PIECES // 2:
         level -= 1
         found = ends(level)
@@ -61,7 +66,12 @@ def fingerprint(text: str) -> str:
 
 
 def _common(a: str, b: str) -> int:
-    """Length of the longest common subsequence, bit-parallel."""
+    """Length of the longest common subsequence, bit-parallel between what both begin and end with."""
+    same = len(commonprefix((a, b)))
+    a, b = a[same:], b[same:]
+    tail = len(commonprefix((a[::-1], b[::-1])))
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    same += tail
     places: dict[str, int] = {}
     for at, letter in enumerate(a):
         places[letter] = places.get(letter, 0) | 1 << at
@@ -69,7 +79,7 @@ def _common(a: str, b: str) -> int:
     for letter in b:
         hit = rest & places.get(letter, 0)
         rest = ((rest + hit) | (rest - hit)) & full
-    return len(a) - rest.bit_count()
+    return same + len(a) - rest.bit_count()
 
 
 def _alike(a: str, b: str) -> float:
