@@ -19,10 +19,9 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below the threshold; all rows of a rejected id go."""
-    scores = toxicity.toxicity_scores(spark, docs, table(spark, sf_dir, "labels"))
-    rejected = Scratch(spark, "toxic").write(scores.filter("predicted = 1").select("doc_id").distinct())
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    """Rows whose toxicity score is below the threshold; each goes or stays by its own score, whatever its id."""
+    scores = toxicity.toxicity_scores(spark, docs, table(spark, sf_dir, "labels"), keep_row=True)
+    return scores.filter("predicted = 0").select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -264,6 +264,19 @@ def test_toxicity_neighbours_are_those_over_all_terms(spark, documents, corpus):
     assert by_id((r.doc_id, r.nearest) for r in rows) == by_id(zip((row[0] for row in corpus), exact, strict=True))
 
 
+def test_toxic_rows_go_by_their_own_score(spark, tmp_path):
+    rng = random.Random(3)
+    words = lambda: " ".join(rng.choices([f"w{at}" for at in range(200)], k=60))
+    bad = "vile nasty scum filth "
+    rows = [(at, (bad if at % 4 == 0 else "") + words(), "en", "s", 1) for at in range(200)]
+    labels = spark.createDataFrame([(at, int(at % 4 == 0)) for at in range(200)], "doc_id bigint, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    more = [(None, bad + words(), "en", "s", 1), (None, words(), "en", "s", 1), (301, bad + words(), "en", "s", 1), (301, words(), "en", "s", 1)]
+    docs = spark.createDataFrame(rows + more, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = corpus_pipeline.toxicity_stage(spark, docs, str(tmp_path)).collect()
+    assert Counter(tuple(row) for row in left) == Counter(row for row in rows + more if not row[1].startswith(bad))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     assert compare(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) is None

@@ -316,7 +316,9 @@ def train(documents: DataFrame, labels: DataFrame) -> Model | float:
     return _model_of(examples, np.array(rows["label"], np.int64), rows["doc_id"], terms, idf, prior)
 
 
-def toxicity_scores(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity_scores(
+    spark: SparkSession, documents: DataFrame, labels: DataFrame, keep_row: bool = False
+) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (ids of the three nearest examples), nearest.
 
     Vectors are (1 + log tf) * idf over all terms of the examples, with idf from all documents. ``score`` is
@@ -324,7 +326,8 @@ def toxicity_scores(spark: SparkSession, documents: DataFrame, labels: DataFrame
     that tell about the label; ``predicted`` is 1 from 0.3 on. A text without a term of any example,
     as an empty or null one, has no neighbour and takes the score of no votes. Rows with null or equal ids are
     scored each on its own; null ids are not held out. With labels of one class every score is that
-    class's share, 0.5 with none. Only ``doc_id`` and ``text`` are read. No row is shuffled.
+    class's share, 0.5 with none. Only ``doc_id`` and ``text`` are read, or with ``keep_row`` all columns, which
+    ``row`` then has beside the score. No row is shuffled.
     """
     small_batches(spark)
     model = train(documents, labels)
@@ -353,8 +356,11 @@ def toxicity_scores(spark: SparkSession, documents: DataFrame, labels: DataFrame
                 "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"),
                 "score": pa.array(score, pa.float64()), "predicted": pa.array([int(x >= 0.3) for x in score], pa.int32()),
                 "evidence": pa.array(evidence, pa.list_(id_type)), "nearest": pa.array(nearest, pa.float64()),
+                **({"row": batch.column("row")} if keep_row else {}),
             })
 
-    return documents.select("doc_id", crc_fold("doc_id", 4, 2).alias("held_out"), "text").mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, score double, predicted int, evidence array<{kind}>, nearest double"
-    )
+    schema = f"doc_id {kind}, held_out boolean, score double, predicted int, evidence array<{kind}>, nearest double"
+    row = [F.struct(*documents.columns).alias("row")] if keep_row else []
+    if keep_row:
+        schema += f", row {documents.select(*row).schema['row'].dataType.simpleString()}"
+    return documents.select("doc_id", crc_fold("doc_id", 4, 2).alias("held_out"), "text", *row).mapInArrow(run, schema)
