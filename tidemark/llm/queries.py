@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, crf, huffman, ngram_join, packing, supermers, toxicity
+from tidemark.llm import bpe, chat, crf, huffman, ngram_join, packing, repair, supermers, toxicity
 from tidemark.llm import fingerprints as marks
 from tidemark.llm import quality_rules as rules
 from tidemark.llm.registry import ORACLES, QUERIES, query, table
@@ -88,6 +88,12 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
 
 
+@query("op11_repair", repair.oracle_sql())
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    damaged = repair.damage(table(spark, folder, "conversations"))
+    return repair.repair_conversations(spark, damaged, F.col("copies"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
