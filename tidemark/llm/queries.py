@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, crf, huffman, ngram_join, packing, repair, supermers, toxicity
+from tidemark.llm import bpe, chat, crf, huffman, negatives, ngram_join, packing, repair, supermers, toxicity
 from tidemark.llm import fingerprints as marks
 from tidemark.llm import quality_rules as rules
 from tidemark.llm.registry import ORACLES, QUERIES, query, table
@@ -94,6 +94,12 @@ def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repair_conversations(spark, damaged, F.col("copies"))
 
 
+@query("op12_hard_negatives", negatives.oracle_sql())
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine_hard_negatives(spark, table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
