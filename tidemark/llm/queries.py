@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, crf, huffman, negatives, ngram_join, packing, repair, supermers, toxicity
+from tidemark.llm import bpe, chat, crf, huffman, negatives, ngram_join, packing, personal, repair, supermers, toxicity
 from tidemark.llm import fingerprints as marks
 from tidemark.llm import quality_rules as rules
 from tidemark.llm.registry import ORACLES, QUERIES, query, table
@@ -100,6 +100,19 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine_hard_negatives(spark, table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label)
 
 
+@query("op13_personal_data")
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal.find_personal_data(spark, table(spark, folder, "documents"))
+    base = F.filter("spans", lambda span: span["base"])
+    kinds = F.transform(base, lambda span: span["kind"])
+    counts = [
+        (F.size(base) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in personal.KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(personal.listed(base), 256).alias("base_sha256"), personal.listed(F.col("spans")).alias("spans")
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
