@@ -13,12 +13,14 @@ from hypothesis import strategies as st
 from llm_fixtures import corpus, documents, no_documents  # noqa: F401  (fixtures)
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, chat, fingerprints, huffman, packing
+from tidemark.llm import bpe, chat, fingerprints, huffman, packing, queries
 from tidemark.session import shared_folder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 DEFINITION = bpe.read_tokenizer(PATH)
-LIBRARY, ENCODER = Tokenizer.from_file(PATH), bpe.CachedEncoder(DEFINITION)
+LIBRARY = Tokenizer.from_file(PATH)
+ENCODER = bpe.CachedEncoder(DEFINITION)
+
 
 
 def ordered(corpus):
@@ -157,7 +159,7 @@ def test_bpe_of_nothing(spark, no_documents):
 @given(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from("a'sS \t\n\x85\xa0İſé1²<|>endoftext")), max_size=40))
 @settings(max_examples=400, deadline=None)
 def test_words_are_those_of_the_library(text):
-    assert ENCODER([text])[0].tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert next(ENCODER([text])).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 @given(st.text(st.sampled_from("<|\\>im_startend\n a"), max_size=40))
@@ -175,7 +177,8 @@ def folded(events):
     turns = {}
     least = lambda x: (x is not None, x if x is not None else 0)
     order = lambda e: (least(e[2]), e[3] or "", least(e[1]), e[4] or "", e[5] or "")
-    for turn, seq, op, role, text in (e[1:] for e in sorted(set(events), key=order)):
+    once = [e for at, e in enumerate(events) if e[2] is None or e not in events[:at]]
+    for turn, seq, op, role, text in (e[1:] for e in sorted(once, key=order)):
         kept = turns.setdefault(turn, [])
         if op == "delta":
             if not kept:
@@ -202,7 +205,8 @@ def test_chat_folds_events(spark):
         (1, 1, 2, "delta", None, "llo"), (1, 2, 3, "message", "user", "more"), (1, 3, 4, "message", "assistant", "old"),
         (1, 1, 5, "regenerate", "assistant", ""), (1, 1, 6, "delta", None, "new"), (1, 2, 7, "message", "user", None),
         (1, 0, 8, "edit", None, "edited"), (2, 0, 0, "message", "assistant", "a\nb"), (2, 0, 0, "message", "assistant", "c"),
-        (None, None, None, None, None, None), (3, 5, 1, "delta", None, "alone"),
+        (None, None, None, None, None, None), (3, 5, 1, "delta", None, "alone"), (4, 1, None, "message", "user", "x"),
+        (4, 1, None, "message", "user", "x"), (4, None, None, "message", "user", "x"), (4, None, None, None, "user", "x"),
     ]
     segments = chat.format_chats(spark, spark.createDataFrame(rows, EVENTS)).collect()
     found = defaultdict(list)
@@ -228,6 +232,34 @@ def test_chat_digests_come_from_the_output(spark):
     assert chat.digests(spark, chat.write_chats(spark, chat.events_of_rows(rows.limit(0)))).collect() == []
 
 
+def test_encoder_forgets_words_and_splits_batches(corpus):  # noqa: F811
+    texts = [row[1] or "" for row in corpus]
+    small = bpe.CachedEncoder(DEFINITION, most_words=3, most_chars=40, group_chars=50)
+    found = [ids.tolist() for _ in range(2) for ids in small(texts)]
+    assert found == 2 * [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
+
+
+def test_chat_query_keeps_every_row(spark, tmp_path):
+    """Equal rows, equal rows without a turn, nulls everywhere: each row is a message, by turn, role and text."""
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "ok"), (1, 1, "assistant", "ok"), (2, None, "assistant", "a")]
+    rows += [(2, None, "assistant", "a"), (2, None, "user", None), (None, 3, None, "no id"), (None, 3, None, "no id")]
+    rows += [(3, 2, "assistant", None), (3, 1, "assistant", "<|im_end|>")]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    frame.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    rows += [(-1, turn, role, "<|im_end|><|im_start|>assistant ok") for turn, role in enumerate(("user", "assistant"))]
+    expected = {}
+    for conv in {row[0] for row in rows}:
+        own = sorted((row[1:] for row in rows if row[0] == conv), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "", r[2] or ""))
+        whole = "".join(f"{role or ''}\n{text or ''}\n" for _, role, text in own)
+        loss = "".join(text or "" for _, role, text in own if role == "assistant")
+        length = sum(len(chat.render(role or "", text or "")[0]) for _, role, text in own)
+        digest = [hashlib.sha256(part.encode()).hexdigest() for part in (whole, loss)]
+        expected[conv] = (len(own), digest[0], len(loss), digest[1], length)
+    found = queries.QUERIES["op10_chat"](spark, str(tmp_path))
+    assert {row[0]: tuple(row)[1:] for row in found.collect()} == expected
+    assert expected[1][0] == 3 and expected[1][2] == 4
+
+
 @given(st.dictionaries(st.integers(0, 60), st.integers(1, 9), min_size=1, max_size=9), st.integers(1, 5))
 @settings(max_examples=150, deadline=None)
 def test_bounds_are_optimal(histogram, buckets):

@@ -13,7 +13,7 @@ import re
 import unicodedata
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -88,9 +88,8 @@ class WordEncoder:
 
     def __call__(self, words: list[str], group: int = 1000) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-        texts = ["\n".join(words[begin : begin + group]) for begin in range(0, len(words), group)]
-        encodings = self.library.encode_batch(texts, add_special_tokens=False)
-        for begin, encoding in zip(range(0, len(words), group), encodings, strict=True):
+        for begin in range(0, len(words), group):  # one at a time: the library's results are far larger than the ids
+            encoding = self.library.encode("\n".join(words[begin : begin + group]), add_special_tokens=False)
             part = words[begin : begin + group]
             own = np.array(encoding.ids, np.uint32)
             size = np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(part))
@@ -306,6 +305,7 @@ class KnownWords:
         self.table: dict[str, int] = defaultdict(itertools.count().__next__)
         self.ids, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
         self.begins = np.empty(0, np.int64)
+        self.chars = 0
 
     def numbers_of(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
@@ -313,7 +313,9 @@ class KnownWords:
     def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, one word after the other, and how many each has."""
         if len(self.sizes) < len(self.table):
-            ids, sizes = self.encode(list(itertools.islice(self.table, len(self.sizes), None)))
+            fresh = list(itertools.islice(self.table, len(self.sizes), None))
+            self.chars += sum(map(len, fresh))
+            ids, sizes = self.encode(fresh)
             self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
             self.begins = np.cumsum(self.sizes) - self.sizes
         sizes = self.sizes[numbers]
@@ -321,19 +323,31 @@ class KnownWords:
 
 
 class CachedEncoder:
-    """Ids of whole texts; a task remembers the words it has met, up to a bound."""
+    """Ids of whole texts; a task remembers the words it has met, up to bounds on their number and length.
 
-    def __init__(self, definition: str, most_words: int = 1_000_000):
+    Texts are split in groups of bounded length, so a batch of long ones holds the words of a few at a time.
+    """
+
+    def __init__(self, definition: str, most_words: int = 150_000, most_chars: int = 8_000_000, group_chars: int = 2_000_000):
         self.split, self.encode = splitter(definition), word_encoder(definition)
-        self.most_words = most_words
+        self.most_words, self.most_chars, self.group_chars = most_words, most_chars, group_chars
         self.known = KnownWords(self.encode)
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known.table) > self.most_words:
+    def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        held, chars = [], 0
+        for text in texts:
+            held.append(text)
+            chars += len(text)
+            if chars >= self.group_chars:
+                yield from self._encoded(held)
+                held, chars = [], 0
+        if held:
+            yield from self._encoded(held)
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.known.table) > self.most_words or self.known.chars > self.most_chars:
             self.known = KnownWords(self.encode)
         numbers = [self.known.numbers_of(self.split(text)) for text in texts]
-        if not numbers:
-            return []
         ids, sizes = self.known.ids_of(np.concatenate(numbers))
         words = np.cumsum([0, *map(len, numbers)])
         edges = np.concatenate(([0], np.cumsum(sizes)))[words]

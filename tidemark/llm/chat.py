@@ -50,15 +50,17 @@ def parse(segment: str) -> tuple[str, str]:
 
 
 def events_of_rows(conversations: DataFrame) -> DataFrame:
-    """Each row of a table of finished turns as one ``message`` event."""
-    return conversations.select("conv_id", "turn", F.col("turn").alias("seq"), F.lit("message").alias("op"), "role", "text")
+    """Each row of a table of finished turns as one ``message`` event without a sequence: all rows stay."""
+    return conversations.select(
+        "conv_id", "turn", F.lit(None).cast("long").alias("seq"), F.lit("message").alias("op"), "role", "text"
+    )
 
 
 def _fold(rows: Iterator[tuple]) -> Iterator[tuple]:
     """Messages (conv_id, turn, role, text) from live events sorted by conversation, turn and sequence."""
     key, last, role, parts, reset = None, None, None, [], None
     for row in rows:
-        if row == last:  # delivered twice
+        if row == last and row[2] is not None:  # delivered twice
             continue
         conv_id, turn, seq, op, own, text = last = row
         starts = op not in ("delta", "edit", "regenerate")
@@ -108,8 +110,8 @@ def format_chats(spark: SparkSession, events: DataFrame) -> DataFrame:
     counts the code points before the segment, the loss bounds count inside it.
 
     Null texts and roles are empty, null ids are a conversation of their own, null turns and sequences
-    come first. Events delivered twice count once. Different messages of one turn and sequence all
-    stay, in the order of role and text. A turn of deltas alone is their concatenation.
+    come first. Equal events with a known sequence were delivered twice and count once; without a sequence each
+    is an event of its own. Different messages of one turn and sequence all stay, in the order of role and text. A turn of deltas alone is their concatenation.
 
     A conversation is sorted by its task on disk and streams through it; one message is in memory.
     """

@@ -110,7 +110,7 @@ def tokenize(spark: SparkSession, documents: DataFrame, definition: str, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = CachedEncoder(definition)
         for batch in batches:
-            found = encode([text or "" for text in batch.column("text").to_pylist()])
+            found = encode(text.as_py() or "" for text in batch.column("text"))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),
                 "ids": pa.array([pack_numbers(np.concatenate((ids, tail))) for ids in found], pa.binary()),
