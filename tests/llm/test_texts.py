@@ -22,7 +22,6 @@ LIBRARY = Tokenizer.from_file(PATH)
 ENCODER = bpe.CachedEncoder(DEFINITION)
 
 
-
 def ordered(corpus):
     return sorted(corpus, key=lambda row: (row[0] is not None, row[0] or 0, row[1] or ""))
 

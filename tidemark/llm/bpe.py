@@ -93,7 +93,7 @@ class WordEncoder:
             part = words[begin : begin + group]
             own = np.array(encoding.ids, np.uint32)
             size = np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(part))
-            for at, word in enumerate(part):
+            for at, word in enumerate(part) if not self.special.keys().isdisjoint(part) else ():
                 if word in self.special:
                     edge = int(size[:at].sum())
                     own = np.concatenate((own[:edge], np.array([self.special[word]], np.uint32), own[edge + size[at] :]))
@@ -307,6 +307,16 @@ class KnownWords:
         self.begins = np.empty(0, np.int64)
         self.chars = 0
 
+    def only(self, words: list[str], stays: np.ndarray) -> KnownWords:
+        """These of the words, numbered anew."""
+        out = KnownWords(self.encode)
+        out.numbers_of([words[at] for at in stays.tolist()])
+        out.sizes = self.sizes[stays]
+        out.ids = gather(self.ids, self.begins[stays], out.sizes)
+        out.begins = np.cumsum(out.sizes) - out.sizes
+        out.chars = sum(map(len, out.table))
+        return out
+
     def numbers_of(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
 
@@ -323,15 +333,17 @@ class KnownWords:
 
 
 class CachedEncoder:
-    """Ids of whole texts; a task remembers the words it has met, up to bounds on their number and length.
+    """Ids of whole texts; a process remembers the words it has met, up to bounds on their number and length.
 
-    Texts are split in groups of bounded length, so a batch of long ones holds the words of a few at a time.
+    At a bound the most used words stay. Texts are split in groups of bounded length, so a batch of long ones
+    holds the words of a few at a time.
     """
 
-    def __init__(self, definition: str, most_words: int = 150_000, most_chars: int = 8_000_000, group_chars: int = 2_000_000):
+    def __init__(self, definition: str, most_words: int = 400_000, most_chars: int = 8_000_000, group_chars: int = 2_000_000):
         self.split, self.encode = splitter(definition), word_encoder(definition)
         self.most_words, self.most_chars, self.group_chars = most_words, most_chars, group_chars
         self.known = KnownWords(self.encode)
+        self.used = np.zeros(0, np.int64)
 
     def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         held, chars = [], 0
@@ -344,11 +356,29 @@ class CachedEncoder:
         if held:
             yield from self._encoded(held)
 
+    def _forget(self) -> None:
+        """Keep a third of the words and letters at most, those used most."""
+        words = list(self.known.table)
+        order = np.argsort(-self.used, kind="stable")
+        length = np.fromiter(map(len, words), np.int64, len(words))[order]
+        stays = np.sort(order[(np.arange(len(order)) < self.most_words // 3) & (np.cumsum(length) <= self.most_chars // 3)])
+        self.known, self.used = self.known.only(words, stays), self.used[stays] // 2
+
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known.table) > self.most_words or self.known.chars > self.most_chars:
-            self.known = KnownWords(self.encode)
+            self._forget()
         numbers = [self.known.numbers_of(self.split(text)) for text in texts]
-        ids, sizes = self.known.ids_of(np.concatenate(numbers))
+        flat = np.concatenate(numbers)
+        ids, sizes = self.known.ids_of(flat)
+        used = np.bincount(flat, minlength=len(self.known.table))
+        used[: len(self.used)] += self.used
+        self.used = used
         words = np.cumsum([0, *map(len, numbers)])
         edges = np.concatenate(([0], np.cumsum(sizes)))[words]
         return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+@functools.lru_cache(maxsize=1)
+def cached_encoder(definition: str) -> CachedEncoder:
+    """The encoder of this process: tasks that a worker runs one after the other share what it remembers."""
+    return CachedEncoder(definition)

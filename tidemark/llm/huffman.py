@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import CachedEncoder, pack_numbers, unpack_numbers
+from tidemark.llm.bpe import cached_encoder, pack_numbers, unpack_numbers
 from tidemark.llm.common import Scratch, partitions_for, small_batches
 
 #: Longest code. Two bits more than 2^16 ids need cost next to nothing against unlimited codes.
@@ -108,7 +108,7 @@ def tokenize(spark: SparkSession, documents: DataFrame, definition: str, end_id:
     tail = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = CachedEncoder(definition)
+        encode = cached_encoder(definition)
         for batch in batches:
             found = encode(text.as_py() or "" for text in batch.column("text"))
             yield pa.RecordBatch.from_pydict({
