@@ -339,7 +339,7 @@ class CachedEncoder:
     holds the words of a few at a time.
     """
 
-    def __init__(self, definition: str, most_words: int = 400_000, most_chars: int = 8_000_000, group_chars: int = 2_000_000):
+    def __init__(self, definition: str, most_words: int = 700_000, most_chars: int = 16_000_000, group_chars: int = 2_000_000):
         self.split, self.encode = splitter(definition), word_encoder(definition)
         self.most_words, self.most_chars, self.group_chars = most_words, most_chars, group_chars
         self.known = KnownWords(self.encode)
