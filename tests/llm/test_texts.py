@@ -231,6 +231,12 @@ def test_chat_digests_come_from_the_output(spark):
     assert chat.digests(spark, chat.write_chats(spark, chat.events_of_rows(rows.limit(0)))).collect() == []
 
 
+def test_capitals_with_far_small_letters():
+    text = "".join(f"{chr(code)}b, a{chr(code)} " for code in range(0xA1, 0x250))
+    for part in (text, *text.split()):
+        assert next(ENCODER([part])).tolist() == LIBRARY.encode(part, add_special_tokens=False).ids
+
+
 def test_encoder_forgets_words_and_splits_batches(corpus):  # noqa: F811
     texts = [row[1] or "" for row in corpus]
     small = bpe.CachedEncoder(DEFINITION, most_words=3, most_chars=40, group_chars=50)

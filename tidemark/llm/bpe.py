@@ -13,7 +13,7 @@ import re
 import unicodedata
 import zlib
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +52,9 @@ class Splitter:
         self.special = frozenset(special)
         self.cut = re.compile("(" + "|".join(re.escape(token) for token in special) + ")") if special else None
         letters, numbers = _latin("L"), _latin("N")
-        self.other = re.compile(r"[^\t\n\r -~¡-įı-ɏ]")
+        # capitals whose small letters are further on (and dotted I, which becomes two) are not plain
+        plain = [chr(code) for code in range(0xA1, 0x250) if len(low := chr(code).lower()) == 1 and ord(low) < 0x250]
+        self.other = re.compile(rf"[^\t\n\r -~{''.join(map(re.escape, plain))}]")
         # only the contractions begin with what else is a mark, so they stand before the marks alone
         marks = r"'s|'t|'re|'ve|'m|'ll|'d"
         self.words = re.compile(rf"[{letters}]+|[{numbers}]|{marks}|[^\s{letters}{numbers}]+")
@@ -64,6 +66,21 @@ class Splitter:
         parts = self.cut.split(text)
         return list(itertools.chain.from_iterable([part] if part in self.special else self._ordinary(part) for part in parts))
 
+    def pieces(self, text: str) -> list[str]:
+        """Larger parts than words: what stands between white space in plain texts, else words."""
+        if self.other.search(text):
+            return self(text)
+        if self.cut is None or "<" not in text:
+            return text.lower().split()
+        parts = self.cut.split(text)
+        return list(itertools.chain.from_iterable([part] if part in self.special else part.lower().split() for part in parts))
+
+    def words_of(self, piece: str) -> list[str]:
+        """The words of a piece; a word is its only one."""
+        if piece in self.special or self.other.search(piece):
+            return [piece]
+        return (self.ascii_words if piece.isascii() else self.words).findall(piece)
+
     def _ordinary(self, text: str) -> list[str]:
         if not self.other.search(text):
             return (self.ascii_words if text.isascii() else self.words).findall(text.lower())
@@ -300,22 +317,27 @@ def encode_decode(
 class KnownWords:
     """Words met so far, numbered, each encoded once when its ids are asked for."""
 
-    def __init__(self, encode: WordEncoder):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
         self.table: dict[str, int] = defaultdict(itertools.count().__next__)
         self.ids, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
-        self.begins = np.empty(0, np.int64)
+        self.begins, self.used = np.empty(0, np.int64), np.empty(0, np.int64)
         self.chars = 0
 
-    def only(self, words: list[str], stays: np.ndarray) -> KnownWords:
-        """These of the words, numbered anew."""
-        out = KnownWords(self.encode)
-        out.numbers_of([words[at] for at in stays.tolist()])
-        out.sizes = self.sizes[stays]
-        out.ids = gather(self.ids, self.begins[stays], out.sizes)
-        out.begins = np.cumsum(out.sizes) - out.sizes
-        out.chars = sum(map(len, out.table))
-        return out
+    def forget(self, most_words: int, most_chars: int) -> None:
+        """Beyond a bound, keep the most used third. Numbers asked for before are no longer valid."""
+        if len(self.table) <= most_words and self.chars <= most_chars:
+            return
+        words = list(self.table)
+        order = np.argsort(-self.used, kind="stable")
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        stays = order[: most_words // 3]
+        stays = np.sort(stays[np.cumsum(length[stays]) <= most_chars // 3])
+        self.table = defaultdict(itertools.count().__next__)
+        self.numbers_of([words[at] for at in stays.tolist()])
+        self.ids = gather(self.ids, self.begins[stays], self.sizes[stays])
+        self.sizes, self.used, self.chars = self.sizes[stays], self.used[stays] // 2, int(length[stays].sum())
+        self.begins = np.cumsum(self.sizes) - self.sizes
 
     def numbers_of(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
@@ -324,26 +346,38 @@ class KnownWords:
         """Ids of the words, one word after the other, and how many each has."""
         if len(self.sizes) < len(self.table):
             fresh = list(itertools.islice(self.table, len(self.sizes), None))
-            self.chars += sum(map(len, fresh))
             ids, sizes = self.encode(fresh)
+            self.chars += sum(map(len, fresh))
             self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
             self.begins = np.cumsum(self.sizes) - self.sizes
+        used = np.bincount(numbers, minlength=len(self.table))
+        used[: len(self.used)] += self.used
+        self.used = used
         sizes = self.sizes[numbers]
         return gather(self.ids, self.begins[numbers], sizes), sizes
 
 
 class CachedEncoder:
-    """Ids of whole texts; a process remembers the words it has met, up to bounds on their number and length.
+    """Ids of whole texts; a process remembers what it has met, up to bounds on number and length.
 
-    At a bound the most used words stay. Texts are split in groups of bounded length, so a batch of long ones
-    holds the words of a few at a time.
+    A plain text is cut at white space first, which is far cheaper than into words; a new piece is cut into
+    words, and a new word is encoded. At a bound the most used pieces or words stay. Texts are cut in groups of
+    bounded length, so a batch of long ones holds the pieces of a few at a time.
     """
 
-    def __init__(self, definition: str, most_words: int = 700_000, most_chars: int = 16_000_000, group_chars: int = 2_000_000):
-        self.split, self.encode = splitter(definition), word_encoder(definition)
+    def __init__(self, definition: str, most_words: int = 300_000, most_chars: int = 8_000_000, group_chars: int = 2_000_000):
+        self.split = splitter(definition)
         self.most_words, self.most_chars, self.group_chars = most_words, most_chars, group_chars
-        self.known = KnownWords(self.encode)
-        self.used = np.zeros(0, np.int64)
+        self.words = KnownWords(word_encoder(definition))
+        self.known = KnownWords(self._pieces)
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces by those of their words."""
+        self.words.forget(self.most_words, self.most_chars)
+        words = [self.split.words_of(piece) for piece in pieces]
+        ids, sizes = self.words.ids_of(self.words.numbers_of(list(itertools.chain.from_iterable(words))))
+        edges = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum([0, *map(len, words)])]
+        return ids, np.diff(edges)
 
     def __call__(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         held, chars = [], 0
@@ -356,23 +390,10 @@ class CachedEncoder:
         if held:
             yield from self._encoded(held)
 
-    def _forget(self) -> None:
-        """Keep a third of the words and letters at most, those used most."""
-        words = list(self.known.table)
-        order = np.argsort(-self.used, kind="stable")
-        length = np.fromiter(map(len, words), np.int64, len(words))[order]
-        stays = np.sort(order[(np.arange(len(order)) < self.most_words // 3) & (np.cumsum(length) <= self.most_chars // 3)])
-        self.known, self.used = self.known.only(words, stays), self.used[stays] // 2
-
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known.table) > self.most_words or self.known.chars > self.most_chars:
-            self._forget()
-        numbers = [self.known.numbers_of(self.split(text)) for text in texts]
-        flat = np.concatenate(numbers)
-        ids, sizes = self.known.ids_of(flat)
-        used = np.bincount(flat, minlength=len(self.known.table))
-        used[: len(self.used)] += self.used
-        self.used = used
+        self.known.forget(self.most_words, self.most_chars)
+        numbers = [self.known.numbers_of(self.split.pieces(text)) for text in texts]
+        ids, sizes = self.known.ids_of(np.concatenate(numbers))
         words = np.cumsum([0, *map(len, numbers)])
         edges = np.concatenate(([0], np.cumsum(sizes)))[words]
         return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
