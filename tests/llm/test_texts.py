@@ -239,7 +239,7 @@ def test_capitals_with_far_small_letters():
 
 def test_encoder_forgets_words_and_splits_batches(corpus):  # noqa: F811
     texts = [row[1] or "" for row in corpus]
-    small = bpe.CachedEncoder(DEFINITION, most_words=3, most_chars=40, group_chars=50)
+    small = bpe.CachedEncoder(DEFINITION, most_pieces=4, most_words=3, most_chars=40, group_chars=50)
     found = [ids.tolist() for _ in range(2) for ids in small(texts)]
     assert found == 2 * [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
 

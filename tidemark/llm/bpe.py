@@ -365,9 +365,11 @@ class CachedEncoder:
     bounded length, so a batch of long ones holds the pieces of a few at a time.
     """
 
-    def __init__(self, definition: str, most_words: int = 300_000, most_chars: int = 8_000_000, group_chars: int = 2_000_000):
+    def __init__(
+        self, definition: str, most_pieces: int = 900_000, most_words: int = 100_000, most_chars: int = 16_000_000, group_chars: int = 2_000_000
+    ):
         self.split = splitter(definition)
-        self.most_words, self.most_chars, self.group_chars = most_words, most_chars, group_chars
+        self.most_pieces, self.most_words, self.most_chars, self.group_chars = most_pieces, most_words, most_chars, group_chars
         self.words = KnownWords(word_encoder(definition))
         self.known = KnownWords(self._pieces)
 
@@ -391,7 +393,7 @@ class CachedEncoder:
             yield from self._encoded(held)
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        self.known.forget(self.most_words, self.most_chars)
+        self.known.forget(self.most_pieces, self.most_chars)
         numbers = [self.known.numbers_of(self.split.pieces(text)) for text in texts]
         ids, sizes = self.known.ids_of(np.concatenate(numbers))
         words = np.cumsum([0, *map(len, numbers)])
