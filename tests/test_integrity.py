@@ -88,9 +88,7 @@ def test_every_file_of_a_folder_is_checked(spark, tmp_path, rows):
     }
     for name, body in bodies.items():
         csv(tmp_path, body, name)
-    headers = files.csv_headers(spark, str(tmp_path))
-    contents = files.read_bytes(spark, str(tmp_path), "*.csv")
-    found = integrity.csv_file_violations(headers, contents, ["id", "name"])
+    found = files.csv_violations(spark, str(tmp_path), ["id", "name"])
     short = found.select(F.regexp_extract("path", "[^/]+$", 0), "violation")
     assert rows(short) == [
         ("b.csv", "header"), ("c.csv", "byte_order_mark"), ("d.csv", "not_utf8"), ("e.csv", "quoting"),

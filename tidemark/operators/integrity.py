@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -36,24 +35,6 @@ def bom_violations(files: DataFrame) -> DataFrame:
     return files.where(F.hex(F.substring("content", 1, 3)) == "EFBBBF").select("path")
 
 
-def csv_file_violations(headers: DataFrame, contents: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(path, violation) for every file: header, byte_order_mark, not_utf8 or quoting.
-
-    ``headers`` has (path, header) and ``contents`` (path, content) of the same files. Quotes pair up in
-    a file that is well formed, whatever its cells hold.
-    """
-    expected = ",".join(names)
-    text = F.decode(F.when(F.is_valid_utf8("content"), F.col("content")), "UTF-8")
-    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
-    found = [
-        headers.where(~F.col("header").eqNullSafe(F.lit(expected))).select("path", F.lit("header").alias("violation")),
-        bom_violations(contents).withColumn("violation", F.lit("byte_order_mark")),
-        utf8_violations(contents).withColumn("violation", F.lit("not_utf8")),
-        contents.where(quotes % 2 == 1).select("path", F.lit("quoting").alias("violation")),
-    ]
-    return functools.reduce(DataFrame.unionByName, found)
-
-
 def verify_lock(observed: DataFrame, lock: DataFrame) -> DataFrame:
     """(name, status) per file: ok, missing, unexpected, size_mismatch or digest_mismatch."""
     joined = observed.alias("o").join(lock.alias("l"), "name", "full")

@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import checks, integrity, multiset
+from tidemark.operators import checks, csv_scan, integrity, multiset
 from tidemark.queries.events import event_lines, nested_events
 from tidemark.queries.monitoring import _digest_sql
 from tidemark.queries.registry import query, table
@@ -391,11 +391,23 @@ def file_digest(spark, folder):
     return digests.select(F.element_at(F.split("path", "/"), -1).alias("name"), "bytes", "sha256")
 
 
-@query("utf8_files")
+@query(
+    "utf8_files",
+    """
+    SELECT source, count(*) FILTER (doc_id % 7 IN (0, 3)) AS lines FROM documents GROUP BY source
+    HAVING count(*) FILTER (doc_id % 7 IN (0, 3)) > 0
+    """,
+)
 def utf8_files(spark, folder):
-    """Table files that are not UTF-8 text: all of them, being Parquet."""
-    found = integrity.utf8_violations(files.read_bytes(spark, folder, "*.parquet"))
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+    """Lines that are not UTF-8 in files of texts, one folder of files for each source, read split by split."""
+    path = shared_folder(spark, "utf8-files")
+    number = F.col("doc_id") % 7
+    line = F.encode(F.translate(F.coalesce("text", F.lit("")), "\r\n", "  "), "UTF-8")
+    broken = F.when(number == 0, F.concat(line, F.unhex(F.lit("C3")))).when(number == 3, F.concat(F.unhex(F.lit("FF")), line))
+    texts = table(spark, folder, "documents").select("source", F.coalesce(broken, line).cast("string").alias("value"))
+    texts.write.partitionBy("source").option("maxRecordsPerFile", 50_000).text(path)
+    found = csv_scan.utf8_violations(files.raw_lines(spark, path))
+    return found.groupBy(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source")).agg(F.sum("lines").alias("lines"))
 
 
 @query(
@@ -521,42 +533,63 @@ def nested_columns(spark, folder):
     return flatten_columns(nested_events(spark, folder), {"id": "id", "login": "actor.login"})
 
 
+_CSV_FILES = """
+    WITH sized AS (SELECT *, 2 * (1 + (SELECT count(*) FROM orders) // 400000) AS parts FROM orders),
+    dealt AS (SELECT *, split_part(o_orderpriority, '-', 1) AS kind, o_orderkey % parts AS part FROM sized),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY kind, part ORDER BY o_orderkey) AS record FROM dealt),
+    found AS (
+      SELECT kind, part, CASE kind WHEN '1' THEN 'header' ELSE 'byte_order_mark' END AS violation, 0 AS record
+      FROM ranked WHERE kind IN ('1', '2')
+      UNION ALL
+      SELECT kind, part, CASE WHEN kind = '5' THEN 'quoting' WHEN part % 2 = 0 THEN 'width' ELSE 'quoting' END, record
+      FROM ranked WHERE kind IN ('3', '5') AND o_orderkey // 32 % 7 = 3)
+"""
+
+
 @query(
     "csv_file_violations",
-    """
-    SELECT DISTINCT split_part(o_orderpriority, '-', 1) AS priority, violation
-    FROM orders, (SELECT unnest(['header', 'byte_order_mark', 'quoting']) AS violation)
-    WHERE violation = CASE split_part(o_orderpriority, '-', 1) WHEN '1' THEN 'header' WHEN '2' THEN 'byte_order_mark' WHEN '5' THEN 'quoting' END
-    """,
+    _CSV_FILES + "SELECT kind, part, violation, min(record) AS record FROM found GROUP BY ALL",
 )
 def csv_file_violations(spark, folder):
-    """Orders in one CSV file per priority: one with swapped columns, one with a byte order mark, one with
-    a quote that is never closed; the others are as agreed."""
+    """Orders in CSV files of a bounded size, some of them compressed, in five kinds by priority.
+
+    1 has its columns swapped and is compressed, 2 begins with a byte order mark, 3 has some rows with a cell more or with a
+    quote in a bare cell, 4 has quoted cells over two lines, as agreed, 5 has some quotes that are not closed.
+    """
     path = shared_folder(spark, "csv-files")
-    priority = F.substring("o_orderpriority", 1, 1)
+    names = ["o_orderkey", "o_totalprice", "o_orderdate"]
+    _write_csv_files(table(spark, folder, "orders"), path)
+    found = files.csv_violations(spark, path, names)
+    place = "kind=([0-9])/part=([0-9]+)/"
+    return found.select(
+        F.regexp_extract("path", place, 1).alias("kind"),
+        F.regexp_extract("path", place, 2).cast("long").alias("part"),
+        "violation",
+        "record",
+    )
+
+
+def _write_csv_files(orders, path):
+    """One file for each kind and part; the parts are as many as keep a file below 100,000 rows or so."""
+    parts = 2 * (1 + orders.count() // 400_000)
+    dealt = orders.withColumns({"kind": F.substring("o_orderpriority", 1, 1), "part": F.col("o_orderkey") % parts})
+    odd = F.floor(F.col("o_orderkey") / 32) % 7 == 3
     cells = F.concat_ws(",", "o_orderkey", "o_totalprice", "o_orderdate")
-    line = F.when((priority == "5") & (F.col("rank") == 1), F.concat(F.lit('"'), cells)).otherwise(cells)
+    line = (
+        F.when((F.col("kind") == "5") & odd, F.concat(F.lit('"'), cells))
+        .when((F.col("kind") == "3") & odd & (F.col("part") % 2 == 0), F.concat(cells, F.lit(",more")))
+        .when((F.col("kind") == "3") & odd, F.concat(cells, F.lit('"')))
+        .when(F.col("kind") == "4", F.concat_ws(",", "o_orderkey", F.lit('"two\nlines, ""quoted"""'), "o_orderdate"))
+        .otherwise(cells)
+    )
     header = (
-        F.when(priority == "1", "o_totalprice,o_orderkey,o_orderdate")
-        .when(priority == "2", "\ufeffo_orderkey,o_totalprice,o_orderdate")
+        F.when(F.col("kind") == "1", "o_totalprice,o_orderkey,o_orderdate")
+        .when(F.col("kind") == "2", "\ufeffo_orderkey,o_totalprice,o_orderdate")
         .otherwise("o_orderkey,o_totalprice,o_orderdate")
     )
-    orders = table(spark, folder, "orders")
-    first = orders.groupBy("o_orderpriority").agg(F.min("o_orderkey").alias("least"))
-    rows = orders.join(first, "o_orderpriority").withColumn("rank", (F.col("o_orderkey") == F.col("least")).cast("int"))
-    lines = first.select(priority.alias("priority"), F.lit(0).alias("place"), header.alias("value")).unionByName(
-        rows.select(priority.alias("priority"), F.lit(1).alias("place"), line.alias("value"))
-    )
-    lines.repartition("priority").sortWithinPartitions("priority", "place").select("priority", "value").write.partitionBy(
-        "priority"
-    ).option("header", False).text(path)
-    return _violations_by_priority(spark, path)
-
-
-def _violations_by_priority(spark, path):
-    uri = F.regexp_replace("path", "^file:/+", "file:/").alias("path")
-    contents = files.read_bytes(spark, path, "*.txt").select(uri, "content")
-    headers = files.csv_headers(spark, path, "*.txt")
-    names = ["o_orderkey", "o_totalprice", "o_orderdate"]
-    found = integrity.csv_file_violations(headers, contents, names)
-    return found.select(F.regexp_extract("path", "priority=([0-9])", 1).alias("priority"), "violation")
+    heads = dealt.select("kind", "part").distinct().select("kind", "part", F.lit(-1).alias("place"), header.alias("value"))
+    lines = heads.unionByName(dealt.select("kind", "part", F.col("o_orderkey").alias("place"), line.alias("value")))
+    ordered = lines.repartition("kind", "part").sortWithinPartitions("kind", "part", "place").drop("place")
+    for archived in (False, True):
+        chosen = ordered.where((F.col("kind") == "1") == archived)
+        chosen.write.mode("append").partitionBy("kind", "part").option("compression", "gzip" if archived else "none").text(path)

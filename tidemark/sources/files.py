@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.cells import logical_type
+from tidemark.operators import csv_scan
 from tidemark.operators.checks import ContractError
 from tidemark.operators.cleaning import union_normalised
 
@@ -27,22 +29,58 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def csv_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(path, header) for every CSV file that is not empty: its first line. Spark skips empty files.
+def _uri() -> Column:
+    """Paths of the line reader, the byte reader and the index in one form."""
+    return F.regexp_replace("path", "^file:/+", "file:/").alias("path")
 
-    A byte order mark is skipped by Spark's line reader; ``integrity.bom_violations`` finds it. The
-    lines of a file's first split are numbered as they are read, so the least number is the first line.
+
+def raw_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(path, size, start, line) of all files below a folder: their lines, byte for byte, whatever they hold.
+
+    ``start`` is where the line's split begins; the lines of a split follow each other in the file's order. Only
+    line feeds end a line, so a carriage return stays at its end. Compressed files are read as their content, ``size``
+    being that of the file. A byte order mark at the beginning of a file is left out by the reader.
     """
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path).select(
-        F.col("_metadata.file_path").alias("path"),
+    reader = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n")
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.text(path).select(
+        F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))).alias("path"),
+        F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-    )
-    first = lines.where(F.col("start") == 0).groupBy("path").agg(F.min_by("value", "line").alias("header"))
-    uri = F.regexp_replace("path", "^file:/+", "file:/")
-    found = first.select(uri.alias("path"), "header")
-    return list_files(spark, path, glob).select(uri.alias("path")).join(found, "path", "left")
+        F.col("value").alias("line"),
+    ).withColumn("path", _uri())
+
+
+def file_paths(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(path) of every file below a folder, empty ones too, which no reader gives a row for.
+
+    The paths are those of the driver's own index of the files.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    names = [(unquote(name),) for name in reader.load(path).inputFiles()]
+    return spark.createDataFrame(names, "path string").select(_uri())
+
+
+def csv_headers(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(path, header) for every file that the readers below would read, whatever its name: its first line.
+
+    A byte order mark is skipped by Spark's line reader; ``csv_scan.file_violations`` finds it. The lines of a file's
+    first split are numbered as they are read, so the least number is the first line. Empty files have no header.
+    """
+    lines = raw_lines(spark, path, glob).withColumn("number", F.monotonically_increasing_id())
+    first = lines.where(F.col("start") == 0).groupBy("path").agg(F.min_by("line", "number").alias("header"))
+    bare = F.rtrim("header", F.lit("\r"))
+    found = first.select("path", bare.alias("header"))
+    return file_paths(spark, path, glob).join(found, "path", "left")
+
+
+def csv_violations(spark: SparkSession, path: str, names: Sequence[str], delimiter: str = ",") -> DataFrame:
+    """(path, violation, record) of all files below a folder, compressed ones too: ``csv_scan.file_violations``."""
+    archives = read_bytes(spark, path, f"*{csv_scan.GZIP}").select(_uri(), "content")
+    return csv_scan.file_violations(raw_lines(spark, path), file_paths(spark, path), names, delimiter, archives)
 
 
 def require_csv_header(spark: SparkSession, path: str, names: Sequence[str]) -> None:
