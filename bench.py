@@ -60,6 +60,7 @@ HEADLINE = [
     "typed_cell_check",
     "json_contract",
     "rolling_p95",
+    "monthly_p95",
     "availability",
     "alert_runs",
     "inventory_rollup",

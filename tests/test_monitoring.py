@@ -2,12 +2,14 @@ import datetime
 import hashlib
 import json
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import monitoring, retention
+from conftest import plan_of
+from tidemark.operators import monitoring, retention, trailing
 
 T0 = datetime.datetime(2026, 1, 1)
 
@@ -55,6 +57,31 @@ def test_trailing_quantile_equals_numpy(spark):
     assert found == expected
 
 
+@pytest.mark.parametrize("limits", [(2_000_000, 64), (40, 4), (7, 2)])
+def test_trailing_ranks_of_divided_groups(spark, limits):
+    """Groups too large for one task are divided by value, again and again, with the same result."""
+    rng = random.Random(11)
+    rows = [(s, rng.randrange(60), rng.choice([0.0, 1.5, 1.5, -3.0, rng.randrange(40) / 4])) for s in ["hot"] * 500 + ["cold"] * 30 + [None] * 9]
+    rows += [("one", 3, 7.0)] * 30 + [("flat", step, 2.0) for step in range(50)]
+    counted = Counter(rows)
+    frame = spark.createDataFrame([(*key, n) for key, n in counted.items()], "_series string, _step long, _value double, _n long")
+    found = trailing.trailing_ranks(frame, 10, 0.7, *limits)
+    got = {(row["_series"], row["_at"]): (row["_quantile"], row["samples"]) for row in found.collect()}
+    expected = {}
+    for series in {row[0] for row in rows}:
+        for at_step in range(80):
+            inside = [v for s, step, v in rows if s == series and at_step - 10 < step <= at_step]
+            if inside:
+                expected[series, at_step] = (pytest.approx(float(np.quantile(inside, 0.7))), len(inside))
+    assert got == expected
+
+
+def test_trailing_ranks_copy_no_row_into_windows(spark):
+    frame = spark.createDataFrame([("a", T0, 1.0)], "s string, t timestamp_ntz, v double")
+    plan = plan_of(monitoring.trailing_quantile(frame, "s", "t", "v", 0.5, 30 * 86400, 60))
+    assert "Generate" not in plan and "explode" not in plan
+
+
 def test_step_must_divide_window(spark):
     frame = spark.createDataFrame([("a", T0, 1.0)], "s string, t timestamp_ntz, v double")
     with pytest.raises(ValueError):

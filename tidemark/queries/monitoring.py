@@ -26,6 +26,25 @@ def rolling_p95(spark, folder):
     return points.withColumn("quantile", F.round("quantile", 6))
 
 
+@query(
+    "monthly_p95",
+    """
+    WITH e AS (SELECT event_type, value, cast(ceil(epoch_us(ts) / 60000000.0) AS bigint) AS step FROM events),
+    changes AS (SELECT event_type, step AS a FROM e UNION SELECT event_type, step + 43200 FROM e),
+    spans AS (SELECT event_type, a, lead(a) OVER (PARTITION BY event_type ORDER BY a) AS b FROM changes),
+    found AS (
+        SELECT s.event_type, a, b, quantile_cont(value, 0.95) AS quantile, count(*) AS samples
+        FROM spans s JOIN e ON e.event_type = s.event_type AND e.step > a - 43200 AND e.step <= a GROUP BY 1, 2, 3)
+    SELECT event_type, make_timestamp(unnest(range(a, b)) * 60000000) AS eval_time, round(quantile, 6) AS quantile, samples
+    FROM found
+    """,
+)
+def monthly_p95(spark, folder):
+    """p95 over the last thirty days, evaluated every minute."""
+    points = monitoring.trailing_quantile(table(spark, folder, "events"), "event_type", "ts", "value", 0.95, 30 * 86400, 60)
+    return points.withColumn("quantile", F.round("quantile", 6))
+
+
 @query(
     "quantile_of_nulls",
     """
