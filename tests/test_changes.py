@@ -1,9 +1,11 @@
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes, multiset, versions
+from tidemark.session import session_settings
 
 RETAIL = "invoice string, stock_code string, quantity int, price double"
 TARGET = [("A1", "SKU1", 5, 2.0), ("A2", "SKU2", 3, 4.0)]
@@ -61,6 +63,41 @@ def test_small_change_set_does_not_shuffle_the_target(spark, tmp_path):
     assert "BroadcastHashJoin" in first_branch
 
 
+def scans(frame, columns):
+    """How often the plan reads a table of files with these columns."""
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    return len(re.findall(r"Relation \[" + ",".join(rf"{name}#\d+L?" for name in columns) + r"\] parquet", plan))
+
+
+@pytest.mark.parametrize("small_bytes", [0, changes.SMALL_CHANGES])
+def test_large_change_sets_read_the_target_once(spark, tmp_path, rows, small_bytes):
+    """Null, repeated and hot keys, on both paths, against the rule row by row."""
+    given = [(None if at % 50 == 9 else 0 if at % 3 == 0 else at % 700, at % 5, at) for at in range(6000)]
+    news = [(key, 1, -key) for key in range(0, 1500, 2)] + [(None, 1, 5), (None, 2, 6)]
+    spark.createDataFrame(given, "k long, j int, v long").repartition(4).write.parquet(f"{tmp_path}/target")
+    target, source = spark.read.parquet(f"{tmp_path}/target"), spark.createDataFrame(news, "k long, j int, v long")
+    merged = changes.merge_upsert(target, source, ["k", "j"], ["v"], small_bytes)
+    new = {(k, j): v for k, j, v in news if k is not None}
+    expected = [(k, j, new.get((k, j), v)) for k, j, v in given]
+    expected += [(k, j, v) for (k, j), v in new.items() if not any(row[:2] == (k, j) for row in given)]
+    expected += [row for row in news if row[0] is None]
+    assert rows(merged) == sorted(expected, key=lambda row: tuple((value is not None, str(value)) for value in row))
+    assert scans(merged, target.columns) == (1 if small_bytes == 0 else 2)
+
+
+def test_hot_key_is_dealt_over_places(spark, tmp_path):
+    spark.range(30_000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS v").repartition(4).write.parquet(f"{tmp_path}/hot")
+    target = spark.read.parquet(f"{tmp_path}/hot")
+    source = spark.range(0, 60_000, 4).selectExpr("id AS k", "-1L AS v")
+    assert [row.k for row in changes.hot_keys(target, ["k"]).collect()] == [0]
+    with session_settings(spark, {"spark.sql.shuffle.partitions": 32, "spark.sql.adaptive.enabled": "false"}):
+        merged = changes.merge_upsert(target, source, ["k"], small_bytes=0)
+        parts = merged.groupBy(F.spark_partition_id()).count().collect()
+    assert merged.where("k = 0 AND v = -1").count() == 10_000
+    assert max(row["count"] for row in parts) < 6_000
+    assert merged.count() == 30_000 + source.join(target, "k", "left_anti").count()
+
+
 def test_latest_change_wins(spark, rows):
     frame = spark.createDataFrame([("a", 1, 5), ("a", 2, 6), ("b", 1, 7)], "k string, seq int, v int")
     assert rows(changes.latest_per_key(frame, ["k"], ["seq"])) == [("a", 2, 6), ("b", 1, 7)]
@@ -88,6 +125,27 @@ def test_scd2_closes_and_opens(spark, rows):
     assert multiset.same_rows(after, again)
 
 
+def test_scd2_reads_the_dimension_once(spark, tmp_path, rows):
+    """Closed versions, a missing flag, null keys and values, new and unchanged keys, in one read."""
+    given = [(f"C{at % 40}", "abc"[at % 3], START, CHANGE, False) for at in range(40, 400)]
+    given += [(f"C{at}", "abc"[at % 3], START, None, True) for at in range(40)]
+    given += [(None, "a", START, None, True), ("C9", "z", START, None, None), ("N", None, START, None, True)]
+    spark.createDataFrame(given, DIMENSION).write.parquet(f"{tmp_path}/dimension")
+    news = [(f"C{at}", "b") for at in range(0, 60, 2)] + [(None, "b"), ("N", None)]
+    changed = spark.createDataFrame(news, "customer_id string, segment string")
+    later = datetime.datetime(2025, 1, 1)
+    dimension = spark.read.parquet(f"{tmp_path}/dimension")
+    after = changes.scd2_apply(dimension, changed, ["customer_id"], ["segment"], F.lit(later))
+    expected, live = [], {row[0]: row for row in given if row[4] and row[0] is not None}
+    new = dict(news)
+    for row in given:
+        moves = row[4] and row[0] in new and row[0] is not None and new[row[0]] != row[1]
+        expected.append((*row[:3], later, False) if moves else row)
+    expected += [(k, v, later, None, True) for k, v in news if k is None or k not in live or live[k][1] != v]
+    assert rows(after) == sorted(expected, key=lambda row: tuple((value is not None, str(value)) for value in row))
+    assert scans(after, dimension.columns) == 1
+
+
 def test_scd2_closed_rows_are_not_touched(spark, violations):
     dimension = spark.createDataFrame([("C1", "a", START, CHANGE, False), ("C1", "b", CHANGE, None, True)], DIMENSION)
     changed = spark.createDataFrame([("C1", "a")], "customer_id string, segment string")
