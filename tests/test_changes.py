@@ -247,3 +247,15 @@ def test_each_branch_keeps_its_newest(history, rows):
     branch = versions.create_branch(refs, "audit").withColumn("commit_id", F.when(F.col("name") == "audit", 2).otherwise(F.col("commit_id")).cast("long"))
     assert rows(versions.expire(log, branch, F.lit(when(9)), retain_last=2), "commit_id") == []
     assert rows(versions.expire(log, refs, F.lit(when(9)), retain_last=2), "commit_id") == [(1,)]
+
+
+def test_long_histories_are_those_of_short_ones(spark, rows, monkeypatch):
+    """Both ways through the same log: branches, a rollback, an unknown parent and a repeated head."""
+    parents = {1: None, 2: 1, 3: 2, 4: 3, 5: 2, 6: 5, 7: 4, 8: 99, 9: 6, 10: 9}
+    log = spark.createDataFrame([(c, p, when(1), "append") for c, p in parents.items()], LOG)
+    refs = spark.createDataFrame([("main", 7), ("audit", 10), ("odd", 8), ("twin", 7), ("gone", 55)], "name string, commit_id long")
+    kept = spark.createDataFrame([(7,), (3,), (10,), (8,)], "commit_id long")
+    short = rows(versions.branch_ancestry(log, refs)), rows(versions.kept_above(log, kept))
+    monkeypatch.setattr(versions, "SHORT_LOG", 0)
+    assert short == (rows(versions.branch_ancestry(log, refs)), rows(versions.kept_above(log, kept)))
+    assert (2, 3) in short[1] and ("audit", 1) in short[0] and ("odd", 99) in short[0]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import cells, json_text
-from tidemark.operators import checks, integrity
+from tidemark.operators import checks, integrity, multiset
 from tidemark.sources import exports, files, tables
 
 LEGAL = {
@@ -250,6 +250,41 @@ def test_verified_replace(spark, tmp_path):
         exports.replace_verified(frame.limit(0), "verified.t", {"plan": "1"})
 
 
+def test_a_refused_table_is_never_published(spark, tmp_path, rows, monkeypatch):
+    """Emptiness, changed rows, changed properties, the caller's audit, a failed write: the old table is intact."""
+    tables.ensure_namespaces(spark, ["audited"], str(tmp_path))
+    old, new = spark.range(3), spark.range(10, 12)
+    exports.replace_verified(old, "audited.t", {"plan": "1"})
+
+    def refuse(stored):
+        assert rows(stored) == [(10,), (11,)]
+        raise checks.ContractError("the caller refuses")
+
+    def attempt(match, frame=new, **more):
+        with pytest.raises(Exception, match=match):
+            exports.replace_verified(frame, "audited.t", {"plan": "2"}, **more)
+        assert rows(spark.table("audited.t")) == [(0,), (1,), (2,)]
+        assert rows(tables.read_properties(spark, "audited.t", ["plan"])) == [("plan", "1")]
+        assert [table.name for table in spark.catalog.listTables("audited")] == ["t"]
+
+    attempt("empty", new.limit(0))
+    attempt("the caller refuses", audit=refuse)
+    attempt("broken row", new.selectExpr("IF(id = 11, raise_error('broken row'), id) AS id"))
+    with monkeypatch.context() as patch:
+        patch.setattr(exports, "fingerprint", lambda stored: multiset.fingerprint(stored.limit(1)))
+        attempt("stored rows differ")
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "set_properties", lambda *_: None)
+        attempt("stored properties differ")
+    with monkeypatch.context() as patch:  # the last step fails: the old table takes its name back
+        rename = tables._rename
+        patch.setattr(tables, "_rename", lambda s, a, b: rename(s, a, b) if "__next" not in a else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tables.replace_table(new, "audited.t")
+    assert rows(spark.table("audited.t")) == [(0,), (1,), (2,)]
+    assert rows(exports.replace_verified(spark.table("audited.t").where("id > 0"), "audited.t", {"plan": "3"})) == [(1,), (2,)]
+
+
 def test_not_null_columns_come_from_the_schema(spark, tmp_path):
     from tidemark.operators.quality import FACT_SCHEMA
 

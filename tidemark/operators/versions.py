@@ -8,6 +8,10 @@ link (operation ``expired``, no time), so the ancestry of the commits above it s
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +19,8 @@ from tidemark.session import shared_folder
 
 MAIN = "main"
 EXPIRED = "expired"
+#: Commits (times branches) that one task walks; a longer history goes by doubled links.
+SHORT_LOG = 200_000
 
 
 def _commit_row(log: DataFrame, values: dict[str, Column]) -> DataFrame:
@@ -112,13 +118,67 @@ def _links(log: DataFrame) -> DataFrame:
     return log.where(F.col("parent_id").isNotNull()).select("commit_id", F.col("parent_id").alias("up"))
 
 
+def _is_short(log: DataFrame, refs: DataFrame | None = None) -> bool:
+    """Whether one task can walk the whole log (for each branch), by its measured size."""
+    size = log.count()
+    return size * (refs.count() if refs is not None and size <= SHORT_LOG else 1) <= SHORT_LOG
+
+
+def _together(frame: DataFrame, links: DataFrame, function, schema: str) -> DataFrame:
+    """Both frames, of a checked size, in one group; the result is stored, as a small table."""
+    both = frame.withColumn("_link", F.lit(False)).unionByName(links.withColumn("_link", F.lit(True)), allowMissingColumns=True)
+
+    def split(table: pa.Table) -> pa.Table:
+        link = table.column("_link")
+        return function(table.filter(pc.invert(link)), table.filter(link))
+
+    return _stored(both.groupBy(F.lit(0).alias("_all")).applyInArrow(split, schema), "history")
+
+
+def _parents(links: pa.Table) -> dict[int, int]:
+    return dict(zip(links.column("commit_id").to_pylist(), links.column("up").to_pylist(), strict=True))
+
+
+def _walked(heads: pa.Table, links: pa.Table) -> pa.Table:
+    """Each branch's commits, from its head to the first one."""
+    parents = _parents(links)
+    found: dict[tuple, None] = {}
+    for name, commit in zip(heads.column("name").to_pylist(), heads.column("commit_id").to_pylist(), strict=True):
+        while commit is not None and (name, commit) not in found:
+            found[name, commit] = None
+            commit = parents.get(commit)
+    names, commits = ([key[at] for key in found] for at in (0, 1))
+    return pa.table({"name": pa.array(names, pa.string()), "commit_id": pa.array(commits, heads.schema.field("commit_id").type)})
+
+
+def _summed(counts: pa.Table, links: pa.Table) -> pa.Table:
+    """Each commit's own count and those of all commits above it: children are added before their parent."""
+    parents = _parents(links)
+    above = dict(zip(counts.column("commit_id").to_pylist(), counts.column("above").to_pylist(), strict=True))
+    waiting = Counter(parents.values())
+    ready = [commit for commit in above if commit not in waiting]
+    while ready:
+        commit = ready.pop()
+        parent = parents.get(commit)
+        if parent is not None:
+            above[parent] = above.get(parent, 0) + above[commit]
+            waiting[parent] -= 1
+            if not waiting[parent]:
+                ready.append(parent)
+    return pa.table({
+        "commit_id": pa.array(list(above), counts.schema.field("commit_id").type), "above": pa.array(list(above.values()), pa.int64()),
+    })
+
+
 def branch_ancestry(log: DataFrame, refs: DataFrame) -> DataFrame:
     """(name, commit_id): all commits each branch reaches along parent links, its head included.
 
-    Links are doubled in length in each round, so the rounds grow with the logarithm of the history.
-    Each round is stored as a small table, whose size Spark then knows.
+    A short history is walked by one task. In a longer one links are doubled in length in each round, so the rounds
+    grow with the logarithm of the history. Each round is stored as a small table, whose size Spark then knows.
     """
     reached = refs.join(log.select("commit_id"), "commit_id", "left_semi").select("name", "commit_id")
+    if _is_short(log, refs):
+        return _together(reached, _links(log), _walked, f"name string, commit_id {dict(log.dtypes)['commit_id']}")
     links = _links(log)
     for _ in range(_rounds(log)):
         further = reached.join(links, "commit_id").select("name", F.col("up").alias("commit_id"))
@@ -138,6 +198,8 @@ def kept_above(log: DataFrame, kept: DataFrame) -> DataFrame:
     marked = kept.select("commit_id").distinct().withColumn("_kept", F.lit(1))
     counts = log.join(marked, "commit_id", "left").select("commit_id", F.coalesce("_kept", F.lit(0)).cast("long").alias("above"))
     links = _links(log)
+    if _is_short(log):
+        return _together(counts, links, _summed, f"commit_id {dict(log.dtypes)['commit_id']}, above bigint")
     for _ in range(_rounds(log)):
         risen = counts.join(links, "commit_id").select(F.col("up").alias("commit_id"), "above")
         counts = _stored(counts.unionByName(risen).groupBy("commit_id").agg(F.sum("above").alias("above")), "above")

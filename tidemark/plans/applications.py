@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,12 +45,15 @@ def build_star(
 
 
 def build_features(ratings: DataFrame, users: str, movies: str, provenance: Mapping[str, str]) -> None:
-    """Checked ratings to user and movie feature tables, each proved against the ratings."""
+    """Checked ratings to user and movie feature tables, each proved against the ratings before it is published."""
     checks.require_passed(checks.ratings_checks(ratings, "userId", "movieId", "rating"))
-    by_user = replace_verified(features.user_features(ratings), users, provenance)
-    checks.require_passed(checks.feature_checks(by_user, "userId", "avg_rating", "num_ratings", ratings))
-    by_movie = replace_verified(features.item_features(ratings), movies, provenance)
-    checks.require_passed(checks.feature_checks(by_movie, "movieId", "movie_avg", "popularity", ratings))
+
+    def proof(key: str, mean: str, count: str) -> Callable[[DataFrame], None]:
+        return lambda stored: checks.require_passed(checks.feature_checks(stored, key, mean, count, ratings))
+
+    by_user, by_movie = features.user_features(ratings), features.item_features(ratings)
+    replace_verified(by_user, users, provenance, audit=proof("userId", "avg_rating", "num_ratings"))
+    replace_verified(by_movie, movies, provenance, audit=proof("movieId", "movie_avg", "popularity"))
 
 
 def build_events(source: DataFrame, table: str, provenance: Mapping[str, str]) -> DataFrame:
@@ -69,13 +72,12 @@ def build_sessions(spark: SparkSession, source: str, table: str, provenance: Map
         raise checks.ContractError(f"{source} comes from another generation")
     flat = checks.require_names_and_types(spark.table(source), events.EVENT_SCHEMA)
     annotated = checks.impose_schema(events.sessionize(flat), events.SESSION_SCHEMA)
-    sessions = replace_verified(annotated, table, provenance)
-    checks.require_passed(
-        checks.session_checks(
-            sessions, flat, "actor_login", "created_at", "previous_created_at", events.SESSION_GAP_SECONDS
-        )
-    )
-    return sessions
+
+    def proof(stored: DataFrame) -> None:
+        names = ("actor_login", "created_at", "previous_created_at")
+        checks.require_passed(checks.session_checks(stored, flat, *names, events.SESSION_GAP_SECONDS))
+
+    return replace_verified(annotated, table, provenance, audit=proof)
 
 
 def segment_report(fact: DataFrame, dimension: DataFrame) -> DataFrame:

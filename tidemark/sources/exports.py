@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -72,23 +72,32 @@ def observed_fingerprint(frame: DataFrame, name: str = "written") -> tuple[DataF
 
 
 def replace_verified(
-    frame: DataFrame, name: str, properties: Mapping[str, str], nonempty: bool = True
+    frame: DataFrame,
+    name: str,
+    properties: Mapping[str, str],
+    nonempty: bool = True,
+    audit: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
-    """Replace a table with its provenance, read it back, and fail unless rows and properties agree.
+    """Replace a table with its provenance once its stored rows and properties are known to be right.
 
-    The written rows are fingerprinted during the write and the stored ones on readback, so the
-    result is computed once and compared without a shuffle.
+    The written rows are fingerprinted during the write and the stored ones on readback, so the result is computed
+    once and compared without a shuffle. Then ``audit`` may raise on what it finds in the stored rows. All this is
+    before the table takes its name: on any failure the old table is as it was.
     """
     spark = frame.sparkSession
     watched, observation = observed_fingerprint(frame)
-    replace_table(watched, name, properties)
-    stored = spark.table(name)
-    written, found = observation.get, fingerprint(stored).first().asDict()
-    if nonempty and found["row_count"] == 0:
-        raise ContractError(f"{name} is empty")
-    if written != found:
-        raise ContractError(f"{name}: stored rows differ from the rows written")
-    expected = spark.createDataFrame(sorted(properties.items()), "key string, value string")
-    if not provenance_differences(expected, read_properties(spark, name, list(properties))).isEmpty():
-        raise ContractError(f"{name}: stored properties differ")
-    return stored
+
+    def verify(stored: DataFrame, stored_name: str) -> None:
+        written, found = observation.get, fingerprint(stored).first().asDict()
+        if nonempty and found["row_count"] == 0:
+            raise ContractError(f"{name} is empty")
+        if written != found:
+            raise ContractError(f"{name}: stored rows differ from the rows written")
+        expected = spark.createDataFrame(sorted(properties.items()), "key string, value string")
+        if not provenance_differences(expected, read_properties(spark, stored_name, list(properties))).isEmpty():
+            raise ContractError(f"{name}: stored properties differ")
+        if audit is not None:
+            audit(stored)
+
+    replace_table(watched, name, properties, verify)
+    return spark.table(name)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,25 +28,48 @@ def ensure_namespaces(spark: SparkSession, names: Sequence[str], root: str | Non
     return created
 
 
-def replace_table(frame: DataFrame, name: str, properties: Mapping[str, str] | None = None) -> None:
-    """Replace a whole table, its properties set in sorted key order.
+def replace_table(
+    frame: DataFrame,
+    name: str,
+    properties: Mapping[str, str] | None = None,
+    audit: Callable[[DataFrame, str], None] | None = None,
+) -> None:
+    """Replace a whole table, its properties set in sorted key order: write, audit, publish.
 
-    The new table is written under another name and takes the old one's place when it is whole, so a
-    failed write leaves the old table as it was, and a table may be replaced by rows read from it.
+    The new table is written under another name, with its properties. ``audit`` gets its stored rows and that name and
+    raises if they must not be published. Only then it takes the old one's place, so a failed write or audit leaves the
+    old table as it was, rows and properties, and a table may be replaced by rows read from it. If the
+    new table cannot take the name, the old one gets it back.
     """
     spark = frame.sparkSession
     following, previous = f"{name}__next", f"{name}__previous"
     drop_table(spark, following)
-    frame.write.format("parquet").saveAsTable(following)
-    if properties:
-        set_properties(spark, following, properties)
+    try:
+        frame.write.format("parquet").saveAsTable(following)
+        if properties:
+            set_properties(spark, following, properties)
+        if audit is not None:
+            audit(spark.table(following), following)
+    except BaseException:
+        drop_table(spark, following)
+        raise
     drop_table(spark, previous)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {_quoted(name)} RENAME TO {_quoted(previous)}")
-    spark.sql(f"ALTER TABLE {_quoted(following)} RENAME TO {_quoted(name)}")
+    existed = spark.catalog.tableExists(name)
+    if existed:
+        _rename(spark, name, previous)
+    try:
+        _rename(spark, following, name)
+    except BaseException:
+        if existed:
+            _rename(spark, previous, name)
+        raise
     drop_table(spark, previous)
 
 
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(name)} RENAME TO {_quoted(to)}")
+
+
 def create_table_if_absent(frame: DataFrame, name: str) -> None:
     frame.write.mode("ignore").format("parquet").saveAsTable(name)
 
