@@ -222,23 +222,41 @@ def test_toxicity_scores(spark, documents, corpus, no_documents):
     assert {r.score for r in toxicity.toxicity_scores(spark, documents, labels.limit(0)).collect()} == {0.5}
 
 
-def test_nearest_examples_are_exact():
+@pytest.mark.parametrize("share", [8, 1, 100])
+def test_nearest_examples_are_exact(monkeypatch, share):
+    """Against all products, with everything in the head, in the tail and in both; like examples, so blocks are skipped."""
+    monkeypatch.setattr(toxicity, "HEAD_SHARE", share)
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
     rng = random.Random(9)
-    words = [f"t{at}" for at in range(60)]
-    examples = [Counter(rng.choices(words, k=rng.randrange(1, 12))) for _ in range(400)]
+    topics = [[f"t{topic}x{at}" for at in range(30)] + [f"all{at}" for at in range(6)] for topic in range(8)]
+    words = sorted({word for topic in topics for word in topic})
+    place = {word: at for at, word in enumerate(words)}
+
+    def draw():
+        return sorted((place[w], n) for w, n in Counter(rng.choices(rng.choice(topics), k=rng.randrange(0, 25))).items())
+
+    examples = [draw() for _ in range(400)]
     labels = np.array([rng.randrange(2) for _ in examples])
-    idf = np.array([rng.random() + 0.1 for _ in words])
-    index = toxicity.build_index(examples, labels, list(range(400)), words, idf, 0.3)
-    dense = np.zeros((400, 60))
-    for at, own in enumerate(index.ids):
-        for word, times in examples[own].items():
-            dense[at, index.terms[word]] = (1 + np.log(times)) * idf[index.terms[word]]
-    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
-    for _ in range(80):
-        rows, values = index.vector({index.terms[w]: n for w, n in Counter(rng.choices(words, k=4)).items()})
-        found, cosines = index.nearest(rows, values)
-        exact = np.sort(dense[:, rows] @ values)[::-1][: toxicity.NEIGHBOURS]
-        assert np.allclose(cosines, exact[exact > 1e-12][: len(cosines)]) and len(cosines) == (exact > 1e-12).sum()
+    weights = np.array([rng.random() + 0.1 for _ in words])
+    triples = [(at, term, n) for at, one in enumerate(examples) for term, n in one]
+    own, term, times = (np.array(part) for part in zip(*triples, strict=True))
+    index = toxicity.Index.build(own, term, times, labels, list(range(400)), weights)
+    dense = np.zeros((400, len(words)))
+    dense[own, term] = (1 + np.log(times)) * weights[term]
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
+    dense = dense[index.ids]
+    asked = [draw() for _ in range(90)]
+    triples = [(at, term, n) for at, one in enumerate(asked) for term, n in one]
+    own, term, times = (np.array(part) for part in zip(*triples, strict=True))
+    values = toxicity.unit_values(own, (1 + np.log(times)) * weights[term], 90)
+    skips = [at if at % 3 else -1 for at in range(90)]
+    for text, (found, cosines) in enumerate(index.nearest_of(own, term, values, 90, skips)):
+        exact = dense[:, term[own == text]] @ values[own == text]
+        if skips[text] >= 0:
+            exact[skips[text]] = 0
+        best = np.sort(exact)[::-1][: toxicity.NEIGHBOURS]
+        assert np.allclose(cosines, best[best > 1e-12]) and np.allclose(exact[found], cosines)
+    assert index.scanned[0] < index.scanned[1] or share == 1
 
 
 def test_toxicity_neighbours_are_those_over_all_terms(spark, documents, corpus):
@@ -253,14 +271,24 @@ def test_toxicity_neighbours_are_those_over_all_terms(spark, documents, corpus):
     examples = [toxicity.term_counts(text) for text in texts.values()]
     seen, known = Counter(term for own in vectors for term in own), {term for own in examples for term in own}
 
+    toxic = [labelled[doc_id] for doc_id in texts]
+
+    def gain(term):
+        """Twice the logarithm of the likelihood ratio of a table of label and presence."""
+        cells = Counter((label, term in own) for label, own in zip(toxic, examples, strict=True))
+        sides = Counter(toxic), Counter(term in own for own in examples)
+        return 2 * sum(n * np.log(n * len(toxic) / (sides[0][a] * sides[1][b])) for (a, b), n in cells.items())
+
+    weight = {t: (np.log((len(corpus) + 1) / (seen[t] + 1)) + 1e-3) * (1 + np.sqrt(max(0, gain(t)))) for t in known}
+
     def vector(counts):
-        own = {t: (1 + np.log(n)) * (np.log((len(corpus) + 1) / (seen[t] + 1)) + 1e-3) for t, n in counts.items() if t in known}
+        own = {t: (1 + np.log(n)) * weight[t] for t, n in counts.items() if t in known}
         norm = np.sqrt(sum(value * value for value in own.values()))
         return {term: value / norm for term, value in own.items()}
 
     held = [vector(own) for own in examples]
     exact = [max(sum(value * other.get(term, 0) for term, value in own.items()) for other in held) for own in map(vector, vectors)]
-    by_id = lambda pairs: sorted((str(doc_id), round(float(value), 9)) for doc_id, value in pairs)
+    by_id = lambda pairs: sorted((str(doc_id), round(float(value), 6)) for doc_id, value in pairs)
     assert by_id((r.doc_id, r.nearest) for r in rows) == by_id(zip((row[0] for row in corpus), exact, strict=True))
 
 
@@ -285,9 +313,18 @@ def test_query_equals_sql(spark, name):
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     labels = {row.doc_id: row for row in spark.read.parquet(f"{folder}/labels.parquet").collect()}
-    for name, label, least in (("op1_quality_crf", "quality", 0.95), ("op6_toxicity", "toxic", 0.9)):
-        rows = [row for row in QUERIES[name](spark, folder).collect() if row.held_out and row.doc_id in labels]
-        assert np.mean([row.predicted == labels[row.doc_id][label] for row in rows]) >= least
+    rows = [row for row in QUERIES["op1_quality_crf"](spark, folder).collect() if row.held_out and row.doc_id in labels]
+    assert np.mean([row.predicted == labels[row.doc_id].quality for row in rows]) >= 0.95
+
+
+def test_held_out_toxicity(spark):
+    """Recall and precision on documents that no label was learned from; all clean would be right in 85 of 100."""
+    folder = "/root/testdata/sf0.1"
+    labels = {row.doc_id: row.toxic for row in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = [row for row in QUERIES["op6_toxicity"](spark, folder).collect() if row.held_out and row.doc_id in labels]
+    caught = sum(row.predicted == labels[row.doc_id] == 1 for row in rows)
+    assert caught / sum(labels[row.doc_id] for row in rows) >= 0.9
+    assert caught / sum(row.predicted for row in rows) >= 0.9
 
 
 def test_pipeline_stages_are_those_of_their_operators(spark):

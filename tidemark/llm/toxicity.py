@@ -1,33 +1,37 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index of all their terms."""
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine through a block-max inverted index of all their terms."""
 
 from __future__ import annotations
 
-import math
+import itertools
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_fold, small_batches
+from tidemark.llm.common import Scratch, crc_fold, hash_words
 from tidemark.llm.crf import logistic, training_rows
+from tidemark.session import session_settings
 
 #: Labelled examples of the index by class, in the order of md5(doc_id), and their longest text.
 MAX_TOXIC, MAX_CLEAN, MAX_TRAINING_CHARS = 2000, 4000, 20_000
 NEIGHBOURS = 15
-#: Terms of a second space, whose votes the score is calibrated on beside those over all terms: those that tell
-#: most about the label among the examples, as far as their log-likelihood ratio is significant (one in a
-#: million by chance, as very many terms are tried) and so many examples of a class have them.
-VOCABULARY, LEAST_GAIN, LEAST_EXAMPLES = 4096, 24.0, 4
-#: Terms in more than one of so many examples are multiplied as a dense matrix, the others by postings.
+#: Terms in more than one of so many examples are multiplied block by block, the others go through postings.
 HEAD_SHARE = 32
-#: Texts that are compared with the examples at once.
-GROUP = 128
+#: Examples of a block, and groups of like examples that blocks are cut from.
+BLOCK, CLUSTERS = 64, 16
+#: Blocks of the highest bounds that give a text its first threshold.
+FIRST_BLOCKS = 2
+#: Texts that are compared with the examples at once, and letters of a group of texts.
+GROUP, GROUP_CHARS = 256, 1 << 21
+#: Words that a process remembers the terms of.
+KNOWN_WORDS = 300_000
+#: Texts go to Python in batches of so many rows.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000}
 _WORD = re.compile(r"\w+")
 
 
@@ -44,20 +48,65 @@ def term_counts(text: str) -> Counter:
     return counts
 
 
-def telling_terms(examples: Sequence[dict[int, int]], labels: np.ndarray, n_terms: int) -> np.ndarray:
-    """Terms with the largest log-likelihood ratio of label and presence; ties in the order of the terms."""
-    seen = np.zeros((2, n_terms))
-    for counts, label in zip(examples, labels.tolist(), strict=True):
-        seen[int(label == 1), list(counts)] += 1
-    sizes = np.array([(labels != 1).sum(), (labels == 1).sum()])
-    here, total = seen.sum(0), int(sizes.sum())
-    gain = np.zeros(n_terms)
-    for own, size in zip(seen, sizes.tolist(), strict=True):
-        for part, margin in ((own, here), (size - own, total - here)):
-            some = part > 0
-            gain[some] += 2 * part[some] * np.log(part[some] * total / (margin[some] * size))
-    known = np.flatnonzero((seen.max(0) >= LEAST_EXAMPLES) & (gain >= LEAST_GAIN))
-    return known[np.argsort(-gain[known], kind="stable")][:VOCABULARY]
+class Terms:
+    """Terms of texts as hashes, or as their places among known hashes; a process remembers words, up to a bound."""
+
+    def __init__(self, hashes: np.ndarray | None = None):
+        self.hashes = hashes
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = defaultdict(itertools.count().__next__)
+        self.begins, self.terms = np.zeros(1, np.int64), np.empty(0, np.uint64 if self.hashes is None else np.int64)
+
+    def _learn(self) -> None:
+        fresh = list(itertools.islice(self.number, len(self.begins) - 1, None))
+        if not fresh:
+            return
+        parts = [terms_of(word) for word in fresh]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        found = hash_words([term.encode("utf-8", "surrogatepass") for part in parts for term in part])
+        if self.hashes is not None:
+            place = np.searchsorted(self.hashes, found)
+            place[place == len(self.hashes)] = 0
+            known = self.hashes[place] == found if len(self.hashes) else np.zeros(len(found), bool)
+            sizes = np.add.reduceat(known.astype(np.int64), np.cumsum(sizes) - sizes)
+            found = place[known]
+        self.terms = np.concatenate((self.terms, found))
+        self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(sizes)))
+
+    def counts(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, times) of a group of texts, by text and term."""
+        if len(self.number) > KNOWN_WORDS:
+            self._forget()
+        tallies = [Counter(_WORD.findall(text.lower())) for text in texts]
+        words = [np.fromiter(map(self.number.__getitem__, tally), np.int64, len(tally)) for tally in tallies]
+        self._learn()
+        word = np.concatenate([np.empty(0, np.int64), *words])
+        times = np.fromiter(itertools.chain.from_iterable(tally.values() for tally in tallies), np.int64, len(word))
+        own = np.repeat(np.arange(len(texts)), list(map(len, words)))
+        sizes = self.begins[word + 1] - self.begins[word]
+        term = self.terms[_runs(self.begins[word], sizes)]
+        own, times = np.repeat(own, sizes), np.repeat(times, sizes)
+        if not len(term):
+            return own, term, times
+        if self.hashes is not None:  # one number for text and place sorts faster than the two
+            order = np.argsort(own * len(self.hashes) + term)
+        else:
+            order = np.lexsort((term, own))
+        own, term, times = own[order], term[order], times[order]
+        first = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (own[1:] != own[:-1]))))
+        return own[first], term[first], np.add.reduceat(times, first)
+
+
+def _groups(texts: Sequence[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """Texts in groups of bounded number and length, each with its begin."""
+    begin, chars = 0, 0
+    for at, text in enumerate(texts):
+        chars += len(text or "")
+        if at + 1 - begin >= GROUP or chars >= GROUP_CHARS or at + 1 == len(texts):
+            yield begin, [one or "" for one in texts[begin : at + 1]]
+            begin, chars = at + 1, 0
 
 
 def _runs(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -66,99 +115,148 @@ def _runs(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(begins - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def gains(own: np.ndarray, term: np.ndarray, labels: np.ndarray, n_terms: int) -> np.ndarray:
+    """Log-likelihood ratio of label and presence of each term among the examples."""
+    seen = np.stack([np.bincount(term[labels[own] == label], minlength=n_terms) for label in (0, 1)]).astype(float)
+    sizes = np.array([(labels != 1).sum(), (labels == 1).sum()])
+    here, total = seen.sum(0), int(sizes.sum())
+    gain = np.zeros(n_terms)
+    for part_of, size in zip(seen, sizes.tolist(), strict=True):
+        for part, margin in ((part_of, here), (size - part_of, total - here)):
+            some = part > 0
+            gain[some] += 2 * part[some] * np.log(part[some] * total / (margin[some] * size))
+    return np.maximum(gain, 0)
+
+
 @dataclass
 class Index:
-    """Vectors of the examples by example, and by term for terms of few examples (the tail).
+    """Unit vectors of the examples, in blocks of like ones, as inverted lists with the blocks' greatest values.
 
-    The products of the terms of many examples (the head) are a dense matrix product in single
-    precision, which only chooses candidates; cosines are sums in double precision.
+    A term of many examples (head) is held by block, with its greatest value in each; the others (tail) have postings.
+    The greatest values bound the product of a text with every example of a block: a block whose bound is below the
+    text's last neighbour so far is skipped, for that text. Products in single precision only choose candidates,
+    by a margin for their rounding; cosines are sums in double precision. So the neighbours are exact.
     """
 
-    terms: dict[str, int]
-    idf: np.ndarray
+    weights: np.ndarray
     labels: np.ndarray
     ids: list
     starts: np.ndarray
     rows: np.ndarray
     values: np.ndarray
-    #: Votes of the other examples on each, and what each example weighs in a calibration.
-    seen: np.ndarray | None = None
-    mass: np.ndarray | None = None
+    calibration: np.ndarray | None = None
 
     def __getstate__(self) -> dict:
         return {name: value for name, value in self.__dict__.items() if name[0] != "_"}
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        times = np.fromiter(counts.values(), np.float64, len(counts))
-        return self.weighted(np.fromiter(counts.keys(), np.int64, len(counts)), times)
-
-    def weighted(self, rows: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        values = (1 + np.log(times)) * self.idf[rows]
-        norm = math.sqrt(float(values @ values))
-        return rows, values / norm if norm else values
+    @classmethod
+    def build(cls, own: np.ndarray, term: np.ndarray, times: np.ndarray, labels: np.ndarray, ids: list, weights: np.ndarray) -> Index:
+        """An index of examples given as (example, term, times), in this order, with a weight for each term."""
+        count = len(labels)
+        values = unit_values(own, (1 + np.log(times)) * weights[term], count)
+        order = _like_together(own, term, values, count, len(weights))
+        sizes = np.bincount(own, minlength=count)
+        begins = np.cumsum(sizes) - sizes
+        at = _runs(begins[order], sizes[order])
+        starts = np.concatenate(([0], np.cumsum(sizes[order])))
+        return cls(weights, labels[order], [ids[place] for place in order], starts, term[at].astype(np.int32), values[at])
 
     def _open(self) -> None:
-        """Head matrix and postings of the tail, made once in each process."""
-        place = np.repeat(np.arange(len(self.labels)), np.diff(self.starts))
-        common = np.bincount(self.rows, minlength=len(self.idf)) * HEAD_SHARE > len(self.labels)
+        """Blocks of the head, their greatest values and postings of the tail, made once in each process."""
+        count = len(self.labels)
+        self._blocks = -(-count // BLOCK)
+        place = np.repeat(np.arange(count), np.diff(self.starts))
+        common = np.bincount(self.rows, minlength=len(self.weights)) * HEAD_SHARE > count
         self._column = np.where(common, np.cumsum(common) - 1, -1)
         head = common[self.rows]
-        self._head = np.zeros((int(common.sum()), len(self.labels)), np.float32)
-        self._head[self._column[self.rows[head]], place[head]] = self.values[head]
+        self._head = np.zeros((self._blocks, BLOCK, int(common.sum())), np.float32)
+        self._head.reshape(self._blocks * BLOCK, -1)[place[head], self._column[self.rows[head]]] = self.values[head]
+        self._greatest = np.ascontiguousarray(self._head.max(1).T)
         by_term = np.argsort(self.rows[~head], kind="stable")
         self._places, self._weights = place[~head][by_term], self.values[~head][by_term]
-        tail = np.bincount(self.rows[~head], minlength=len(self.idf))
+        tail = np.bincount(self.rows[~head], minlength=len(self.weights))
         self._begins = np.concatenate(([0], np.cumsum(tail)))
-        self._query = np.zeros(len(self.idf))
-
-    def nearest(self, rows: np.ndarray, values: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the nearest examples with a positive cosine, nearest first."""
-        return self.nearest_of([(rows, values)], [skip])[0]
+        self._query = np.zeros(len(self.weights))
+        self.scanned = np.zeros(2, np.int64)
 
     def nearest_of(
-        self, vectors: Sequence[tuple[np.ndarray, np.ndarray]], skips: Sequence[int] | None = None
+        self, own: np.ndarray, rows: np.ndarray, values: np.ndarray, count: int, skips: Sequence[int] | None = None
     ) -> list[tuple[np.ndarray, np.ndarray]]:
-        """``nearest`` of several vectors; the result is exact."""
+        """Places and cosines of the nearest examples of each of ``count`` texts with a positive cosine, nearest first.
+
+        The texts are unit vectors (text, term, value). ``skips`` names an example for each that is not to be found.
+        """
         if not hasattr(self, "_head"):
             self._open()
-        count = len(self.labels)
-        sizes = [len(rows) for rows, _ in vectors]
-        rows = np.concatenate([rows for rows, _ in vectors])
-        values = np.concatenate([values for _, values in vectors])
-        own = np.repeat(np.arange(len(vectors)), sizes)
+        width = self._blocks * BLOCK
         columns = self._column[rows]
         head = columns >= 0
-        dense = np.zeros((len(vectors), len(self._head)), np.float32)
+        dense = np.zeros((count, self._head.shape[2]), np.float32)
         dense[own[head], columns[head]] = values[head]
-        rough = dense @ self._head
-        rows, values, own = rows[~head], values[~head], own[~head]
-        lengths = self._begins[rows + 1] - self._begins[rows]
-        at = _runs(self._begins[rows], lengths)
-        cells = np.repeat(own * count, lengths) + self._places[at]
-        tail = np.bincount(cells, np.repeat(values, lengths) * self._weights[at], rough.size)
-        rough += tail.reshape(rough.shape).astype(np.float32)
-        if skips is not None:
-            for place, skip in enumerate(skips):
-                if skip >= 0:
-                    rough[place, skip] = 0
-        last = np.partition(rough, -NEIGHBOURS, axis=1)[:, -NEIGHBOURS] if count > NEIGHBOURS else np.zeros(len(vectors))
-        # no product is negative, so rounding changes a cosine by at most this share of it, one way or the other
-        least = last * (1 - 4 * (len(self._head) + 4) * 2.0**-24)
+        lengths = self._begins[rows[~head] + 1] - self._begins[rows[~head]]
+        at = _runs(self._begins[rows[~head]], lengths)
+        cells = np.repeat(own[~head] * width, lengths) + self._places[at]
+        rough = np.bincount(cells, np.repeat(values[~head], lengths) * self._weights[at], count * width).astype(np.float32)
+        rough = rough.reshape(count, self._blocks, BLOCK)
+        # no product is negative, so rounding changes a sum by at most this share of it, one way or the other
+        margin = 4 * (self._head.shape[2] + 4) * 2.0**-24
+        bound = (dense @ self._greatest + rough.max(2)) * (1 + margin)
+        done = np.zeros(bound.shape, bool)
+        skip = np.full(count, -1) if skips is None else np.asarray(skips)
+
+        def multiply(wanted: np.ndarray) -> None:
+            for block in np.flatnonzero(wanted.any(0)):
+                who = np.flatnonzero(wanted[:, block])
+                rough[who, block] += dense[who] @ self._head[block].T
+            done[wanted] = True
+            who = np.flatnonzero(skip >= 0)
+            rough[who, skip[who] // BLOCK, skip[who] % BLOCK] = 0
+
+        first = min(FIRST_BLOCKS, self._blocks)
+        chosen = np.argpartition(-bound, first - 1, axis=1)[:, :first]
+        wanted = np.zeros(bound.shape, bool)
+        np.put_along_axis(wanted, chosen, True, axis=1)
+        multiply(wanted)
+        last = self._last(np.take_along_axis(rough, chosen[:, :, None], axis=1).reshape(count, -1)) * (1 - margin)
+        multiply(~done & (bound > 0) & (bound >= last[:, None]))
+        self.scanned += (int(done.sum()), done.size)
+        # of the examples above the first threshold, those that may be among the nearest of all
+        rough[~done] = 0
+        rough = rough.reshape(count, width)
+        text, found = np.nonzero(rough >= np.maximum(last, 1e-30)[:, None])
+        about = rough[text, found]
+        order = np.lexsort((-about, text))
+        text, found, about = text[order], found[order], about[order]
+        edges = np.searchsorted(text, np.arange(count + 1))
+        least = np.zeros(count)
+        full = np.diff(edges) >= NEIGHBOURS
+        least[full] = about[edges[:-1][full] + NEIGHBOURS - 1] * (1 - margin)
+        kept = about >= least[text]
+        found, edges = found[kept], np.searchsorted(text[kept], np.arange(count + 1))
+        parts = np.searchsorted(own, np.arange(count + 1))
+        lengths = self.starts[found + 1] - self.starts[found]
         out = []
-        for place, (rows, values) in enumerate(vectors):
-            found = np.flatnonzero((rough[place] >= least[place]) & (rough[place] > 0))
-            if not len(found):
-                out.append((found, np.empty(0)))
+        for at in range(count):
+            near = found[edges[at] : edges[at + 1]]
+            if not len(near):
+                out.append((near, np.empty(0)))
                 continue
-            lengths = self.starts[found + 1] - self.starts[found]
-            at = _runs(self.starts[found], lengths)
-            self._query[rows] = values
-            cosines = np.add.reduceat(self.values[at] * self._query[self.rows[at]], np.cumsum(lengths) - lengths)
-            self._query[rows] = 0
-            order = np.lexsort((found, -cosines))[:NEIGHBOURS]
-            out.append((found[order], cosines[order]))
+            part, sizes = slice(parts[at], parts[at + 1]), lengths[edges[at] : edges[at + 1]]
+            cells = _runs(self.starts[near], sizes)
+            self._query[rows[part]] = values[part]
+            cosines = np.add.reduceat(self.values[cells] * self._query[self.rows[cells]], np.cumsum(sizes) - sizes)
+            self._query[rows[part]] = 0
+            order = np.lexsort((near, -cosines))[:NEIGHBOURS]
+            out.append((near[order], cosines[order]))
         return out
 
+    @staticmethod
+    def _last(products: np.ndarray) -> np.ndarray:
+        """The product of the last neighbour of each text."""
+        if products.shape[1] <= NEIGHBOURS:
+            return np.zeros(len(products))
+        return np.partition(products, -NEIGHBOURS, axis=1)[:, -NEIGHBOURS].astype(np.float64)
+
     def votes(self, found: np.ndarray, cosines: np.ndarray) -> tuple[float, float, float, float]:
         """Share of toxic votes, toxic and clean votes, each example weighed by its cosine, and the nearest cosine."""
         if not len(found):
@@ -166,154 +264,148 @@ class Index:
         toxic, both = float(cosines @ self.labels[found]), float(cosines.sum())
         return toxic / both, toxic, both - toxic, float(cosines[0])
 
+    def judge(self, own: np.ndarray, term: np.ndarray, times: np.ndarray, count: int) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """Score of each text, with the places and cosines of its nearest examples."""
+        values = unit_values(own, (1 + np.log(times)) * self.weights[term], count)
+        near = self.nearest_of(own, term, values, count)
+        inputs = np.array([[*self.votes(*one), 1.0] for one in near]).reshape(count, 5)
+        scores = 1 / (1 + np.exp(-np.clip(inputs @ self.calibration, -30, 30)))
+        yield from zip(scores.tolist(), *zip(*near, strict=True), strict=True) if near else ()
 
-@dataclass
-class Model:
-    """Examples over all terms and over the telling terms, with a calibration on the votes of both."""
-
-    whole: Index
-    telling: Index
-    #: Row in ``telling`` of each term of ``whole``, or -1.
-    telling_rows: np.ndarray
-    calibration: np.ndarray
-
-    def judge(self, counts: Sequence[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
-        """Score of each text, with the places and cosines of its nearest examples over all terms."""
-        few = []
-        for rows, times in counts:
-            own = self.telling_rows[rows]
-            few.append(self.telling.weighted(own[own >= 0], times[own >= 0]))
-        near = self.whole.nearest_of([self.whole.weighted(*own) for own in counts])
-        for (found, cosines), told in zip(near, self.telling.nearest_of(few), strict=True):
-            value = self.calibration @ np.array([*self.whole.votes(found, cosines), *self.telling.votes(*told), 1.0])
-            yield 1 / (1 + math.exp(-min(30.0, max(-30.0, value)))), found, cosines
-
-
-def build_index(
-    examples: list[Counter], labels: np.ndarray, ids: list, terms: list[str], idf: np.ndarray, prior: float
-) -> Index:
-    place_of = {term: row for row, term in enumerate(terms)}
-    counts = [{place_of[term]: times for term, times in own.items() if term in place_of} for own in examples]
-    return _index_of(counts, labels, ids, terms, idf, prior)
-
-
-def _index_of(
-    examples: Sequence[dict[int, int]], labels: np.ndarray, ids: list, terms: list[str], idf: np.ndarray, prior: float
-) -> Index:
-    """An index of examples whose counts are by the place in ``terms``."""
-    index = Index({term: row for row, term in enumerate(terms)}, idf, labels, ids, *[None] * 3)
-    vectors = [index.vector(dict(sorted(counts.items()))) for counts in examples]
-    index.starts = np.concatenate(([0], np.cumsum([len(rows) for rows, _ in vectors])))
-    index.rows = np.concatenate([rows for rows, _ in vectors]).astype(np.int32)
-    index.values = np.concatenate([values for _, values in vectors])
-    # each example without its own vote; the classes weigh their true shares
-    index.seen = np.zeros((len(vectors), 4))
-    for begin in range(0, len(vectors), GROUP):
-        group = vectors[begin : begin + GROUP]
-        near = index.nearest_of(group, range(begin, begin + len(group)))
-        index.seen[begin : begin + len(group)] = [index.votes(*one) for one in near]
-    index.mass = np.where(labels == 1, prior / max(1, (labels == 1).sum()), (1 - prior) / max(1, (labels == 0).sum()))
-    return index
-
-
-def _model_of(
-    examples: Sequence[dict[int, int]], labels: np.ndarray, ids: list, terms: list[str], idf: np.ndarray, prior: float
-) -> Model:
-    whole = _index_of(examples, labels, ids, terms, idf, prior)
-    chosen = telling_terms(examples, labels, len(terms))
-    row_of = {at: row for row, at in enumerate(chosen.tolist())}
-    few = [{row_of[at]: times for at, times in counts.items() if at in row_of} for counts in examples]
-    telling = _index_of(few, labels, ids, [terms[at] for at in chosen], idf[chosen], prior)
-    telling_rows = np.full(len(terms), -1)
-    telling_rows[chosen] = np.arange(len(chosen))
-    calibration = logistic(np.hstack((whole.seen, telling.seen)), labels, whole.mass, ridge=1e-4)
-    return Model(whole, telling, telling_rows, calibration)
-
-
-class _Vocabulary:
-    """Terms of words; a task remembers them, up to a bound."""
-
-    def __init__(self, terms: dict[str, int]):
-        self.terms = terms
-        self.known: dict[str, tuple[int, int, int]] = {}
-
-    def _rows(self, words: list[str]) -> list[tuple[int, int, int]]:
-        """Three rows for each word; where it has fewer known terms, the row behind the last one."""
-        found = list(map(self.known.get, words))
-        if None in found:
-            if len(self.known) >= 300_000:
-                self.known.clear()
-            none = len(self.terms)
-            for at, word in enumerate(words):
-                if found[at] is None:
-                    rows = [self.terms.get(term, none) for term in terms_of(word)]
-                    found[at] = self.known[word] = (*rows, *[none] * (3 - len(rows)))
-        return found
-
-    def present(self, text: str) -> list[int]:
-        found = set(chain.from_iterable(self._rows(list(set(_WORD.findall(text.lower()))))))
-        found.discard(len(self.terms))
-        return list(found)
-
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the terms of a text, in order, and how often each occurs."""
-        tally = Counter(_WORD.findall(text.lower()))
-        rows = np.fromiter(chain.from_iterable(self._rows(list(tally))), np.int64, 3 * len(tally))
-        times = np.repeat(np.fromiter(tally.values(), np.int64, len(tally)), 3)
-        order = np.argsort(rows)
-        rows, times = rows[order], times[order]
-        first = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1]))) if len(rows) else np.empty(0, np.int64)
-        rows, times = rows[first], np.add.reduceat(times, first) if len(first) else times
-        known = rows < len(self.terms)
-        return rows[known], times[known]
-
-
-def document_frequencies(documents: DataFrame, terms: list[str]) -> tuple[np.ndarray, int]:
+
+def unit_values(own: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
+    norm = np.sqrt(np.bincount(own, values * values, count))
+    return values / np.where(norm > 0, norm, 1)[own]
+
+
+def _like_together(own: np.ndarray, term: np.ndarray, values: np.ndarray, count: int, n_terms: int, rounds: int = 6) -> np.ndarray:
+    """An order of the examples in which like ones follow each other, by k-means over the terms of many examples.
+
+    It has no part in the result, only in how tight the bounds of the blocks are.
+    """
+    seen = np.bincount(term, minlength=n_terms)
+    common = seen * HEAD_SHARE > count
+    column = np.cumsum(common) - 1
+    head = common[term]
+    points = np.zeros((count, int(common.sum())), np.float32)
+    points[own[head], column[term[head]]] = values[head]
+    if count <= CLUSTERS or not points.shape[1]:
+        return np.arange(count)
+    centres = points[np.linspace(0, count - 1, CLUSTERS).astype(int)]
+    for _ in range(rounds):
+        likeness = points @ centres.T
+        nearest = likeness.argmax(1)
+        centres = np.stack([points[nearest == at].sum(0) if (nearest == at).any() else centres[at] for at in range(CLUSTERS)])
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
+    return np.lexsort((-likeness.max(1), nearest))
+
+
+def document_frequencies(documents: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, int]:
     """Documents that have each term, over all documents, and all documents."""
-    place_of = documents.sparkSession.sparkContext.broadcast({term: row for row, term in enumerate(terms)})
+    shared = documents.sparkSession.sparkContext.broadcast(hashes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, sums, seen = _Vocabulary(place_of.value), np.zeros(len(place_of.value) + 1, np.int64), 0
+        terms, sums, seen = known_terms(shared.value), np.zeros(len(shared.value) + 1, np.int64), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                sums[words.present(text or "")] += 1
-                seen += 1
+            for _, group in _groups(batch.column(0).to_pylist()):
+                sums[:-1] += np.bincount(terms.counts(group)[1], minlength=len(sums) - 1)
+                seen += len(group)
         sums[-1] = seen
         some = np.flatnonzero(sums)
         yield pa.RecordBatch.from_pydict({"row": pa.array(some, pa.int64()), "n": pa.array(sums[some], pa.int64())})
 
     found = documents.select("text").mapInArrow(run, "row bigint, n bigint").groupBy("row").agg(F.sum("n").alias("n"))
-    sums = np.zeros(len(terms) + 1, np.int64)
+    sums = np.zeros(len(hashes) + 1, np.int64)
     table = found.toArrow()
     sums[table.column("row").to_numpy()] = table.column("n").to_numpy()
+    shared.unpersist()
     return sums[:-1], int(sums[-1])
 
 
-def train(documents: DataFrame, labels: DataFrame) -> Model | float:
-    """A model, or the share of label 1 (0.5 without any label) where a class has no example."""
+_known: tuple[bytes, Terms] | None = None
+
+
+def known_terms(hashes: np.ndarray) -> Terms:
+    """The terms of this process: tasks that a worker runs one after the other share what it remembers."""
+    global _known
+    key = hashes[:64].tobytes() + len(hashes).to_bytes(8, "little") + hashes[-64:].tobytes()
+    if _known is None or _known[0] != key:
+        _known = key, Terms(hashes)
+    return _known[1]
+
+
+def _examples(texts: DataFrame) -> pa.Table:
+    """doc_id, label, terms (hashes) and times of the examples: a few numbers for each word, never the texts."""
+    kind = dict(texts.dtypes)["doc_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms()
+        for batch in batches:
+            for begin, group in _groups(batch.column("text").to_pylist()):
+                own, term, times = terms.counts(group)
+                edges = np.searchsorted(own, np.arange(len(group) + 1)).tolist()
+                parts = [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": batch.column("doc_id").slice(begin, len(group)), "label": batch.column("label").slice(begin, len(group)),
+                    "terms": pa.array([term[part].tobytes() for part in parts], pa.binary()),
+                    "times": pa.array([np.minimum(times[part], 65535).astype("<u2").tobytes() for part in parts], pa.binary()),
+                })
+
+    found = texts.mapInArrow(run, f"doc_id {kind}, label int, terms binary, times binary")
+    return found.orderBy("doc_id").toArrow()
+
+
+def train(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Index] | float:
+    """Hashes of the terms and the index, or the share of label 1 (0.5 without any label) where a class has no example.
+
+    The driver gets the terms of the bounded examples as numbers. Frequencies are counted over all documents, and the
+    votes that the score is calibrated on, each example without itself, are found by the cluster.
+    """
     texts, totals = training_rows(
         documents, labels, "toxic", 4, 2, {1: MAX_TOXIC, 0: MAX_CLEAN}, MAX_TRAINING_CHARS
     )
-    rows = texts.orderBy("doc_id").toArrow().to_pydict()
+    rows = _examples(texts)
     prior = totals.get(1, 0) / max(1, sum(totals.values())) if totals else 0.5
-    if len(set(rows["label"])) < 2:
+    label = rows.column("label").to_numpy().astype(np.int64)
+    if len(np.unique(label)) < 2:
         return prior
-    place_of: dict[str, int] = {}
-    examples = [
-        {place_of.setdefault(term, len(place_of)): times for term, times in term_counts(text).items()}
-        for text in rows.pop("text")
-    ]
-    if not place_of:
+    terms = [np.frombuffer(data.as_py(), np.uint64) for data in rows.column("terms")]
+    times = np.concatenate([np.frombuffer(data.as_py(), "<u2") for data in rows.column("times")]).astype(np.int64)
+    own = np.repeat(np.arange(len(terms)), list(map(len, terms)))
+    hashes, place = np.unique(np.concatenate(terms), return_inverse=True)
+    ids = rows.column("doc_id").to_pylist()
+    del terms, rows
+    if not len(hashes):
         return prior
-    terms = sorted(place_of)
-    row_of = np.empty(len(terms), np.int64)
-    row_of[[place_of[term] for term in terms]] = np.arange(len(terms))
-    row_of = row_of.tolist()
-    for place, counts in enumerate(examples):
-        examples[place] = {row_of[at]: times for at, times in counts.items()}
-    seen, total = document_frequencies(documents, terms)
+    seen, total = document_frequencies(documents, hashes)
     idf = np.log((total + 1) / (seen + 1)) + 1e-3
-    return _model_of(examples, np.array(rows["label"], np.int64), rows["doc_id"], terms, idf, prior)
+    index = Index.build(own, place, times, label, ids, idf * (1 + np.sqrt(gains(own, place, label, len(hashes)))))
+    votes = _votes_among(documents.sparkSession, index)
+    mass = np.where(index.labels == 1, prior / (index.labels == 1).sum(), (1 - prior) / (index.labels != 1).sum())
+    index.calibration = logistic(votes, index.labels, mass, ridge=1e-4)
+    return hashes, index
+
+
+def _votes_among(spark: SparkSession, index: Index) -> np.ndarray:
+    """The votes of the other examples on each."""
+    shared = spark.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for batch in batches:
+            chosen = batch.column(0).to_numpy()
+            lengths = index.starts[chosen + 1] - index.starts[chosen]
+            at = _runs(index.starts[chosen], lengths)
+            own = np.repeat(np.arange(len(chosen)), lengths)
+            near = index.nearest_of(own, index.rows[at].astype(np.int64), index.values[at], len(chosen), chosen)
+            yield pa.RecordBatch.from_pydict({
+                "id": batch.column(0), "votes": pa.array([list(index.votes(*one)) for one in near], pa.list_(pa.float64())),
+            })
+
+    with session_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": GROUP}):
+        found = spark.range(len(index.labels)).mapInArrow(run, "id bigint, votes array<double>").orderBy("id").toArrow()
+    shared.unpersist()
+    return np.array(found.column("votes").to_pylist())
 
 
 def toxicity_scores(
@@ -321,35 +413,40 @@ def toxicity_scores(
 ) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (ids of the three nearest examples), nearest.
 
-    Vectors are (1 + log tf) * idf over all terms of the examples, with idf from all documents. ``score`` is
-    the chance of label 1, calibrated on the votes of the nearest examples over all terms and over the terms
-    that tell about the label; ``predicted`` is 1 from 0.3 on. A text without a term of any example,
-    as an empty or null one, has no neighbour and takes the score of no votes. Rows with null or equal ids are
-    scored each on its own; null ids are not held out. With labels of one class every score is that
-    class's share, 0.5 with none. Only ``doc_id`` and ``text`` are read, or with ``keep_row`` all columns, which
-    ``row`` then has beside the score. No row is shuffled.
+    Vectors are (1 + log tf) * idf over all terms of the examples, with idf from all documents, times a weight from
+    the label: 1 + the root of the term's log-likelihood ratio with it among the examples. No term is left out.
+    ``score`` is the chance of label 1, calibrated on the votes of the nearest examples; ``predicted`` is 1 from 0.3 on.
+    A text without a term of any example, as an empty or null one, has no neighbour and takes the score of no votes.
+    Rows with null or equal ids are scored each on its own; null ids are not held out. With labels of one class every
+    score is that class's share, 0.5 with none. Only ``doc_id`` and ``text`` are read, or with ``keep_row`` all columns,
+    which ``row`` then has beside the score. No row is shuffled. The scores are stored, so that texts go
+    to Python in bounded batches.
     """
-    small_batches(spark)
+    with session_settings(spark, BATCHES):
+        return Scratch(spark, "toxicity").write(_scored(spark, documents, labels, keep_row))
+
+
+def _scored(spark: SparkSession, documents: DataFrame, labels: DataFrame, keep_row: bool) -> DataFrame:
     model = train(documents, labels)
     kind = dict(documents.dtypes)["doc_id"]
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        words = None if isinstance(model, float) else _Vocabulary(model.whole.terms)
+        constant = model if isinstance(model, float) else None
+        hashes, index = (None, None) if constant is not None else model
+        terms = None if constant is not None else known_terms(hashes)
         for batch in batches:
             score, evidence, nearest = [], [], []
-            texts = batch.column("text").to_pylist()
-            for begin in range(0, len(texts), GROUP):
-                group = texts[begin : begin + GROUP]
-                if words is None:
-                    score.extend([model] * len(group))
+            for _, group in _groups(batch.column("text").to_pylist()):
+                if constant is not None:
+                    score.extend([constant] * len(group))
                     evidence.extend([[]] * len(group))
                     nearest.extend([0.0] * len(group))
                     continue
-                for value, found, cosines in model.judge([words.counts(text or "") for text in group]):
+                for value, found, cosines in index.judge(*terms.counts(group), len(group)):
                     score.append(value)
-                    evidence.append([model.whole.ids[at] for at in found[:3]])
+                    evidence.append([index.ids[at] for at in found[:3]])
                     nearest.append(float(cosines[0]) if len(cosines) else 0.0)
             id_type = batch.schema.field("doc_id").type
             yield pa.RecordBatch.from_pydict({
