@@ -27,7 +27,7 @@ BLOCK, CLUSTERS = 64, 16
 #: Blocks of the highest bounds that give a text its first threshold.
 FIRST_BLOCKS = 2
 #: Texts that are compared with the examples at once, and letters of a group of texts.
-GROUP, GROUP_CHARS = 256, 1 << 21
+GROUP, GROUP_CHARS = 1000, 1 << 22
 #: Words that a process remembers the terms of.
 KNOWN_WORDS = 300_000
 #: Texts go to Python in batches of so many rows.
@@ -173,7 +173,8 @@ class Index:
         self._head.reshape(self._blocks * BLOCK, -1)[place[head], self._column[self.rows[head]]] = self.values[head]
         self._greatest = np.ascontiguousarray(self._head.max(1).T)
         by_term = np.argsort(self.rows[~head], kind="stable")
-        self._places, self._weights = place[~head][by_term], self.values[~head][by_term]
+        self._places = place[~head][by_term].astype(np.int32)
+        self._weights = self.values[~head][by_term].astype(np.float32)
         tail = np.bincount(self.rows[~head], minlength=len(self.weights))
         self._begins = np.concatenate(([0], np.cumsum(tail)))
         self._query = np.zeros(len(self.weights))
@@ -195,8 +196,13 @@ class Index:
         dense[own[head], columns[head]] = values[head]
         lengths = self._begins[rows[~head] + 1] - self._begins[rows[~head]]
         at = _runs(self._begins[rows[~head]], lengths)
-        cells = np.repeat(own[~head] * width, lengths) + self._places[at]
-        rough = np.bincount(cells, np.repeat(values[~head], lengths) * self._weights[at], count * width).astype(np.float32)
+        edges = np.searchsorted(own[~head], np.arange(count + 1))
+        ends = np.concatenate(([0], np.cumsum(lengths)))[edges]
+        places, products = self._places[at], np.repeat(values[~head].astype(np.float32), lengths) * self._weights[at]
+        rough = np.empty((count, width), np.float32)
+        for text in range(count):  # a row at a time stays in the cache
+            part = slice(ends[text], ends[text + 1])
+            rough[text] = np.bincount(places[part], products[part], width)
         rough = rough.reshape(count, self._blocks, BLOCK)
         # no product is negative, so rounding changes a sum by at most this share of it, one way or the other
         margin = 4 * (self._head.shape[2] + 4) * 2.0**-24
@@ -207,7 +213,10 @@ class Index:
         def multiply(wanted: np.ndarray) -> None:
             for block in np.flatnonzero(wanted.any(0)):
                 who = np.flatnonzero(wanted[:, block])
-                rough[who, block] += dense[who] @ self._head[block].T
+                if 2 * len(who) < count:
+                    rough[who, block] += dense[who] @ self._head[block].T
+                else:  # cheaper than copies of the texts; the others' products are not looked at
+                    rough[:, block] += np.where(wanted[:, block, None], dense @ self._head[block].T, 0)
             done[wanted] = True
             who = np.flatnonzero(skip >= 0)
             rough[who, skip[who] // BLOCK, skip[who] % BLOCK] = 0
