@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -307,7 +308,7 @@ def remove_repeats(
     it also starts anywhere else; ``kept_words`` has the others joined by one space. Null and empty
     texts have no words and an empty ``kept_words``. A text that occurs in two rows is removed whole if
     it has a window. Rows with null or equal ids are rows like any other. Columns of the three names are
-    replaced.
+    replaced, all others stay, whatever their names.
     """
     small_batches(spark)
     own = [name for name in documents.columns if name not in ("n_words", "n_removed", "kept_words")]
@@ -326,6 +327,9 @@ def remove_repeats(
     removed = scratch.write(spans.join(whole, "key", "full_outer"))
 
     width = len(own)
+    taken = {name.lower() for name in own}
+    key, *edges = (next(n for k in itertools.count(2) if (n := name + "_" * k) not in taken) for name in ("key", "begins", "ends", "copied"))
+    removed = removed.select(*[F.col(name).alias(free) for name, free in zip(("key", "begins", "ends", "copied"), (key, *edges), strict=True)])
     schema = documents.schema
     nested = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
 
@@ -334,7 +338,7 @@ def remove_repeats(
         for batch in batches:
             found = [text_key((text or "").encode("utf-8").split()) for text in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.binary())], names=[*own, "__key"]
+                [*batch.columns, pa.array(found, pa.binary())], names=[*own, key]
             )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,8 +369,8 @@ def remove_repeats(
             )
 
     joined = (
-        documents.mapInArrow(keyed, f"{nested}, `__key` binary")
-        .join(removed.withColumnRenamed("key", "__key"), "__key", "left")
-        .select(*[F.col(f"`{name}`") for name in own], "begins", "ends", "copied")
+        documents.mapInArrow(keyed, f"{nested}, `{key}` binary")
+        .join(removed, key, "left")
+        .select(*[F.col(f"`{name}`") for name in own], *edges)
     )
     return joined.mapInArrow(cut, f"{nested}, n_words bigint, n_removed bigint, kept_words string")
