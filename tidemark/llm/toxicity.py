@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, crc_fold, hash_words
+from tidemark.llm.common import crc_fold, hash_words, small_batches
 from tidemark.llm.crf import logistic, training_rows
 from tidemark.session import session_settings
 
@@ -30,8 +30,6 @@ FIRST_BLOCKS = 2
 GROUP, GROUP_CHARS = 256, 1 << 21
 #: Words that a process remembers the terms of.
 KNOWN_WORDS = 300_000
-#: Texts go to Python in batches of so many rows.
-BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000}
 _WORD = re.compile(r"\w+")
 
 
@@ -428,14 +426,9 @@ def toxicity_scores(
     A text without a term of any example, as an empty or null one, has no neighbour and takes the score of no votes.
     Rows with null or equal ids are scored each on its own; null ids are not held out. With labels of one class every
     score is that class's share, 0.5 with none. Only ``doc_id`` and ``text`` are read, or with ``keep_row`` all columns,
-    which ``row`` then has beside the score. No row is shuffled. The scores are stored, so that texts go
-    to Python in bounded batches.
+    which ``row`` then has beside the score. No row is shuffled.
     """
-    with session_settings(spark, BATCHES):
-        return Scratch(spark, "toxicity").write(_scored(spark, documents, labels, keep_row))
-
-
-def _scored(spark: SparkSession, documents: DataFrame, labels: DataFrame, keep_row: bool) -> DataFrame:
+    small_batches(spark)
     model = train(documents, labels)
     kind = dict(documents.dtypes)["doc_id"]
     shared = spark.sparkContext.broadcast(model)
