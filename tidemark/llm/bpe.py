@@ -1,4 +1,4 @@
-"""Byte-pair encoding through a table of distinct words, and decoding through a join of ids with pieces.
+"""Byte-pair encoding through a table of distinct words, and decoding by looking ids up in the vocabulary.
 
 The tokenizer splits a text into words and encodes each on its own, so a word has the same ids wherever
 it stands. Words are split where the texts are; each distinct word of the corpus is encoded once.
