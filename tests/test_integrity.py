@@ -1,10 +1,12 @@
+import gzip
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions import cells, json_text
-from tidemark.operators import checks, integrity, multiset
+from tidemark.functions import cells, json_text, sha256_state
+from tidemark.operators import checks, integrity, long_digests, multiset
 from tidemark.sources import exports, files, tables
 
 LEGAL = {
@@ -190,6 +192,44 @@ def test_file_digests_and_lock(spark, tmp_path, rows):
     assert "content" not in files.list_files(spark, f"{tmp_path}/in").columns
 
 
+def test_digests_of_files_that_no_task_reads_whole(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    (folder / "a b%20[c]").mkdir(parents=True)
+    noise = random.Random(5).randbytes
+    bodies = {
+        "lines": b"".join(noise(30) + b"\n" for _ in range(4000)), "unclosed": noise(100_000) + b"x", "feeds": b"\n" * 50_000 + b"\r\n\0",
+        "marked": b"\xef\xbb\xbf" + noise(70_000) + b"y", "marked_line": b"\xef\xbb\xbf" + noise(70_000) + b"\n", "one_line": b"z" * 90_000,
+        "double": b"\xef\xbb\xbf" * 9_000, "small": b"alpha\n", "packed.gz": gzip.compress(noise(60_000)),
+    }
+    for name, body in bodies.items():
+        (folder / "a b%20[c]" / name).write_bytes(body)
+    longest = []
+    taken_up = long_digests._taken_up
+
+    def watched(states, left):
+        longest.append(sum(left.values()))
+        return taken_up(states, left)
+
+    monkeypatch.setattr(long_digests, "_taken_up", watched)
+    monkeypatch.setattr(long_digests, "PIECE", 777)
+    found = files.digests(spark, str(folder), stretch=20_000)
+    plain = integrity.file_digests(files.read_bytes(spark, str(folder)))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+    observed = {row["path"].rsplit("/", 1)[1]: (row["bytes"], row["sha256"]) for row in found.collect()}
+    assert observed == {name: (len(body), hashlib.sha256(body).hexdigest()) for name, body in bodies.items()}
+    assert len(longest) >= 5 and longest == sorted(longest, reverse=True)  # one job for each stretch, each with less to read
+
+
+def test_a_hash_is_taken_up_by_its_state():
+    body = bytes(range(256)) * 41
+    for cut in (0, 1, 63, 64, 65, 1000, len(body)):
+        first = sha256_state.Sha256()
+        first.update(body[:cut])
+        second = sha256_state.Sha256(first.state())
+        second.update(body[cut:])
+        assert second.hexdigest() == hashlib.sha256(body).hexdigest()
+
+
 def test_manifest_digest_ignores_order_and_sees_changes(spark):
     frame = spark.range(500).selectExpr("concat('f', id) name", "id bytes", "sha2(cast(id as string), 256) sha256")
     digest = integrity.manifest_digest(frame).first()[0]

@@ -9,11 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import sha256_state
 from tidemark.functions.cells import logical_type
-from tidemark.operators import csv_scan
+from tidemark.operators import csv_scan, integrity, long_digests
 from tidemark.operators.checks import ContractError
 from tidemark.operators.cleaning import union_normalised
 
+#: Names of files that Spark's line reader gives the content of, not the bytes.
+DECOMPRESSED = r"(?i)\.(gz|gzip|bz2|deflate|lz4|snappy|zst|zstd|lzo|lzo_deflate|passthrough)$"
+
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     """One Parquet frame over an explicit, ordered list of files."""
@@ -140,6 +144,28 @@ def read_bytes(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path)
 
 
+def digests(spark: SparkSession, path: str, glob: str | None = None, stretch: int = long_digests.STRETCH) -> DataFrame:
+    """(path, bytes, sha256) of the files below a folder that hold a byte, of any size.
+
+    Files of up to ``stretch`` bytes are read whole, larger ones by one task after the other (``long_digests``), when the
+    frame is made. Files that the line reader decompresses are always read whole, so they must stay under 2 GB.
+    """
+    contents = read_bytes(spark, path, glob)
+    if not sha256_state.available():
+        return integrity.file_digests(contents)
+    # conditions on the index of the files alone, so no other file is opened
+    large = (F.col("_metadata.file_size") > stretch) & ~F.col("_metadata.file_name").rlike(DECOMPRESSED)
+    whole = integrity.file_digests(contents.where(~large))
+    listed = contents.where(large).select("path", "length", _uri().alias("uri")).collect()
+    if not listed:
+        return whole
+    sizes = {row["uri"]: row["length"] for row in listed}
+    lines = raw_lines(spark, path, glob).where((F.col("size") > stretch) & ~F.col("path").rlike(DECOMPRESSED))
+    found = long_digests.long_digests(lines, sizes, stretch)
+    rows = [(row["path"], row["length"], found[row["uri"]]) for row in listed]
+    return whole.unionByName(spark.createDataFrame(rows, "path string, bytes bigint, sha256 string"))
+
+
 def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """(path, bytes, modified_at) per file below a folder; contents are not read."""
     return read_bytes(spark, path, glob).select(
