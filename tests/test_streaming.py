@@ -2,6 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.queries import QUERIES, streaming
 from tidemark.streaming import cdc, ingest, windows
 
 T0 = datetime.datetime(2026, 1, 1)
@@ -91,3 +92,24 @@ def test_folding_some_batches_gives_the_same_state(spark, tmp_path, rows):
     whole = cdc.current_state(base, read(), ["invoice"], ["quantity"])
     folded = cdc.fold(base, read().where("batch_id <= 1"), ["invoice"], ["quantity"], f"{tmp_path}/base")
     assert rows(cdc.current_state(folded, read(1), ["invoice"], ["quantity"])) == rows(whole)
+
+
+def test_deliveries_land_compressed_in_files_of_a_bounded_size(spark, tmp_path, rows, monkeypatch):
+    moment = datetime.datetime(2026, 1, 1)
+    lines = [
+        (key, 1, flag, float(place), float(100 * place), moment + datetime.timedelta(days=place), key, key)
+        for key in range(300)
+        for place, flag in enumerate(["A", "N", None if key % 2 else "R"])
+    ]
+    kinds = "l_orderkey long, l_linenumber int, l_returnflag string, l_quantity double, l_extendedprice double, "
+    frame = spark.createDataFrame(lines, kinds + "l_shipdate timestamp, l_partkey long, l_suppkey long")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(streaming, "DELIVERED_PER_FILE", 100)
+    monkeypatch.setattr(streaming, "shared_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    state = rows(QUERIES["cdc_fold"](spark, str(tmp_path)))
+    assert state == sorted(((key, 1, 2.0, 0.0) for key in range(300)), key=lambda row: tuple(map(str, row)))
+    landed = [path for path in (tmp_path / "fold" / "landing").iterdir() if path.name.startswith("part-")]
+    assert len(landed) == 9 and all(path.name.endswith(".json.gz") for path in landed)
+    assert {spark.read.json(str(path)).count() for path in landed} == {100}
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before

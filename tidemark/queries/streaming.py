@@ -8,7 +8,7 @@ from tidemark.functions.values import utc_wall
 from tidemark.operators import events
 from tidemark.queries.events import FLAT_SQL, NESTED, event_lines
 from tidemark.queries.registry import query, table
-from tidemark.session import shared_folder
+from tidemark.session import session_settings, shared_folder
 from tidemark.sources import tables
 from tidemark.streaming import cdc, ingest, windows
 
@@ -99,6 +99,9 @@ CDC_KEYS = ["l_orderkey", "l_linenumber"]
 CDC_SET = ["l_quantity", "l_extendedprice"]
 CDC_ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
 DELIVERIES = ["A", "N", "R"]
+# Compressed files cannot be split: one has so many changes, and a task so many bytes of them.
+DELIVERED_PER_FILE = 500_000
+DELIVERED_PER_TASK = 16 << 20
 
 DELIVERED_SQL = """
     SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -109,7 +112,10 @@ DELIVERED_SQL = """
 
 
 def _deliver(spark, folder, base):
-    """Three deliveries of changes, each drained into the change log; the last one is replayed."""
+    """Three deliveries of changes, each drained into the change log; the last one is replayed.
+
+    Deliveries land as compressed JSON lines, in files of a bounded size.
+    """
     columns = [*CDC_KEYS, *CDC_SET, *CDC_ORDER]
     lines = table(spark, folder, "lineitem")
     schema = lines.select(*columns).schema
@@ -124,9 +130,11 @@ def _deliver(spark, folder, base):
     for number, name in enumerate(DELIVERIES):
         # the last delivery brings whatever the others do not
         chosen = flag == name if number < len(DELIVERIES) - 1 else ~flag.isin(*DELIVERIES[:-1])
-        lines.where(chosen).select(*columns).write.mode("append").json(f"{base}/landing")
+        landed = lines.where(chosen).select(*columns).write.mode("append")
+        landed.option("maxRecordsPerFile", DELIVERED_PER_FILE).json(f"{base}/landing", compression="gzip")
         stream = ingest.file_stream(spark, f"{base}/landing", schema, "json")
-        ingest.drain_batches(stream, write_twice, f"{base}/checkpoint")
+        with session_settings(spark, {"spark.sql.files.maxPartitionBytes": DELIVERED_PER_TASK}):
+            ingest.drain_batches(stream, write_twice, f"{base}/checkpoint")
     return cdc.read_changes(spark, f"{base}/log", schema)
 
 
