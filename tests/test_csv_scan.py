@@ -4,6 +4,7 @@ import gzip
 import random
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tidemark.operators import csv_scan, integrity
@@ -133,3 +134,18 @@ def test_marks_are_found_in_the_bytes_too(spark, folder):
     path, _ = folder
     found = integrity.bom_violations(files.read_bytes(spark, str(path), "mark.csv"))
     assert found.count() == 1
+
+
+def test_headers_are_picked_without_a_sort(spark, tmp_path, rows):
+    bodies = {
+        "a.csv": b"id,name\n" + b"1,a\n" * 200, "b.csv": b"id,name\r\n2,b\r\n", "c.csv": b"\xef\xbb\xbfid,name\n", "d.csv": b"\n0,first\n",
+        "e.csv": b"id", "f.csv": b"", "z.csv.gz": gzip.compress(b"packed\nid,name\n"),
+    }
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    expected = [("a.csv", "id,name"), ("b.csv", "id,name"), ("c.csv", "id,name"), ("d.csv", ""), ("e.csv", "id"), ("f.csv", None), ("z.csv.gz", "packed")]
+    for settings in ({}, SMALL_SPLITS, {"spark.sql.execution.arrow.maxRecordsPerBatch": 2}):
+        with session_settings(spark, settings):
+            headers = files.csv_headers(spark, str(tmp_path))
+            assert rows(headers.select(F.regexp_extract("path", "[^/]+$", 0), "header")) == expected
+            assert "SortAggregate" not in plan_of(headers)

@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import astuple, dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -197,6 +198,26 @@ def split_parts(lines: DataFrame, width: int, delimiter: str = ",") -> DataFrame
     return lines.select("path", "size", "start", F.col("line").cast("binary").alias("line")).mapInArrow(run, schema)
 
 
+def first_lines(lines: DataFrame) -> DataFrame:
+    """(path, line) of each file's first line, as bytes; ``lines`` is ``files.raw_lines``, of first splits alone.
+
+    A split streams through its task; one batch of lines is in memory.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            runs = pc.run_end_encode(batch.column("path"))
+            names, begins = runs.values.to_pylist(), [0, *runs.run_ends.to_pylist()[:-1]]
+            begun = begins[1:] if names[0] == last else begins
+            last = names[-1]
+            yield batch.take(pa.array(begun, pa.int64()))
+
+    return lines.select("path", F.col("line").cast("binary").alias("line")).mapInArrow(run, "path string, line binary")
+
+
 def file_violations(
     lines: DataFrame, listing: DataFrame, names: Sequence[str], delimiter: str = ",", compressed: DataFrame | None = None
 ) -> DataFrame:
