@@ -2,9 +2,11 @@ import datetime
 import re
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tidemark.operators import changes, multiset, versions
+from tidemark.queries import QUERIES
 from tidemark.session import session_settings
 
 RETAIL = "invoice string, stock_code string, quantity int, price double"
@@ -259,3 +261,22 @@ def test_long_histories_are_those_of_short_ones(spark, rows, monkeypatch):
     monkeypatch.setattr(versions, "SHORT_LOG", 0)
     assert short == (rows(versions.branch_ancestry(log, refs)), rows(versions.kept_above(log, kept)))
     assert (2, 3) in short[1] and ("audit", 1) in short[0] and ("odd", 99) in short[0]
+
+
+def test_a_replayed_merge_reads_stored_results(spark, tmp_path, monkeypatch):
+    orders = [(key, key % 7, "FOP"[key % 3], 10.0 * key) for key in range(90)]
+    frame = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double")
+    frame.write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr("tidemark.queries.changes.shared_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting, None)
+    report = QUERIES["merge_replay"](spark, str(tmp_path))
+    assert spark.conf.get(setting, None) == before
+    # no task that counts the rows sorts them for a join as well
+    assert "Join" not in plan_of(report)
+    assert tuple(report.first()) == (0, 0, True)
+    once = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/merged-once").collect()))
+    changed = [(key, customer, status, price + 100 * (status == "F")) for key, customer, status, price in orders]
+    added = [(key + 1_000_000_000_000, customer, "N", price) for key, customer, status, price in orders if status == "P"]
+    assert once == sorted(changed + added)
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/merged-twice").collect())) == once

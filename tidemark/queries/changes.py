@@ -8,9 +8,12 @@ from tidemark.operators import changes
 from tidemark.operators.multiset import multiset_report
 from tidemark.queries.quality import FACTS_SQL, monthly_facts
 from tidemark.queries.registry import query, table
+from tidemark.session import session_settings, shared_folder
 
 TARGET = "o_orderkey, o_custkey, o_orderstatus, o_totalprice"
 NEW_KEYS = 1_000_000_000_000
+# Shuffled bytes that a join of a stored merge gives to one task, where its partitions are not larger anyway.
+SORTED_BYTES = 16 << 20
 
 # Changed rows: every fulfilled order costs more and changes hands; every pending one appears under a new key.
 SOURCE_SQL = f"""
@@ -56,6 +59,15 @@ def merge_partial(spark, folder):
     return changes.merge_upsert(target, source, ["o_orderkey"], ["o_totalprice"])
 
 
+def _stored(merged, purpose):
+    """The rows of a merge, written by tasks that sort ``SORTED_BYTES`` of shuffled rows at most, and read back."""
+    spark = merged.sparkSession
+    path = shared_folder(spark, purpose)
+    with session_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": SORTED_BYTES}):
+        merged.write.parquet(path)
+    return spark.read.schema(merged.schema).parquet(path)
+
+
 @query(
     "merge_replay",
     f"""
@@ -67,10 +79,10 @@ def merge_partial(spark, folder):
     """,
 )
 def merge_replay(spark, folder):
-    """The same merge applied twice changes nothing more."""
+    """The same merge applied twice changes nothing more. Each result is stored, as a table is, before it is read."""
     target, source = _target_and_source(spark, folder)
-    once = changes.merge_upsert(target, source, ["o_orderkey"], ["o_totalprice"])
-    twice = changes.merge_upsert(once, source, ["o_orderkey"], ["o_totalprice"])
+    once = _stored(changes.merge_upsert(target, source, ["o_orderkey"], ["o_totalprice"]), "merged-once")
+    twice = _stored(changes.merge_upsert(once, source, ["o_orderkey"], ["o_totalprice"]), "merged-twice")
     return multiset_report(once, twice)
 
 
