@@ -290,6 +290,13 @@ def test_verified_replace(spark, tmp_path):
         exports.replace_verified(frame.limit(0), "verified.t", {"plan": "1"})
 
 
+def test_files_left_by_a_failed_write_are_in_no_ones_way(spark, tmp_path, rows):
+    tables.ensure_namespaces(spark, ["left_over"], str(tmp_path))
+    (tmp_path / "left_over" / "t__next" / "_temporary").mkdir(parents=True)
+    (tmp_path / "left_over" / "t__next" / "_temporary" / "part-0").write_bytes(b"x")
+    assert rows(exports.replace_verified(spark.range(2), "left_over.t", {"plan": "1"})) == [(0,), (1,)]
+
+
 def test_a_refused_table_is_never_published(spark, tmp_path, rows, monkeypatch):
     """Emptiness, changed rows, changed properties, the caller's audit, a failed write: the old table is intact."""
     tables.ensure_namespaces(spark, ["audited"], str(tmp_path))

@@ -44,6 +44,7 @@ def replace_table(
     spark = frame.sparkSession
     following, previous = f"{name}__next", f"{name}__previous"
     drop_table(spark, following)
+    _clear_location(spark, following)
     try:
         frame.write.format("parquet").saveAsTable(following)
         if properties:
@@ -66,6 +67,18 @@ def replace_table(
     drop_table(spark, previous)
 
 
+def _clear_location(spark: SparkSession, name: str) -> None:
+    """Delete what a task of a failed write left, after the table was dropped, where the table of that name will be."""
+    if spark.catalog.tableExists(name):
+        return
+    database, _, table = name.rpartition(".")
+    if spark.conf.get("spark.sql.caseSensitive") != "true":
+        table = table.lower()
+    location = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    path = spark._jvm.org.apache.hadoop.fs.Path(location, table)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _rename(spark: SparkSession, name: str, to: str) -> None:
     spark.sql(f"ALTER TABLE {_quoted(name)} RENAME TO {_quoted(to)}")
 
