@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import random
 from collections import defaultdict
 
@@ -244,6 +245,31 @@ def test_encoder_forgets_words_and_splits_batches(corpus):  # noqa: F811
     assert found == 2 * [LIBRARY.encode(text, add_special_tokens=False).ids for text in texts]
 
 
+def test_pieces_are_looked_up_once_in_a_group(corpus):  # noqa: F811
+    texts = ["", " \t\n", "a A  b", "x\x0by \x00 \x85 \u3000z", "a<|endoftext|>b", *(row[1] or "" for row in corpus)]
+    split = bpe.splitter(DEFINITION)
+    order, distinct, place, sizes = split.distinct_pieces(texts)
+    assert len(set(distinct)) == len(distinct) and sorted(order) == list(range(len(texts)))
+    edges = np.cumsum([0, *sizes.tolist()])
+    for at, begin, end in zip(order, edges[:-1], edges[1:], strict=True):
+        assert [distinct[one] for one in place[begin:end]] == split.pieces(texts[at])
+
+
+def test_new_words_are_found_without_a_walk_over_the_known():
+    table = {f"w{at}": at for at in range(9)}
+    assert [bpe.newest(table, count) for count in (0, 2)] == [[], ["w7", "w8"]]
+    known = bpe.KnownWords(bpe.word_encoder(DEFINITION))
+    words = ["a", "b\x01é", "\u6f22<", "<|endoftext|>", "a\x7f", "\xad\xa0"]
+    for part in (words[:2], words):
+        ids, sizes = known.ids_of(known.numbers_of(part))
+    plain = json.loads(DEFINITION) | {"normalizer": None, "added_tokens": [], "pre_tokenizer": None}
+    plain["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    library = Tokenizer.from_str(json.dumps(plain))
+    special = {token["content"]: [token["id"]] for token in json.loads(DEFINITION)["added_tokens"]}
+    one = [special.get(word) or library.encode(word, add_special_tokens=False).ids for word in words]
+    assert (ids.tolist(), sizes.tolist()) == (list(itertools.chain.from_iterable(one)), list(map(len, one)))
+
+
 def test_chat_query_keeps_every_row(spark, tmp_path):
     """Equal rows, equal rows without a turn, nulls everywhere: each row is a message, by turn, role and text."""
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "ok"), (1, 1, "assistant", "ok"), (2, None, "assistant", "a")]

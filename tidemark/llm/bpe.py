@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,6 +76,21 @@ class Splitter:
         parts = self.cut.split(text)
         return list(itertools.chain.from_iterable([part] if part in self.special else part.lower().split() for part in parts))
 
+    def distinct_pieces(self, texts: list[str]) -> tuple[list[int], list[str], np.ndarray, np.ndarray]:
+        """The texts' order, their distinct pieces, and for the texts in that order the place of each piece among
+        those and how many pieces each text has.
+
+        Plain texts, whose only white space is ASCII, are cut and their pieces made distinct by Arrow; the others come last.
+        """
+        odd = [at for at, text in enumerate(texts) if self.cut is not None and "<" in text or self.other.search(text)]
+        plain = sorted(set(range(len(texts))).difference(odd))
+        cut = pc.ascii_split_whitespace(pa.array([texts[at].lower().strip() or None for at in plain], pa.string()))
+        rest = [self.pieces(texts[at]) for at in odd]
+        found = pa.concat_arrays([cut.flatten(), pa.array(itertools.chain.from_iterable(rest), pa.string())]).dictionary_encode()
+        sizes = np.concatenate((pc.fill_null(pc.list_value_length(cut), 0).to_numpy(), np.array(list(map(len, rest)), np.int32)))
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return plain + odd, distinct, found.indices.to_numpy(), sizes
+
     def words_of(self, piece: str) -> list[str]:
         """The words of a piece; a word is its only one."""
         if piece in self.special or self.other.search(piece):
@@ -92,32 +108,29 @@ class WordEncoder:
     """Ids of words by the library's own model: all ids one after the other, and how many each word has."""
 
     def __init__(self, definition: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         parts = json.loads(definition)
         self.special = {token["content"]: token["id"] for token in parts["added_tokens"]}
         parts |= {"normalizer": None, "added_tokens": [], "post_processor": None, "truncation": None, "padding": None}
         self.library = Tokenizer.from_str(json.dumps(parts))
-        lines = pre_tokenizers.Split("\n", "removed")  # a word has no line break
-        self.library.pre_tokenizer = pre_tokenizers.Sequence(
-            [lines, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
-
-    def __call__(self, words: list[str], group: int = 1000) -> tuple[np.ndarray, np.ndarray]:
-        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-        for begin in range(0, len(words), group):  # one at a time: the library's results are far larger than the ids
-            encoding = self.library.encode("\n".join(words[begin : begin + group]), add_special_tokens=False)
-            part = words[begin : begin + group]
-            own = np.array(encoding.ids, np.uint32)
-            size = np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(part))
-            for at, word in enumerate(part) if not self.special.keys().isdisjoint(part) else ():
-                if word in self.special:
-                    edge = int(size[:at].sum())
-                    own = np.concatenate((own[:edge], np.array([self.special[word]], np.uint32), own[edge + size[at] :]))
-                    size[at] = 1
-            ids.append(own)
-            sizes.append(size)
-        return np.concatenate(ids), np.concatenate(sizes)
+        self.model = self.library.model
+        # the byte level stands for each byte by a character: printable ones of Latin-1 for themselves
+        same = [code for code in range(256) if 33 <= code <= 126 or 161 <= code <= 172 or code >= 174]
+        others = (code for code in range(256) if code not in set(same))
+        self.characters = {code: 256 + at for at, code in enumerate(others)}
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokenize, special, found = self.model.tokenize, self.special, []
+        for word in words:
+            if word in special:
+                found.append([special[word]])
+            else:
+                if not word.isascii() or not word.isprintable() or " " in word:
+                    word = word.encode().decode("latin-1").translate(self.characters)
+                found.append([token.id for token in tokenize(word)])
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
 
 def gather(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -126,6 +139,11 @@ def gather(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray
     return ids[np.repeat(begins - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
+def newest(table: dict[str, int], count: int) -> list[str]:
+    """The last ``count`` keys of a table in their order, without a walk over all others."""
+    return list(itertools.islice(reversed(table), count))[::-1]
+
+
 @functools.lru_cache(maxsize=2)
 def splitter(definition: str) -> Splitter:
     return Splitter(definition)
@@ -342,17 +360,22 @@ class KnownWords:
     def numbers_of(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
 
-    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words, one word after the other, and how many each has."""
+    def ids_of(self, numbers: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one word after the other, and how many each has.
+
+        With ``times`` the numbers are distinct, and a word counts as used so many times.
+        """
         if len(self.sizes) < len(self.table):
-            fresh = list(itertools.islice(self.table, len(self.sizes), None))
+            fresh = newest(self.table, len(self.table) - len(self.sizes))
             ids, sizes = self.encode(fresh)
             self.chars += sum(map(len, fresh))
+            self.begins = np.concatenate((self.begins, len(self.ids) + np.cumsum(sizes) - sizes))
             self.ids, self.sizes = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
-            self.begins = np.cumsum(self.sizes) - self.sizes
-        used = np.bincount(numbers, minlength=len(self.table))
-        used[: len(self.used)] += self.used
-        self.used = used
+            self.used = np.concatenate((self.used, np.zeros(len(fresh), np.int64)))
+        if times is None:
+            self.used += np.bincount(numbers, minlength=len(self.used))
+        else:
+            self.used[numbers] += times
         sizes = self.sizes[numbers]
         return gather(self.ids, self.begins[numbers], sizes), sizes
 
@@ -394,11 +417,13 @@ class CachedEncoder:
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
         self.known.forget(self.most_pieces, self.most_chars)
-        numbers = [self.known.numbers_of(self.split.pieces(text)) for text in texts]
-        ids, sizes = self.known.ids_of(np.concatenate(numbers))
-        words = np.cumsum([0, *map(len, numbers)])
-        edges = np.concatenate(([0], np.cumsum(sizes)))[words]
-        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        order, pieces, place, counts = self.split.distinct_pieces(texts)
+        ids, sizes = self.known.ids_of(self.known.numbers_of(pieces), np.bincount(place, minlength=len(pieces)))
+        begins, sizes = (np.cumsum(sizes) - sizes)[place], sizes[place]
+        ids = gather(ids, begins, sizes)
+        edges = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
+        found = dict(zip(order, zip(edges[:-1], edges[1:], strict=True), strict=True))
+        return [ids[slice(*found[at])] for at in range(len(texts))]
 
 
 @functools.lru_cache(maxsize=1)
