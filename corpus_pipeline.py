@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import ngram_join, packing, quality_rules, supermers, toxicity
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, bitmap_of, may_be_in
 from tidemark.llm.registry import table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -29,6 +29,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     The row with the least id stays, null ids being last; of several with that id the one with the least
     md5 of its columns. A row goes for its own text: another text of the same id is of another group.
+    Only rows that may go or have copies meet the list of those; a bitmap of fixed size tells which, so the others' texts
+    are not shuffled. Where it fills up more rows meet the list, with the same result.
     """
     scratch = Scratch(spark, "one-row")
     rows = docs.withColumn("row_key", F.md5(F.to_json(F.struct(*docs.columns))))
@@ -40,9 +42,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     first = copies.groupBy("component_key").agg(F.min(order)["row_key"].alias("first"))
     stays = F.col("row_key") == F.col("first")
     touched = copies.join(first, "component_key").filter(~stays | (F.col("n") > 1)).select("row_key", stays.alias("stays"))
-    marked = rows.join(scratch.write(touched), "row_key", "left")
-    one = marked.filter("stays").dropDuplicates(["row_key"])
-    return marked.filter("stays IS NULL").unionByName(one).select(*docs.columns)
+    touched = scratch.write(touched)
+    bitmap = bitmap_of(touched.select(F.xxhash64("row_key").alias("hash")), "hash", ngram_join.BITMAP_BITS)
+    marked = rows.withColumn("listed", may_be_in(spark, bitmap, F.xxhash64("row_key")))
+    listed = scratch.write(marked.filter("listed").join(touched, "row_key", "left"))
+    one = listed.filter("stays").dropDuplicates(["row_key"])
+    alone = marked.filter("NOT listed").select(*docs.columns)
+    return alone.unionByName(listed.filter("stays IS NULL").unionByName(one).select(*docs.columns))
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

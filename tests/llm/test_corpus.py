@@ -147,6 +147,23 @@ def test_removed_passages_equal_brute_force(spark, documents, corpus, bucket_str
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_words) for r in rows) == brute_removed(corpus)
 
 
+@pytest.mark.parametrize("bits", [6, 20])
+def test_only_texts_that_may_change_are_joined(spark, documents, corpus, monkeypatch, bits):
+    """The others are not shuffled; with a bitmap that is full all are joined, and the rows are the same."""
+    docs = documents.select(*corpus_pipeline.COLUMNS)
+    before = Counter(map(tuple, corpus_pipeline.near_duplicate_stage(spark, docs, SMALL).collect()))
+    monkeypatch.setattr(supermers, "TEXT_BITS", bits)
+    monkeypatch.setattr(ngram_join, "BITMAP_BITS", bits)
+    found = supermers.remove_repeats(spark, docs)
+    branches = found._jdf.queryExecution().optimizedPlan().children()
+    assert [("Join" in branches.apply(at).toString()) for at in range(branches.size())] == [False, True]
+    rows = found.select("doc_id", "n_words", "n_removed", "kept_words").collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_words) for r in rows) == brute_removed(corpus)
+    stays = corpus_pipeline.near_duplicate_stage(spark, docs, SMALL)
+    assert "Join" not in stays._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter(map(tuple, stays.collect())) == before
+
+
 def test_no_passages_in_nothing(spark, no_documents):
     assert supermers.remove_repeats(spark, no_documents).collect() == []
 

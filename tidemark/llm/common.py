@@ -167,6 +167,17 @@ def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bitmap[(cells >> np.uint64(6)).astype(np.int64)] >> (cells & np.uint64(63))) & np.uint64(1) == 1
 
 
+def may_be_in(spark: SparkSession, bitmap: np.ndarray, value: Column) -> Column:
+    """Whether the cell of a 64-bit value, never null, is set; only that value goes to Python."""
+    shared = spark.sparkContext.broadcast(bitmap)
+
+    @F.arrow_udf("boolean")
+    def look(values: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(shared.value, values.to_numpy().view(np.uint64)), pa.bool_())
+
+    return look(value)
+
+
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64, copy=False).view(np.int64))
 

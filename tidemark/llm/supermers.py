@@ -17,6 +17,7 @@ from tidemark.llm.common import (
     bitmap_of,
     hash_windows,
     in_bitmap,
+    key_halves,
     signed,
     small_batches,
     word_groups,
@@ -26,6 +27,8 @@ from tidemark.llm.common import (
 WINDOW, MINIMISER = 35, 8
 #: Cells (a power of two) of the bitmap of minimisers that occur more than once: 2^27 bits are 16 MB.
 BITMAP_BITS = 27
+#: Cells (a power of two) of the bitmap of texts that lose words: 2^25 bits are 4 MB.
+TEXT_BITS = 25
 #: Strings of one minimiser that a task sorts; the windows of larger buckets are dealt out one by one.
 BUCKET_STRINGS = 20_000
 
@@ -309,6 +312,8 @@ def remove_repeats(
     texts have no words and an empty ``kept_words``. A text that occurs in two rows is removed whole if
     it has a window. Rows with null or equal ids are rows like any other. Columns of the three names are
     replaced, all others stay, whatever their names.
+
+    A bitmap of fixed size tells which texts may lose words. Only those meet their spans; the others are not shuffled.
     """
     small_batches(spark)
     own = [name for name in documents.columns if name not in ("n_words", "n_removed", "kept_words")]
@@ -326,6 +331,13 @@ def remove_repeats(
     whole = copies.select("key", F.lit(True).alias("copied"))
     removed = scratch.write(spans.join(whole, "key", "full_outer"))
 
+    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"half": signed(key_halves(batch.column(0).to_pylist()))})
+
+    bitmap = bitmap_of(removed.select("key").mapInArrow(halves, "half bigint"), "half", TEXT_BITS)
+    shared = spark.sparkContext.broadcast(bitmap)
+
     width = len(own)
     taken = {name.lower() for name in own}
     key, *edges = (next(n for k in itertools.count(2) if (n := name + "_" * k) not in taken) for name in ("key", "begins", "ends", "copied"))
@@ -333,13 +345,29 @@ def remove_repeats(
     schema = documents.schema
     nested = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
 
+    def met(batch: pa.RecordBatch) -> tuple[list[list[bytes]], list[bytes], np.ndarray]:
+        """Words and key of each text, and whether it may lose words."""
+        words = [(text or "").encode("utf-8").split() for text in batch.column(own.index("text")).to_pylist()]
+        keys = list(map(text_key, words))
+        return words, keys, in_bitmap(shared.value, key_halves(keys))
+
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = own.index("text")
         for batch in batches:
-            found = [text_key((text or "").encode("utf-8").split()) for text in batch.column(at).to_pylist()]
+            _, found, some = met(batch)
+            rows = pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*own, key])
+            yield rows.filter(pa.array(some))
+
+    def whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, _, some = met(batch)
+            words = [words[at] for at in np.flatnonzero(~some)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.binary())], names=[*own, key]
-            )
+                [
+                    *batch.filter(pa.array(~some)).columns, pa.array(list(map(len, words)), pa.int64()),
+                    pa.array([0] * len(words), pa.int64()), pa.array([b" ".join(part).decode("utf-8") for part in words], pa.string()),
+                ],
+                names=[*own, "n_words", "n_removed", "kept_words"],
+            )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = own.index("text")
@@ -373,4 +401,5 @@ def remove_repeats(
         .join(removed, key, "left")
         .select(*[F.col(f"`{name}`") for name in own], *edges)
     )
-    return joined.mapInArrow(cut, f"{nested}, n_words bigint, n_removed bigint, kept_words string")
+    schema = f"{nested}, n_words bigint, n_removed bigint, kept_words string"
+    return documents.mapInArrow(whole_texts, schema).union(joined.mapInArrow(cut, schema))
