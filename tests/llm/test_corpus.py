@@ -241,6 +241,19 @@ def test_toxicity_scores(spark, documents, corpus, no_documents):
     assert {r.score for r in toxicity.toxicity_scores(spark, documents, labels.limit(0)).collect()} == {0.5}
 
 
+def test_terms_are_those_of_the_plain_expression(corpus):
+    texts = ["", " ", "a_1 B-c\x1cd\x85e\xa0f", "²½ª µ ÿ Œuvre ẞ İ", "漢字 x٣y \U0001f600abcdef", *(row[1] or "" for row in corpus)]
+    lists = toxicity.word_lists(texts).to_pylist()
+    assert [words or [] for words in lists] == [toxicity._WORD.findall(text.lower()) for text in texts]
+    own, term, times = toxicity.Terms().counts(texts)
+    for at, text in enumerate(texts):
+        plain = toxicity.term_counts(text)
+        hashes = toxicity.hash_words([one.encode() for one in plain])
+        assert dict(zip(term[own == at].tolist(), times[own == at].tolist(), strict=True)) == dict(
+            zip(hashes.tolist(), plain.values(), strict=True)
+        )
+
+
 @pytest.mark.parametrize("share", [8, 1, 100])
 def test_nearest_examples_are_exact(monkeypatch, share):
     """Against all products, with everything in the head, in the tail and in both; like examples, so blocks are skipped."""

@@ -10,9 +10,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import newest
 from tidemark.llm.common import crc_fold, hash_words, small_batches
 from tidemark.llm.crf import logistic, training_rows
 from tidemark.session import session_settings
@@ -20,17 +22,23 @@ from tidemark.session import session_settings
 #: Labelled examples of the index by class, in the order of md5(doc_id), and their longest text.
 MAX_TOXIC, MAX_CLEAN, MAX_TRAINING_CHARS = 2000, 4000, 20_000
 NEIGHBOURS = 15
+#: Examples are put beside like ones by their terms in more than one of so many examples.
+LIKE_SHARE = 32
 #: Terms in more than one of so many examples are multiplied block by block, the others go through postings.
-HEAD_SHARE = 32
+HEAD_SHARE = 16
 #: Examples of a block, and groups of like examples that blocks are cut from.
 BLOCK, CLUSTERS = 64, 16
 #: Blocks of the highest bounds that give a text its first threshold.
 FIRST_BLOCKS = 2
 #: Texts that are compared with the examples at once, and letters of a group of texts.
 GROUP, GROUP_CHARS = 256, 1 << 21
+#: Texts whose postings are multiplied at once.
+STRETCH = 32
 #: Words that a process remembers the terms of.
 KNOWN_WORDS = 300_000
-_WORD = re.compile(r"\w+")
+_WORD, _OTHER = re.compile(r"\w+"), re.compile(r"\W+")
+#: Latin-1 with a space for what is no part of a word.
+_LATIN = bytes(code if _WORD.match(chr(code)) else 32 for code in range(256))
 
 
 def terms_of(word: str) -> tuple[str, ...]:
@@ -46,6 +54,19 @@ def term_counts(text: str) -> Counter:
     return counts
 
 
+def word_lists(texts: Sequence[str]) -> pa.ListArray:
+    """The words of each lower-cased text; null without any. All else becomes a space first, which is cheap in Latin-1."""
+    out = []
+    for text in texts:
+        text = text.lower()
+        try:
+            text = text.encode("latin-1").translate(_LATIN).decode("latin-1")
+        except UnicodeEncodeError:
+            text = _OTHER.sub(" ", text)
+        out.append(text.strip() or None)
+    return pc.ascii_split_whitespace(pa.array(out, pa.string()))
+
+
 class Terms:
     """Terms of texts as hashes, or as their places among known hashes; a process remembers words, up to a bound."""
 
@@ -58,12 +79,20 @@ class Terms:
         self.begins, self.terms = np.zeros(1, np.int64), np.empty(0, np.uint64 if self.hashes is None else np.int64)
 
     def _learn(self) -> None:
-        fresh = list(itertools.islice(self.number, len(self.begins) - 1, None))
+        fresh = newest(self.number, len(self.number) - len(self.begins) + 1)
         if not fresh:
             return
-        parts = [terms_of(word) for word in fresh]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        found = hash_words([term.encode("utf-8", "surrogatepass") for part in parts for term in part])
+        words = pa.array(fresh, pa.string())
+        long = np.flatnonzero(pc.greater(pc.utf8_length(words), 4).to_numpy(zero_copy_only=False))
+        sizes = np.ones(len(fresh), np.int64)
+        sizes[long] = 3
+        begins = np.cumsum(sizes) - sizes
+        found = np.empty(int(sizes.sum()), np.uint64)
+        found[begins] = hash_words([word.encode("utf-8") for word in fresh])
+        for place, letters in enumerate((4, 5), 1):  # as in ``terms_of``; few words begin differently
+            starts = pc.utf8_slice_codeunits(words.take(pa.array(long)), 0, letters).dictionary_encode()
+            hashes = hash_words([b"^" + start.encode("utf-8") for start in starts.dictionary.to_pylist()])
+            found[begins[long] + place] = hashes[starts.indices.to_numpy()]
         if self.hashes is not None:
             place = np.searchsorted(self.hashes, found)
             place[place == len(self.hashes)] = 0
@@ -77,12 +106,15 @@ class Terms:
         """(text, term, times) of a group of texts, by text and term."""
         if len(self.number) > KNOWN_WORDS:
             self._forget()
-        tallies = [Counter(_WORD.findall(text.lower())) for text in texts]
-        words = [np.fromiter(map(self.number.__getitem__, tally), np.int64, len(tally)) for tally in tallies]
+        lists = word_lists(texts)
+        found = lists.flatten().dictionary_encode()
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         self._learn()
-        word = np.concatenate([np.empty(0, np.int64), *words])
-        times = np.fromiter(itertools.chain.from_iterable(tally.values() for tally in tallies), np.int64, len(word))
-        own = np.repeat(np.arange(len(texts)), list(map(len, words)))
+        own = np.repeat(np.arange(len(texts)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+        both, times = np.unique(own * len(words) + found.indices.to_numpy(), return_counts=True)
+        own, word = np.divmod(both, max(1, len(words)))
+        word = number[word]
         sizes = self.begins[word + 1] - self.begins[word]
         term = self.terms[_runs(self.begins[word], sizes)]
         own, times = np.repeat(own, sizes), np.repeat(times, sizes)
@@ -192,15 +224,18 @@ class Index:
         head = columns >= 0
         dense = np.zeros((count, self._head.shape[2]), np.float32)
         dense[own[head], columns[head]] = values[head]
-        lengths = self._begins[rows[~head] + 1] - self._begins[rows[~head]]
-        at = _runs(self._begins[rows[~head]], lengths)
+        begins, lengths = self._begins[rows[~head]], self._begins[rows[~head] + 1] - self._begins[rows[~head]]
+        rare = values[~head].astype(np.float32)
         edges = np.searchsorted(own[~head], np.arange(count + 1))
-        ends = np.concatenate(([0], np.cumsum(lengths)))[edges]
-        places, products = self._places[at], np.repeat(values[~head].astype(np.float32), lengths) * self._weights[at]
         rough = np.empty((count, width), np.float32)
-        for text in range(count):  # a row at a time stays in the cache
-            part = slice(ends[text], ends[text + 1])
-            rough[text] = np.bincount(places[part], products[part], width)
+        for text in range(0, count, STRETCH):  # a few rows at a time stay in the cache
+            stop = min(text + STRETCH, count)
+            part = slice(edges[text], edges[stop])
+            at = _runs(begins[part], lengths[part])
+            places, products = self._places[at], np.repeat(rare[part], lengths[part]) * self._weights[at]
+            ends = np.concatenate(([0], np.cumsum(lengths[part])))[edges[text : stop + 1] - edges[text]]
+            for row, begin, end in zip(range(text, stop), ends[:-1], ends[1:], strict=True):
+                rough[row] = np.bincount(places[begin:end], products[begin:end], width)
         rough = rough.reshape(count, self._blocks, BLOCK)
         # no product is negative, so rounding changes a sum by at most this share of it, one way or the other
         margin = 4 * (self._head.shape[2] + 4) * 2.0**-24
@@ -291,7 +326,7 @@ def _like_together(own: np.ndarray, term: np.ndarray, values: np.ndarray, count:
     It has no part in the result, only in how tight the bounds of the blocks are.
     """
     seen = np.bincount(term, minlength=n_terms)
-    common = seen * HEAD_SHARE > count
+    common = seen * LIKE_SHARE > count
     column = np.cumsum(common) - 1
     head = common[term]
     points = np.zeros((count, int(common.sum())), np.float32)
