@@ -121,6 +121,29 @@ def test_components_of_chains_and_stars(spark):
     assert ngram_join.components(Scratch(spark, "test"), frame.limit(0)).collect() == []
 
 
+def test_components_take_no_step_more_than_needed(spark):
+    """The driver's memory grows with every step, so none confirms what is known already."""
+
+    def found(edges):
+        scratch = Scratch(spark, "test")
+        rows = ngram_join.components(scratch, spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+        return {row.node: row.root for row in rows}, len(rows), scratch.count
+
+    stars = [(at, at % 3) for at in range(3, 60)] + [(0, 9), (5, 5)]
+    assert found(stars) == ({at: at % 3 for at in range(60)}, 60, 1)
+    roots, count, tables = found([(1, 2), (3, 2), (3, 4)])
+    assert (roots, count) == (dict.fromkeys((1, 2, 3, 4), 1), 4) and tables == 5
+    rng = random.Random(3)
+    for size in (40, 60, 200):
+        edges = [(rng.randrange(100), rng.randrange(100)) for _ in range(size)]
+        least = {at: at for edge in edges if edge[0] != edge[1] for at in edge}
+        for _ in least:
+            for a, b in edges:
+                if a != b:
+                    least[a] = least[b] = min(least[a], least[b])
+        assert found(edges)[:2] == (least, len(least))
+
+
 def brute_removed(corpus, window=35):
     seen = Counter()
     split = [(row[0], (row[1] or "").encode().split()) for row in corpus]

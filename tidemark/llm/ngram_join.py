@@ -265,40 +265,39 @@ def _ordered_sets(sets: DataFrame) -> DataFrame:
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, root): the least node of each node's component, for all nodes of ``edges`` (a, b).
 
-    Large-star and small-star steps: each joins a node's neighbours to the least one. The table of a step
-    is written, so a lost executor repeats one step. A star whose centre has very many neighbours meets
-    only as a join of two exchanged sides, which is split where it is skewed.
+    Large-star and small-star steps until all are stars: each joins a node's neighbours to the least one. The table
+    of a step is written, so a lost executor repeats one step. A star whose centre has very many neighbours meets
+    only as a join of two exchanged sides, which is split where it is skewed. Each stage and each scan costs the
+    driver memory, whatever its rows, so a step has few of them and no step runs once all are stars.
     """
 
-    def to_least(pairs: DataFrame) -> DataFrame:
-        least = pairs.groupBy("a").agg(F.min("b").alias("least"))
-        return pairs.join(least, "a")
+    def least_of(pairs: DataFrame) -> DataFrame:
+        return pairs.groupBy(F.col("a").alias("centre")).agg(F.min("b").alias("least"))
 
     now = scratch.write(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     )
-    state = None
-    while True:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = to_least(both).filter("b > a").select(F.col("b").alias("a"), F.least("least", "a").alias("b"))
-        large = scratch.write(large.distinct())
-        small = to_least(large)
-        after = scratch.write(
-            small.select("a", F.col("least").alias("b"))
-            .unionByName(small.filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")))
-            .distinct()
-        )
+    while not _all_stars(now):
+        # the least neighbour of a centre is among those below it, or the centre itself
+        large = now.join(least_of(scratch.again(now)), F.col("b") == F.col("centre"), "left")
+        large = scratch.write(large.select("a", F.coalesce("least", "b").alias("b")))
+        small = large.join(least_of(scratch.again(large)), F.col("a") == F.col("centre"))
+        lifted = F.array(F.struct("a", F.col("least").alias("b")), F.struct(F.col("b").alias("a"), F.col("least").alias("b")))
+        after = scratch.write(small.select(F.explode(lifted).alias("pair")).select("pair.*").filter("a <> b").distinct())
         scratch.drop(now, large)
         now = after
-        seen = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if seen == state:
-            break
-        state = seen
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
 
 
+def _all_stars(pairs: DataFrame) -> bool:
+    """Whether no node that is the ``a`` of one of the distinct pairs (a, b), a above b, stands in another one."""
+    nodes = pairs.selectExpr("stack(2, a, 1, b, 0) AS (node, above)")
+    seen = nodes.groupBy("node").agg(F.sum("above").alias("above"), F.count(F.lit(1)).alias("n"))
+    return not seen.agg(F.max((F.col("above") > 0) & (F.col("n") > 1))).first()[0]
+
+
 class PrefixTree:
     """Sets as paths in a tree, the most frequent n-grams first, so that alike sets share their way.
 
